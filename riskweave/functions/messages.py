@@ -16,12 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt_record"
-ENVELOPE_SCHEMA = f"ts string, card_id bigint, features string, {CORRUPT} string"
+ENVELOPE_SCHEMA = "ts string, card_id bigint, features string"
 RESULT_ENVELOPE_SCHEMA = "ts string, card_id bigint, result string"
 RESULT_SCHEMA = "TransactionID bigint, card1 bigint, probability_ double"
 
-# Values are read as text and cast per column, so that one bad number never fails a batch.
-_FEATURE_MAP = "map<string,map<string,string>>"
 _ROW = "0"
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
@@ -66,24 +64,31 @@ def result_envelope(
     return F.to_json(body, _KEEP_NULLS)
 
 
+def _parsed(text: Column, schema: str) -> Column:
+    """Fields of a JSON object; ``_corrupt_record`` is set where it does not parse."""
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    return F.from_json(text, f"{schema}, {CORRUPT} string", options)
+
+
 def parse_envelope(value: Column) -> Column:
-    """The envelope's fields; ``_corrupt_record`` is set where it does not parse."""
-    return F.from_json(
-        value.cast("string"), ENVELOPE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT}
-    )
+    return _parsed(value.cast("string"), ENVELOPE_SCHEMA)
 
 
-def parse_features(features: Column) -> Column:
-    return F.from_json(features, _FEATURE_MAP)
+def parse_features(features: Column, names: Iterable[str]) -> Column:
+    """A struct with one map, from row label to text, per column."""
+    return _parsed(features, ", ".join(f"`{name}` map<string,string>" for name in names))
 
 
 def feature_text(features: Column, name: str) -> Column:
     """Text of one cell; NULL when the column or the row is absent."""
-    return F.try_element_at(F.try_element_at(features, F.lit(name)), F.lit(_ROW))
+    return F.try_element_at(features[name], F.lit(_ROW))
 
 
 def feature_value(features: Column, field: T.StructField) -> Column:
-    """One cell in its declared type; NULL when it is absent or does not fit the type."""
+    """One cell in its declared type; NULL when it is absent or does not fit the type.
+
+    Cells are read as text and cast one by one, so a bad number never fails a batch.
+    """
     text = feature_text(features, field.name)
     if isinstance(field.dataType, T.IntegralType):
         # Integers may arrive as 9 or 9.0; a decimal step keeps all 64 bits.

@@ -12,7 +12,6 @@ from riskweave.operators.features import prepare_features, text_column
 from riskweave.operators.joins import measure, sized_join
 from riskweave.operators.quantiles import exact_quantiles
 from riskweave.operators.running import running_totals
-from riskweave.sources.workspace import settle
 
 
 def label_index(df: DataFrame, column: str) -> DataFrame:
@@ -43,7 +42,7 @@ def one_hot(
 
     The width is the number of labels, so it is also the size of one row's array.
     """
-    labels = settle(label_index(fitted_on or df, column).select(F.col("label").alias(column), "index"))
+    labels = label_index(fitted_on or df, column).select(F.col("label").alias(column), "index")
     size = measure(labels)
     columns = df.columns
     indexed = sized_join(df, labels, column, "left", size, salt_by=salt_by)
@@ -62,7 +61,7 @@ def min_max_scaled(value: Column, low: float | None, high: float | None) -> Colu
     """``value`` mapped to 0..1; a constant column gives 0.5."""
     if low is None or low == high:
         return F.lit(0.5)
-    return (value - F.lit(low)) / F.lit(high - low)
+    return (value - F.lit(low)) * F.lit(1.0 / (high - low))
 
 
 def min_max_scale(
@@ -82,8 +81,8 @@ def fit_interquartile(df: DataFrame, columns: Sequence[str]) -> dict[str, float]
 
 
 def robust_scaled(value: Column, spread: float) -> Column:
-    """``value / spread`` without centring; a zero spread gives 0."""
-    return value / F.lit(spread) if spread else F.lit(0.0)
+    """``value`` in units of ``spread``, without centring; a zero spread gives 0."""
+    return value * F.lit(1.0 / spread) if spread else F.lit(0.0)
 
 
 def robust_scale(

@@ -64,7 +64,7 @@ def sized_join(
     salts: int = 16,
     salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Join ``big`` with a settled ``small`` whose ``size`` was measured.
+    """Join ``big`` with a ``small`` whose ``size`` was measured.
 
     ``how`` must keep rows of the big side only (inner, left, left_semi or
     left_anti); ``salt_by`` should identify a row of it (default: all columns).

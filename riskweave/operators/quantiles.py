@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.operators.running import running_totals
@@ -79,6 +79,10 @@ def _count_brackets(df: DataFrame, brackets: Sequence[_Bracket]) -> None:
         b.below, b.upto = row[f"below{i}"], row[f"upto{i}"]
 
 
+def _looked_up(per_bracket: Sequence[int]) -> Column:
+    return F.get(F.array(*[F.lit(v).cast("bigint") for v in per_bracket]), F.col("bracket"))
+
+
 def _select(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[int, tuple[float, float]]:
     """Values at the two ranks of each bracket."""
     inside = [
@@ -95,14 +99,16 @@ def _select(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[int, tuple[floa
     )
     placed = running_totals(values, [F.col("bracket"), F.col("value")], {"before": F.col("n")})
 
-    # Rank of a bracket's first value, less the values of all brackets before it.
-    wanted, start = F.lit(False), 0
-    for i, b in enumerate(brackets):
-        shift = b.below - start
+    # A value's rank in its column: its place in the global order, less the
+    # values of earlier brackets, plus the values below its own bracket.
+    shifts, start = [], 0
+    for b in brackets:
+        shifts.append(b.below - start)
         start += b.upto - b.below
-        first, end = F.col("before") + shift, F.col("before") + F.col("n") + shift
-        for rank in set(b.ranks):
-            wanted = wanted | ((F.col("bracket") == i) & (first <= rank) & (end > rank))
+    first = F.col("before") + _looked_up(shifts)
+    at_or_after = [first + F.col("n") > _looked_up([b.ranks[i] for b in brackets]) for i in (0, 1)]
+    not_past = [first <= _looked_up([b.ranks[i] for b in brackets]) for i in (0, 1)]
+    wanted = (at_or_after[0] & not_past[0]) | (at_or_after[1] & not_past[1])
     found: dict[int, list[float]] = {}
     for row in placed.where(wanted).collect():  # at most two rows per bracket
         found.setdefault(row["bracket"], []).append(row["value"])

@@ -144,7 +144,8 @@ bits_{column} AS (
 _ONE_HOT = tuple(_bits(c) for c in BINARY_FEATURES)
 
 _MIN_MAX = ", ".join(
-    f'("{c}" - min("{c}") OVER ()) / (max("{c}") OVER () - min("{c}") OVER ())::DOUBLE AS {c}_scaled'
+    f'("{c}" - min("{c}") OVER ()) * (1.0::DOUBLE / (max("{c}") OVER () - min("{c}") OVER ()))'
+    f" AS {c}_scaled"
     for c in DISCRETE_FEATURES
 )
 
@@ -158,7 +159,7 @@ _SPREADS = (
 )
 
 _ROBUST = ", ".join(
-    f'CASE WHEN "{c}_iqr" = 0 THEN 0.0::DOUBLE ELSE "{c}" / "{c}_iqr" END AS "{c}_scaled"'
+    f'CASE WHEN "{c}_iqr" = 0 THEN 0.0::DOUBLE ELSE "{c}" * (1.0::DOUBLE / "{c}_iqr") END AS "{c}_scaled"'
     for c in CONTINUOUS_FEATURES
 )
 

@@ -6,10 +6,11 @@ Works on any streaming (or batch) DataFrame with a ``value`` column.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +25,16 @@ BAD_FEATURES = "bad_features"
 BAD_VALUE = "bad_value"
 
 
+def _evaluated_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters use as it is.
+
+    A filter on a plain column would be pushed below the projection with the
+    column's whole expression copied into it, once per use. It cannot pass a
+    generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse_messages(
     messages: DataFrame, schema: T.StructType = S.SCORING_SCHEMA
 ) -> DataFrame:
@@ -32,27 +43,33 @@ def parse_messages(
     A column absent from a message is NULL. ``reject_reason`` is NULL for
     usable rows; a value that does not fit its type makes the row unusable.
     """
-    envelope, features = F.col("_envelope"), F.col("_features")
-    parsed = messages.select(F.col("value").cast("string").alias("value")).withColumn(
-        "_envelope", M.parse_envelope(F.col("value"))
+    envelope, features, row = F.col("_envelope"), F.col("_features"), F.col("_row")
+    parsed = messages.select(F.col("value").cast("string").alias("value"))
+    parsed = _evaluated_once(parsed, "_envelope", M.parse_envelope(F.col("value")))
+    parsed = _evaluated_once(
+        parsed, "_features", M.parse_features(envelope["features"], schema.names)
+    )
+    parsed = _evaluated_once(
+        parsed,
+        "_row",
+        F.struct(*[M.feature_value(features, f).alias(f.name) for f in schema.fields]),
+    )
+    misfit = reduce(
+        Column.__or__,
+        [M.feature_text(features, c).isNotNull() & row[c].isNull() for c in schema.names],
     )
-    parsed = parsed.withColumn("_features", M.parse_features(envelope["features"]))
-    misfits = [
-        M.feature_text(features, f.name).isNotNull() & M.feature_value(features, f).isNull()
-        for f in schema.fields
-    ]
     reason = (
         F.when(envelope.isNull() | envelope[M.CORRUPT].isNotNull(), BAD_ENVELOPE)
         .when(envelope["features"].isNull(), NO_FEATURES)
-        .when(features.isNull(), BAD_FEATURES)
-        .when(F.exists(F.array(*misfits), lambda bad: bad), BAD_VALUE)
+        .when(features.isNull() | features[M.CORRUPT].isNotNull(), BAD_FEATURES)
+        .when(misfit, BAD_VALUE)
     )
     return parsed.select(
         "value",
         envelope["ts"].alias("ts"),
         envelope["card_id"].alias("card_id"),
         reason.alias("reject_reason"),
-        *[M.feature_value(features, f).alias(f.name) for f in schema.fields],
+        "_row.*",
     )
 
 
