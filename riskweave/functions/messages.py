@@ -10,6 +10,7 @@ The message key is the card id in decimal.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -74,24 +75,32 @@ def parse_envelope(value: Column) -> Column:
     return _parsed(value.cast("string"), ENVELOPE_SCHEMA)
 
 
-def parse_features(features: Column, names: Iterable[str]) -> Column:
-    """A struct with one map, from row label to text, per column."""
-    return _parsed(features, ", ".join(f"`{name}` map<string,string>" for name in names))
+def _is_integer(field: T.StructField) -> bool:
+    return isinstance(field.dataType, T.IntegralType)
 
 
-def feature_text(features: Column, name: str) -> Column:
-    """Text of one cell; NULL when the column or the row is absent."""
-    return F.try_element_at(features[name], F.lit(_ROW))
+def parse_features(features: Column, schema: T.StructType) -> Column:
+    """A struct of cells. Integers may arrive as 9 or 9.0, so they are read as decimals,
+    which keep all 64 bits.
+    """
+    cells = [
+        f"`{f.name}` struct<`{_ROW}`: {'decimal(38,10)' if _is_integer(f) else 'double'}>"
+        for f in schema.fields
+    ]
+    return _parsed(features, ", ".join(cells))
 
 
 def feature_value(features: Column, field: T.StructField) -> Column:
-    """One cell in its declared type; NULL when it is absent or does not fit the type.
-
-    Cells are read as text and cast one by one, so a bad number never fails a batch.
-    """
-    text = feature_text(features, field.name)
-    if isinstance(field.dataType, T.IntegralType):
-        # Integers may arrive as 9 or 9.0; a decimal step keeps all 64 bits.
-        exact = text.try_cast(field.dataType)
-        return F.coalesce(exact, text.try_cast("decimal(38,10)").try_cast(field.dataType))
-    return text.try_cast(field.dataType)
+    """One cell in its declared type; NULL when it is absent or out of range."""
+    cell = features[field.name][_ROW]
+    return cell.try_cast(field.dataType) if _is_integer(field) else cell
+
+
+def out_of_range(features: Column, schema: T.StructType) -> Column:
+    """Whether some integer cell does not fit its type."""
+    misfits = [
+        features[f.name][_ROW].isNotNull() & feature_value(features, f).isNull()
+        for f in schema.fields
+        if _is_integer(f)
+    ]
+    return reduce(Column.__or__, misfits, F.lit(False))

@@ -474,12 +474,12 @@ def rejected_messages(spark, sf_dir):
     """One damaged message in two, in four ways; counted by reason."""
     data = _transactions(spark, sf_dir)
     value, kind = F.col("value"), F.col(S.TRANSACTION_ID) % 8
-    cell = r'\"V183\":{\"0\":'
+    cell = r'\"TransactionID\":{\"0\":'
     damaged = (
         F.when(kind == 0, F.expr("left(value, length(value) - 5)"))
         .when(kind == 1, F.lit('{"ts": "now", "card_id": 1}'))
         .when(kind == 2, F.lit('{"ts": "now", "card_id": 1, "features": "V26"}'))
-        .when(kind == 3, F.replace(value, F.lit(cell), F.lit(cell + r'\"x\",\"1\":')))
+        .when(kind == 3, F.replace(value, F.lit(cell), F.lit(cell + r'1e20,\"1\":')))
         .otherwise(value)
     )
     columns = [c for c in data.columns if c != S.LABEL]

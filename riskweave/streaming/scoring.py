@@ -6,7 +6,6 @@ Works on any streaming (or batch) DataFrame with a ``value`` column.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -41,35 +40,27 @@ def parse_messages(
     """``value, ts, card_id, reject_reason`` and the columns of ``schema``.
 
     A column absent from a message is NULL. ``reject_reason`` is NULL for
-    usable rows; a value that does not fit its type makes the row unusable.
+    usable rows; a value that is no number, or too large for its type, makes
+    the row unusable.
     """
-    envelope, features, row = F.col("_envelope"), F.col("_features"), F.col("_row")
+    envelope, features = F.col("_envelope"), F.col("_features")
     parsed = messages.select(F.col("value").cast("string").alias("value"))
     parsed = _evaluated_once(parsed, "_envelope", M.parse_envelope(F.col("value")))
     parsed = _evaluated_once(
-        parsed, "_features", M.parse_features(envelope["features"], schema.names)
-    )
-    parsed = _evaluated_once(
-        parsed,
-        "_row",
-        F.struct(*[M.feature_value(features, f).alias(f.name) for f in schema.fields]),
-    )
-    misfit = reduce(
-        Column.__or__,
-        [M.feature_text(features, c).isNotNull() & row[c].isNull() for c in schema.names],
+        parsed, "_features", M.parse_features(envelope["features"], schema)
     )
     reason = (
         F.when(envelope.isNull() | envelope[M.CORRUPT].isNotNull(), BAD_ENVELOPE)
         .when(envelope["features"].isNull(), NO_FEATURES)
         .when(features.isNull() | features[M.CORRUPT].isNotNull(), BAD_FEATURES)
-        .when(misfit, BAD_VALUE)
+        .when(M.out_of_range(features, schema), BAD_VALUE)
     )
     return parsed.select(
         "value",
         envelope["ts"].alias("ts"),
         envelope["card_id"].alias("card_id"),
         reason.alias("reject_reason"),
-        "_row.*",
+        *[M.feature_value(features, f).alias(f.name) for f in schema.fields],
     )
 
 

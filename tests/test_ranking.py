@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.operators import ranking
+from riskweave.operators.evaluation import pooled_t_statistic, student_t_cdf, t_test_less
+from riskweave.plans.champion import decide
+from tests.plans import no_python_and_no_cross_join, plan_of
+
+CARDS = "card1 bigint, max_score double, max_label int"
+
+
+def test_missing_card_is_a_group(spark):
+    df = spark.createDataFrame(
+        [(1, 0.5, 0), (1, 0.2, 1), (None, 0.9, 0), (None, 0.1, 0)],
+        "card1 bigint, prob_flag double, isFraud int",
+    )
+    found = {r["card1"]: (r["max_score"], r["max_label"]) for r in ranking.card_max_scores(df).collect()}
+    assert found == {1: (0.5, 1), None: (0.9, 0)}
+
+
+def test_ties_at_rank_k_go_to_the_lower_card(spark):
+    cards = spark.createDataFrame([(9, 0.5, 1), (3, 0.5, 0), (5, 0.9, 0), (4, None, 1)], CARDS)
+    top = ranking.top_k_cards(cards, 2)
+    assert [(r["card1"], r["position"]) for r in top.orderBy("position").collect()] == [
+        (5, 0),
+        (3, 1),
+    ]
+    everything = ranking.top_k_cards(cards, 10).orderBy("position").collect()
+    assert [r["card1"] for r in everything] == [5, 3, 9, 4]
+
+
+def test_top_k_needs_no_global_sort(transactions):
+    scored = transactions.select("card1", F.col("V317").alias("prob_flag"), "isFraud")
+    plan = plan_of(ranking.top_k_cards(ranking.card_max_scores(scored), 5))
+    assert "TakeOrderedAndProject" in plan
+    assert "rangepartitioning" not in plan
+
+
+def test_fewer_cards_than_k(spark):
+    cards = spark.createDataFrame([(1, 0.9, 1), (2, 0.8, 0)], CARDS)
+    top = ranking.top_k_cards(cards, 50)
+    assert ranking.precision_at_k(top, 50).first()["precision"] == 1 / 50
+    assert ranking.precision_at_k(top, 50, shrink=True).first()["precision"] == 1 / 2
+    assert ranking.bootstrap_draws(top, 3).count() == 3 * 2
+
+
+def test_no_cards(spark):
+    top = ranking.top_k_cards(spark.createDataFrame([], CARDS), 50)
+    assert ranking.precision_at_k(top).first()["precision"] == 0.0
+    assert ranking.bootstrap_precision(top).count() == 0
+
+
+def test_bootstrap_is_repeatable_and_plausible(spark):
+    cards = spark.createDataFrame([(i, i / 100, int(i % 4 == 0)) for i in range(100)], CARDS)
+    scores = [
+        ranking.bootstrap_precision(ranking.top_k_cards(cards.repartition(n), 50), 50)
+        for n in (1, 7)
+    ]
+    assert no_python_and_no_cross_join(scores[0])
+    first, second = (sorted(map(tuple, s.collect())) for s in scores)
+    assert first == second and len(first) == 100
+    summary = ranking.bootstrap_summary(scores[0]).first()
+    true = 12 / 50 if sum(i % 4 == 0 for i in range(50, 100)) == 12 else 13 / 50
+    assert abs(summary["mean"] - true) < 0.03
+    assert abs(summary["std"] - math.sqrt(true * (1 - true) / 50)) < 0.02
+
+
+def t_cdf_by_integration(t, dof, steps=200_000):
+    norm = math.exp(math.lgamma((dof + 1) / 2) - math.lgamma(dof / 2)) / math.sqrt(dof * math.pi)
+    low, width = -200.0, (t + 200.0) / steps
+    density = lambda x: norm * (1 + x * x / dof) ** (-(dof + 1) / 2)
+    inner = sum(density(low + i * width) for i in range(1, steps))
+    return width * (inner + (density(low) + density(t)) / 2)
+
+
+@pytest.mark.parametrize("t,dof", [(-2.0, 198), (0.0, 5), (1.5, 10), (-5.0, 198), (3.0, 4)])
+def test_student_t(t, dof):
+    assert student_t_cdf(t, dof) == pytest.approx(t_cdf_by_integration(t, dof), abs=1e-6)
+
+
+def test_far_tails_of_student_t():
+    assert 0 < student_t_cdf(-30.0, 198) < 1e-70
+    assert student_t_cdf(30.0, 198) == 1.0
+    assert math.isnan(student_t_cdf(math.nan, 10))
+
+
+def sample(spark, values):
+    return spark.createDataFrame([(float(v),) for v in values], "precision_top_5 double")
+
+
+def test_t_statistic_by_hand(spark):
+    a, b = [1, 2, 3, 4], [2, 4, 6]
+    row = pooled_t_statistic(sample(spark, a), sample(spark, b), "precision_top_5").first()
+    pooled = (3 * (5 / 3) + 2 * 4) / 5
+    assert row["t"] == pytest.approx((2.5 - 4) / math.sqrt(pooled * (1 / 4 + 1 / 3)))
+    assert row["dof"] == 5
+
+
+def test_decisions(spark):
+    low, high = [0.1, 0.2] * 50, [0.5, 0.6] * 50
+    assert decide(sample(spark, low), sample(spark, high), 5).replace_champion
+    assert not decide(sample(spark, high), sample(spark, low), 5).replace_champion
+    assert not decide(sample(spark, low), sample(spark, low), 5).replace_champion
+
+
+def test_decisions_without_variance(spark):
+    flat, higher = sample(spark, [0.1] * 10), sample(spark, [0.2] * 10)
+    assert t_test_less(flat, higher, "precision_top_5").p_value == 0.0
+    assert t_test_less(higher, flat, "precision_top_5").p_value == 1.0
+    assert math.isnan(t_test_less(flat, flat, "precision_top_5").p_value)
+    assert not decide(flat, flat, 5).replace_champion
