@@ -1,0 +1,206 @@
+"""ML stages against their exact forms, models, tuning and the champion contest."""
+
+from __future__ import annotations
+
+import subprocess
+import sys
+
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from riskweave import schema as S
+from riskweave.functions.expressions import positive_probability
+from riskweave.operators import encoding, features
+from riskweave.operators.split import hash_split, training_rows
+from riskweave.plans import pipelines, training
+from riskweave.plans.champion import run_champion_challenger
+from riskweave.sources.runlog import RunLog, read_run_log
+from riskweave.sources.tables import load_model, save_model
+from tests.plans import no_python_and_no_cross_join
+
+WEEK = 604800
+
+
+@pytest.fixture(scope="module")
+def fitted(transactions):
+    return pipelines.get_feature_extraction_pipeline(quantile_error=0.0).fit(transactions)
+
+
+@pytest.fixture(scope="module")
+def model(transactions):
+    trees = pipelines.gradient_boosted_trees(maxIter=3, maxDepth=3)
+    return training.fit_model(training_rows(transactions, WEEK), trees)
+
+
+def by_id(df, *names):
+    return {r[S.TRANSACTION_ID]: tuple(r[n] for n in names) for r in df.collect()}
+
+
+def test_thirteen_stages(fitted):
+    assert len(fitted.stages) == 13
+    assert len(pipelines.get_fraud_detection_model_pipeline().getStages()) == 14
+
+
+def test_vector_equals_exact_form(transactions, fitted):
+    vectors = fitted.transform(transactions).select(
+        S.TRANSACTION_ID, vector_to_array("features").alias("features")
+    )
+    exact = encoding.as_feature_array(encoding.feature_arrays(transactions))
+    mine, theirs = by_id(exact, "features"), by_id(vectors, "features")
+    width = len(next(iter(theirs.values()))[0])
+    assert width == 20
+    quantile_slots = slice(8, None)  # the ML scaler picks elements, the exact one interpolates
+    for key, (vector,) in theirs.items():
+        assert list(mine[key][0][:8]) == list(vector[:8])
+        assert len(mine[key][0][quantile_slots]) == len(vector[quantile_slots]) == 12
+
+
+def test_label_index_equals_string_indexer(transactions, fitted):
+    prepared = features.prepare_features(transactions)
+    indexer = fitted.stages[6]
+    for i, c in enumerate(S.BINARY_FEATURES):
+        rows = encoding.label_index(prepared, features.text_column(c)).orderBy("index").collect()
+        assert [r["label"] for r in rows] == list(indexer.labelsArray[i])
+        assert [r["index"] for r in rows] == list(range(len(rows)))
+
+
+def test_robust_scale_lies_among_the_elements_ml_picks_from(transactions, fitted):
+    """The ML scaler takes an element near each quartile, the exact form interpolates."""
+    prepared = features.prepare_features(transactions)
+    spreads = encoding.fit_interquartile(prepared, S.CONTINUOUS_FEATURES)
+    rows = prepared.select(*S.CONTINUOUS_FEATURES).collect()
+    for c, ml in zip(S.CONTINUOUS_FEATURES, fitted.stages[11].range, strict=True):
+        values = sorted(r[c] for r in rows)
+        near = [
+            values[int(p * (len(values) - 1)) - 1 : int(p * (len(values) - 1)) + 3]
+            for p in (0.25, 0.75)
+        ]
+        low, high = near[1][0] - near[0][-1], near[1][-1] - near[0][0]
+        assert low <= spreads[c] <= high
+        assert low <= ml <= high
+
+
+def test_unseen_category_is_all_zeros(transactions, fitted):
+    odd = transactions.limit(1).withColumn("V26", F.lit(-5.0))
+    row = fitted.transform(odd).select(vector_to_array("V26_encoded").alias("v")).first()
+    assert set(row["v"]) == {0.0}
+    prepared = features.prepare_features(transactions)
+    coded = encoding.one_hot(features.prepare_features(odd), "V26_str", "v", prepared)
+    assert set(coded.first()["v"]) == {0}
+
+
+def test_constant_columns(spark):
+    df = spark.createDataFrame([(3.0,), (3.0,)], "x double")
+    assert {r["x_scaled"] for r in encoding.min_max_scale(df, ["x"]).collect()} == {0.5}
+    assert {r["x_scaled"] for r in encoding.robust_scale(df, ["x"]).collect()} == {0.0}
+
+
+def test_hours_stay_out_of_the_vector(transactions, fitted):
+    assert "hours" in fitted.transform(transactions).columns
+    assert "hours" not in fitted.stages[8].getInputCols()
+
+
+def test_scoring_plan_has_no_python(transactions, model):
+    scored = model.transform(transactions).select(
+        S.TRANSACTION_ID, positive_probability(F.col("probability")).alias("p")
+    )
+    assert no_python_and_no_cross_join(scored)
+    assert all(0 <= p[0] <= 1 for p in by_id(scored, "p").values())
+
+
+def test_short_probability_vector_is_null(spark):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(Vectors.dense([1.0]),), (Vectors.dense([0.3, 0.7]),)], ["v"])
+    found = [r[0] for r in df.select(positive_probability(F.col("v"))).collect()]
+    assert found == [None, 0.7]
+
+
+def test_last_stage_replaced():
+    pipeline = pipelines.get_fraud_detection_model_pipeline()
+    changed = pipelines.with_last_stage_replaced(pipeline, pipelines.challenger_classifier())
+    assert changed.getStages()[:-1] == pipeline.getStages()[:-1]
+    assert changed.getStages()[-1].getMinInstancesPerNode() == 1000
+    assert changed.getStages()[-1].getSeed() == 42
+
+
+def test_model_loads_in_another_process(transactions, model, tmp_path):
+    path, out = str(tmp_path / "model"), str(tmp_path / "scores")
+    save_model(model, path)
+    score = positive_probability(F.col("probability")).alias("p")
+    here = by_id(load_model(path).transform(transactions).select(S.TRANSACTION_ID, score), "p")
+    assert here == by_id(model.transform(transactions).select(S.TRANSACTION_ID, score), "p")
+    program = (
+        "from pyspark.sql import SparkSession\n"
+        "from riskweave.sources.tables import load_model\n"
+        "spark = SparkSession.builder.master('local[1]')"
+        ".config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"assert len(load_model({path!r}).stages) == 14\n"
+        f"open({out!r}, 'w').write('loaded')\n"
+    )
+    subprocess.run([sys.executable, "-c", program], check=True, timeout=120, cwd=_root())
+    assert open(out).read() == "loaded"
+
+
+def _root():
+    from pathlib import Path
+
+    return str(Path(__file__).resolve().parents[1])
+
+
+def test_tuning_picks_the_best_trial(spark, transactions, tmp_path):
+    trees = pipelines.gradient_boosted_trees(maxIter=2)
+    grid = training.parameter_grid(trees, depths=(1, 3), min_instances=(5, 400))
+    result = training.tune(transactions, trees, grid)
+    assert [(t.max_depth, t.min_instances) for t in result.trials] == [
+        (1, 5),
+        (1, 400),
+        (3, 5),
+        (3, 400),
+    ]
+    assert result.best.auc == max(t.auc for t in result.trials)
+    assert result.best_parameters() == {
+        "maxDepth": result.best.max_depth,
+        "minInstancesPerNode": result.best.min_instances,
+    }
+    assert any("maxDepth" in line for line in result.explained())
+
+    # A trial is an ordinary fit on the training part, scored on the rest.
+    train, held_out = hash_split(transactions)
+    again = training.fit_model(train, trees.copy(grid[0]))
+    auc = training.auc_evaluator().evaluate(again.transform(held_out))
+    assert auc == pytest.approx(result.trials[0].auc, abs=1e-9)
+
+    log = RunLog(spark, str(tmp_path / "log"), "tuning")
+    training.log_tuning(result, transactions, log)
+    logged = {(r["kind"], r["key"]) for r in read_run_log(spark, log.path).collect()}
+    assert {("param", "maxDepth"), ("metric", "roc_auc"), ("metric", "roc_auc_held_out")} <= logged
+
+
+def test_default_grid_and_random_split_tuner():
+    tuner = training.random_split_tuner()
+    assert len(tuner.getEstimatorParamMaps()) == 9
+    assert tuner.getTrainRatio() == 0.8 and tuner.getParallelism() == 2
+
+
+def test_champion_contest(spark, transactions, model, tmp_path):
+    log = RunLog(spark, str(tmp_path / "log"), "contest")
+    path = str(tmp_path / "winner")
+    decision, _ = run_champion_challenger(
+        transactions,
+        model,
+        cutoff=WEEK,
+        k=5,
+        iterations=20,
+        p_threshold=2.0,  # any p-value rejects, so the challenger is saved
+        output_path=path,
+        log=log,
+        challenger_trees=pipelines.gradient_boosted_trees(maxIter=2, maxDepth=2),
+    )
+    assert decision.k == 5 and 0 <= decision.champion_precision <= 1
+    entries = {(r["kind"], r["key"]): r["value"] for r in read_run_log(spark, log.path).collect()}
+    assert entries["decision", "replace_champion"] == str(decision.replace_champion)
+    if decision.replace_champion:
+        assert entries["artifact", "model"] == path
+        assert len(load_model(path).stages) == 14
