@@ -1,11 +1,11 @@
 """Joins against derived key sets and dictionaries, safe for any size and skew.
 
-The derived side is computed once into the checkpoint and measured there. While
-it is proven small it is broadcast, so the big side is not shuffled at all.
-Beyond the bound both sides are shuffled on (key, salt): the big side gets a
-salt per row and the derived side one copy per salt, which spreads a hot key
-over many tasks. AQE splits what is still skewed, since no later operator can
-reuse a (key, salt) partitioning in place of its own.
+The derived side is measured first. While it is proven small it is broadcast,
+so the big side is not shuffled at all. Beyond the bound both sides are shuffled
+on (key, salt). Only the most frequent keys of the big side are salted: their
+rows spread over all salts, and the derived side repeats just those keys, once
+per salt. The list of them has a fixed length, so broadcasting it is safe, and
+any key outside it holds less than its share (1/1000) of the rows.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 from riskweave.sources.workspace import settle
 
 _SALT = "_salt"
+_HOT = "_hot"
+HOT_KEYS = 1000
+MOST_SALTS = 1000
 
 
 @dataclass(frozen=True)
@@ -54,6 +57,33 @@ def measure(df: DataFrame) -> Size:
     return Size(row["n"], row["b"] or 0)
 
 
+def _salts(df: DataFrame) -> int:
+    """One salt per shuffle partition, within fixed limits."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(partitions, MOST_SALTS))
+
+
+def hot_keys(big: DataFrame, on: str) -> DataFrame:
+    """The most frequent keys of ``big``, at most ``HOT_KEYS``; counted map-side first."""
+    counts = big.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n"), on).limit(HOT_KEYS)
+    return settle(top.select(on, F.lit(True).alias(_HOT)))
+
+
+def _salted_join(
+    big: DataFrame, small: DataFrame, on: str, how: str, salt_by: Sequence[str]
+) -> DataFrame:
+    salts = _salts(big)
+    hot = F.broadcast(hot_keys(big, on))
+    spread = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
+    salt = F.when(F.col(_HOT) | F.col(on).isNull(), spread).otherwise(F.lit(0))
+    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    copies = F.explode(F.when(F.col(_HOT), every).otherwise(F.array(F.lit(0))))
+    left = big.join(hot, on, "left").withColumn(_SALT, salt).drop(_HOT)
+    right = small.join(hot, on, "left").withColumn(_SALT, copies).drop(_HOT)
+    return left.join(right, [on, _SALT], how).drop(_SALT)
+
+
 def sized_join(
     big: DataFrame,
     small: DataFrame,
@@ -61,7 +91,6 @@ def sized_join(
     how: str,
     size: Size,
     bound: BroadcastBound = DEFAULT_BOUND,
-    salts: int = 16,
     salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join ``big`` with a ``small`` whose ``size`` was measured.
@@ -73,10 +102,7 @@ def sized_join(
         raise ValueError(f"unsupported join type: {how}")
     if size.within(bound):
         return big.join(F.broadcast(small), on, how)
-    salt = F.pmod(F.xxhash64(*(salt_by or big.columns)), F.lit(salts)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    salted = big.withColumn(_SALT, salt)
-    return salted.join(small.withColumn(_SALT, copies), [on, _SALT], how).drop(_SALT)
+    return _salted_join(big, small, on, how, salt_by or big.columns)
 
 
 def exclude_keys(
@@ -85,7 +111,6 @@ def exclude_keys(
     on: str,
     null_keys: str = "keep",
     bound: BroadcastBound = DEFAULT_BOUND,
-    salts: int = 16,
     salt_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose key is not among ``keys``.
@@ -103,4 +128,4 @@ def exclude_keys(
     if null_keys == "not_in":
         df = df.where(F.col(on).isNotNull())
     columns = df.columns
-    return sized_join(df, known, on, "left_anti", size, bound, salts, salt_by).select(columns)
+    return sized_join(df, known, on, "left_anti", size, bound, salt_by).select(columns)

@@ -115,7 +115,9 @@ def catalog_table(spark, sf_dir):
     path = scratch_path(spark, "transactions-table")
     name = "transactions_" + path.rsplit("-", 1)[-1]
     _transactions(spark, sf_dir).write.option("path", path).saveAsTable(name)
-    return tables.read_table(spark, name)
+    rows = tables.read_table(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return rows
 
 
 @_query
@@ -346,11 +348,8 @@ def feature_vectors(spark, sf_dir):
     return vectors.select(S.TRANSACTION_ID, vector_to_array("features").alias("features"))
 
 
-@_query
-def discrete_vectors(spark, sf_dir):
+def _discrete_parts(vectors: DataFrame) -> DataFrame:
     """The parts of the ML feature vector that are exact: one-hot and min-max."""
-    data = _transactions(spark, sf_dir)
-    vectors = _fit_features(data).transform(data)
     scaled = vector_to_array("discrete_vector_scaled")
 
     def bits(column: str):
@@ -363,13 +362,19 @@ def discrete_vectors(spark, sf_dir):
     )
 
 
+@_query
+def discrete_vectors(spark, sf_dir):
+    data = _transactions(spark, sf_dir)
+    return _discrete_parts(_fit_features(data).transform(data))
+
+
 @_query
 def saved_pipeline(spark, sf_dir):
+    """Saved, loaded and applied."""
     data = _transactions(spark, sf_dir)
     path = scratch_path(spark, "feature-pipeline")
     tables.save_model(_fit_features(data), path)
-    vectors = tables.load_model(path).transform(data)
-    return vectors.select(S.TRANSACTION_ID, vector_to_array("features").alias("features"))
+    return _discrete_parts(tables.load_model(path).transform(data))
 
 
 # Evaluation
@@ -546,7 +551,9 @@ def stream_feature_rows(spark, sf_dir):
 
 @_query
 def stream_scores(spark, sf_dir):
-    model = _fit_on_first_week(_transactions(spark, sf_dir))
+    """Every message scored by a stream, beside the score of its row in a batch."""
+    data = _transactions(spark, sf_dir)
+    model = _fit_on_first_week(data)
     path = scratch_path(spark, "stream-scores")
     query = scoring.start_scoring(
         _streamed_messages(spark, sf_dir),
@@ -558,7 +565,14 @@ def stream_scores(spark, sf_dir):
     )
     query.awaitTermination()
     sent = tables.read_parquet(spark, f"{path}/results")
-    return _decoded_results(sent).select(S.TRANSACTION_ID, S.CARD, "card_id", "probability_")
+    streamed = _decoded_results(sent).select(S.TRANSACTION_ID, S.CARD, "card_id", "probability_")
+    batch = scoring.score_rows(data, model).select(
+        S.TRANSACTION_ID, F.col("probability_").alias("expected")
+    )
+    agrees = F.abs(F.col("probability_") - F.col("expected")) < 1e-12
+    return streamed.join(batch, S.TRANSACTION_ID, "left").select(
+        S.TRANSACTION_ID, S.CARD, "card_id", agrees.alias("equals_batch_score")
+    )
 
 
 @_query

@@ -66,6 +66,7 @@ class Settings:
     topic: str = ""
     results_topic: str = ""
     rejects: str = ""
+    max_offsets: int | None = None
     kafka_options: tuple[str, ...] = ()
     pattern: str = "*.csv"
     interval: str | None = None
@@ -171,7 +172,7 @@ def score_messages(spark: SparkSession, s: Settings) -> None:
     """Score a Kafka topic into another; unusable messages go to a folder."""
     options = _kafka_options(s)
     start_scoring(
-        kafka.read_messages(spark, s.servers, s.topic, options),
+        kafka.read_messages(spark, s.servers, s.topic, options, s.max_offsets),
         load_model(s.model),
         lambda batch, _: kafka.write_messages(batch, s.servers, s.results_topic, options),
         replace_batch(s.rejects),

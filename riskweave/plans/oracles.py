@@ -243,6 +243,10 @@ def all_oracles() -> dict[str, str]:
         FROM prep GROUP BY "{c}_str" """
         for c in BINARY_FEATURES
     )
+    discrete = _prep(
+        f'SELECT "TransactionID", {one_hot_columns}, {_MIN_MAX} FROM prep {one_hot_joins}',
+        *_ONE_HOT,
+    )
     return {
         "transactions_scan": whole,
         "parquet_roundtrip": whole,
@@ -356,10 +360,8 @@ FROM prec""",
             f'SELECT "TransactionID", {_ROBUST} FROM prep, spread', _SPREADS
         ),
         "feature_array": _FEATURE_ARRAY,
-        "discrete_vectors": _prep(
-            f'SELECT "TransactionID", {one_hot_columns}, {_MIN_MAX} FROM prep {one_hot_joins}',
-            *_ONE_HOT,
-        ),
+        "discrete_vectors": discrete,
+        "saved_pipeline": discrete,
         "roc_auc_exact": _with(_TRANSACTIONS, _AUC, body="SELECT * FROM auc"),
         "roc_auc_evaluator": _with(
             _TRANSACTIONS, _AUC, body="SELECT round(auc, 9) AS auc FROM auc"
@@ -417,6 +419,10 @@ FROM tm""",
         "stream_feature_rows": _prep(
             f"""
 SELECT '{_STAMP}' AS ts, card1 AS card_id, * EXCLUDE ("isFraud") FROM prep"""
+        ),
+        "stream_scores": _tx(
+            """
+SELECT "TransactionID", card1, card1 AS card_id, TRUE AS equals_batch_score FROM tx"""
         ),
         "stream_ingest": _SENSORS.strip(),
     }

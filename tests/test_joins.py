@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from riskweave.operators import joins
 from riskweave.operators.joins import BroadcastBound, exclude_keys, measure
 from riskweave.operators.split import hash_split, train_validation_split
 from tests.plans import plan_of
@@ -34,7 +35,7 @@ def brute_force(facts, bad, null_keys):
 @pytest.mark.parametrize("bad", [[], [7], [3, 7, None], [1000]])
 def test_exclusion(spark, facts, bound, null_keys, bad):
     keys = spark.createDataFrame([(b,) for b in bad], "key bigint")
-    left = exclude_keys(facts, keys, "key", null_keys, bound, salts=5, salt_by=["id"])
+    left = exclude_keys(facts, keys, "key", null_keys, bound, ["id"])
     assert left.columns == facts.columns
     found = sorted(r["id"] for r in left.collect())
     assert found == brute_force(facts, {b for b in bad if b is not None}, null_keys)
@@ -49,13 +50,31 @@ def test_small_sets_are_broadcast_and_large_ones_salted(spark, facts):
     assert "SinglePartition" not in large
 
 
-def test_hot_key_is_spread(spark, facts):
-    """No salted partition holds as much as the hot key's third of the rows."""
-    salt = F.pmod(F.xxhash64("id"), F.lit(16))
-    largest = (
-        facts.where("key = 7").groupBy("key", salt.alias("s")).count().agg(F.max("count")).first()
-    )
-    assert largest[0] < 1000 / 8
+def test_hot_keys_are_salted_and_others_are_not(spark, monkeypatch):
+    """With one hot key allowed, its third of the rows spreads over all salts."""
+    monkeypatch.setattr(joins, "HOT_KEYS", 1)
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(100 + F.col("id") % 500).cast("bigint")
+    facts = spark.range(6000).withColumn("key", key)
+    assert [r["key"] for r in joins.hot_keys(facts, "key").collect()] == [7]
+    names = spark.range(1000).select(F.col("id").alias("key"), F.lit("x").alias("name"))
+    size = joins.measure(names)
+    joined = joins.sized_join(facts, names, "key", "left", size, NOTHING, ["id"])
+    assert joined.count() == 6000 and joined.where("name IS NULL").count() == 0
+
+    placed = facts.join(joins.hot_keys(facts, "key"), "key", "left")
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("id"), F.lit(4))).otherwise(0)
+    per_task = placed.groupBy("key", salt.alias("s")).count().agg(F.max("count")).first()[0]
+    assert per_task < 2000 / 3
+
+
+def test_dictionary_join_is_the_same_both_ways(spark, facts):
+    names = spark.range(0, 50, 2).select(F.col("id").alias("key"), F.lit("x").alias("name"))
+    size = joins.measure(names)
+    ways = [
+        joins.sized_join(facts, names, "key", "left", size, bound, ["id"]).select("id", "name")
+        for bound in (BroadcastBound(), NOTHING)
+    ]
+    assert ways[0].exceptAll(ways[1]).count() == ways[1].exceptAll(ways[0]).count() == 0
 
 
 def test_measure_counts_text(spark):

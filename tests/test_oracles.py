@@ -13,11 +13,9 @@ ORACLES = contract.oracle_sql()
 # Models, fitted without a fixed SQL form; checked in the other test modules.
 ROWS_ONLY = {
     "feature_vectors",
-    "saved_pipeline",
     "gbt_scores",
     "tuning_results",
     "champion_decision",
-    "stream_scores",
 }
 
 
