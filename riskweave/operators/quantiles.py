@@ -1,8 +1,9 @@
 """Exact column quantiles by distributed selection.
 
-A sketch brackets each quantile, one pass counts the values below the bracket,
-and only the values inside it (a few per mille of the rows) are grouped and put
-in order. Spark's ``percentile`` would instead hold all distinct values of a
+A sketch brackets each quantile between two values of the column, one pass
+counts the values up to each end, and only where a wanted rank falls strictly
+between the ends are the values there (a few per mille of the rows) grouped and
+put in order. Spark's ``percentile`` would instead hold all distinct values of a
 column in one task.
 """
 
@@ -17,21 +18,25 @@ from pyspark.sql import functions as F
 
 from riskweave.operators.running import running_totals
 
-_SLACK = 0.001
-_SKETCH_ACCURACY = 10_000
+_SKETCH_ACCURACY = 1_000
+_SLACK = 0.003
+# Brackets counted per job: more aggregates than this outgrow generated code.
+_BRACKETS_PER_PASS = 24
 
 
 @dataclass
 class _Bracket:
-    """A quantile's two neighbouring ranks and a value range known to hold both."""
+    """Two values around a quantile and the number of values up to each."""
 
     column: str
     probability: float
     count: int
     low: float
     high: float
-    below: int = 0
-    upto: int = 0
+    below_low: int = 0
+    upto_low: int = 0
+    below_high: int = 0
+    upto_high: int = 0
 
     @property
     def position(self) -> float:
@@ -42,8 +47,18 @@ class _Bracket:
         return math.floor(self.position), math.ceil(self.position)
 
     @property
-    def holds_ranks(self) -> bool:
-        return self.below <= self.ranks[0] and self.ranks[1] < self.upto
+    def is_wrong(self) -> bool:
+        return self.ranks[0] < self.below_low or self.ranks[1] >= self.upto_high
+
+    def end_value(self, rank: int) -> float | None:
+        """Value at a rank, or None if it lies strictly between the ends."""
+        if rank < self.upto_low:
+            return self.low
+        return self.high if rank >= self.below_high else None
+
+    @property
+    def inside(self) -> int:
+        return max(0, self.below_high - self.upto_low)
 
 
 def _sketch(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> tuple:
@@ -70,49 +85,59 @@ def _sketch(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float
 
 
 def _count_brackets(df: DataFrame, brackets: Sequence[_Bracket]) -> None:
-    counts = []
-    for i, b in enumerate(brackets):
-        counts.append(F.count_if(F.col(b.column) < F.lit(b.low)).alias(f"below{i}"))
-        counts.append(F.count_if(F.col(b.column) <= F.lit(b.high)).alias(f"upto{i}"))
-    row = df.agg(*counts).first()
-    for i, b in enumerate(brackets):
-        b.below, b.upto = row[f"below{i}"], row[f"upto{i}"]
+    for start in range(0, len(brackets), _BRACKETS_PER_PASS):
+        chunk = brackets[start : start + _BRACKETS_PER_PASS]
+        counts = []
+        for i, b in enumerate(chunk):
+            value = F.col(b.column)
+            counts += [
+                F.count_if(value < b.low).alias(f"below_low{i}"),
+                F.count_if(value <= b.low).alias(f"upto_low{i}"),
+                F.count_if(value < b.high).alias(f"below_high{i}"),
+                F.count_if(value <= b.high).alias(f"upto_high{i}"),
+            ]
+        row = df.agg(*counts).first()
+        for i, b in enumerate(chunk):
+            for name in ("below_low", "upto_low", "below_high", "upto_high"):
+                setattr(b, name, row[f"{name}{i}"])
 
 
 def _looked_up(per_bracket: Sequence[int]) -> Column:
     return F.get(F.array(*[F.lit(v).cast("bigint") for v in per_bracket]), F.col("bracket"))
 
 
-def _select(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[int, tuple[float, float]]:
-    """Values at the two ranks of each bracket."""
-    inside = [
-        F.when(
-            F.col(b.column).between(F.lit(b.low), F.lit(b.high)),
-            F.struct(F.lit(i).alias("bracket"), F.col(b.column).cast("double").alias("value")),
-        )
-        for i, b in enumerate(brackets)
-    ]
+def _inner_values(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[tuple[int, int], float]:
+    """Values at the ranks that lie between the ends, by (bracket, 0 or 1 for the rank)."""
+    cells = []
+    for i, b in enumerate(brackets):
+        value = F.col(b.column)
+        cell = F.struct(F.lit(i).alias("bracket"), value.cast("double").alias("value"))
+        cells.append(F.when((value > b.low) & (value < b.high), cell))
     values = (
-        df.select(F.inline(F.array_compact(F.array(*inside))))
+        df.select(F.inline(F.array_compact(F.array(*cells))))
         .groupBy("bracket", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     placed = running_totals(values, [F.col("bracket"), F.col("value")], {"before": F.col("n")})
 
     # A value's rank in its column: its place in the global order, less the
-    # values of earlier brackets, plus the values below its own bracket.
+    # values of earlier brackets, plus the values up to the lower end of its own.
     shifts, start = [], 0
     for b in brackets:
-        shifts.append(b.below - start)
-        start += b.upto - b.below
+        shifts.append(b.upto_low - start)
+        start += b.inside
     first = F.col("before") + _looked_up(shifts)
-    at_or_after = [first + F.col("n") > _looked_up([b.ranks[i] for b in brackets]) for i in (0, 1)]
-    not_past = [first <= _looked_up([b.ranks[i] for b in brackets]) for i in (0, 1)]
-    wanted = (at_or_after[0] & not_past[0]) | (at_or_after[1] & not_past[1])
-    found: dict[int, list[float]] = {}
-    for row in placed.where(wanted).collect():  # at most two rows per bracket
-        found.setdefault(row["bracket"], []).append(row["value"])
-    return {i: (min(v), max(v)) for i, v in found.items()}
+    hits = []
+    for side in (0, 1):
+        rank = _looked_up([b.ranks[side] for b in brackets])
+        hits.append(((first <= rank) & (rank < first + F.col("n"))).alias(f"hit{side}"))
+    found = placed.select("bracket", "value", *hits).where("hit0 OR hit1")
+    return {
+        (row["bracket"], side): row["value"]
+        for row in found.collect()  # at most two rows per bracket
+        for side in (0, 1)
+        if row[f"hit{side}"]
+    }
 
 
 def exact_quantiles(
@@ -120,23 +145,25 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Interpolated quantiles of each column over its non-NULL values.
 
-    Three column-pruned scans at most; only scalars reach the driver. A bracket
-    the sketch placed wrongly is widened to the full range of its column.
+    A few column-pruned scans; only scalars reach the driver. A bracket the
+    sketch placed wrongly is widened to the full range of its column.
     """
     df = df.select(*columns)
     brackets, limits = _sketch(df, columns, probabilities)
-    result: dict[str, dict[float, float]] = {c: {} for c in columns}
-    if brackets:
-        _count_brackets(df, brackets)
-        for b in brackets:
-            if not b.holds_ranks:
-                b.low, b.high = limits[b.column]
-                b.below, b.upto = 0, b.count
-        spread = [b for b in brackets if b.low != b.high]
-        ends = _select(df, spread) if spread else {}
-        pairs = {(b.column, b.probability): ends[i] for i, b in enumerate(spread)}
-        for b in brackets:
-            low, high = pairs.get((b.column, b.probability), (b.low, b.high))
-            fraction = b.position - b.ranks[0]
-            result[b.column][b.probability] = low + (high - low) * fraction
-    return {c: [result[c].get(p) for p in probabilities] for c in columns}
+    _count_brackets(df, brackets)
+    wrong = [b for b in brackets if b.is_wrong]
+    for b in wrong:
+        b.low, b.high = limits[b.column]
+    _count_brackets(df, wrong)
+
+    open_brackets = [b for b in brackets if None in map(b.end_value, b.ranks)]
+    inner = _inner_values(df, open_brackets) if open_brackets else {}
+    result: dict[tuple[str, float], float] = {}
+    for b in brackets:
+        ends = [b.end_value(rank) for rank in b.ranks]
+        for side in (0, 1):
+            if ends[side] is None:
+                ends[side] = inner[open_brackets.index(b), side]
+        fraction = b.position - b.ranks[0]
+        result[b.column, b.probability] = ends[0] + (ends[1] - ends[0]) * fraction
+    return {c: [result.get((c, p)) for p in probabilities] for c in columns}

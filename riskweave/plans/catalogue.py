@@ -523,11 +523,9 @@ def _decoded_results(sent: DataFrame) -> DataFrame:
 
 
 def _streamed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = (
-        spark.readStream.schema(read_events(spark, sf_dir).schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    # A stream takes one file only through a pattern; a folder of files matches too.
+    schema = read_events(spark, sf_dir).schema
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
     return _messages(transactions_from_events(events))
 
 
