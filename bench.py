@@ -60,7 +60,8 @@ def one_grid_point(spark: SparkSession):
     """The tuning run of the published session: depth 10, 100 rows per node, and a refit."""
     trees = pipelines.gradient_boosted_trees()
     grid = training.parameter_grid(trees, depths=(10,), min_instances=(100,))
-    return training.tune(read_event_transactions(spark, SF_DIR), trees, grid).model
+    data = read_event_transactions(spark, SF_DIR)
+    return training.tune(data, trees, grid).model
 
 
 def measure(spark: SparkSession) -> dict[str, float]:

@@ -108,6 +108,7 @@ def tune_model(spark: SparkSession, s: Settings) -> TuningResult:
         train_fraction=1 - s.val_frac,
         seed=s.seed,
         parallelism=s.parallelism,
+        partitions=s.partitions,
     )
     for line in result.explained():
         logger.info(line)

@@ -29,6 +29,7 @@ from riskweave.plans.pipelines import (
     joined_models,
 )
 from riskweave.sources.runlog import RunLog
+from riskweave.sources.tables import laid_out
 from riskweave.sources.workspace import checkpoint_root
 
 # The searched grid.
@@ -58,13 +59,20 @@ def needed_columns(data: DataFrame) -> DataFrame:
 
 
 def fit_model(
-    data: DataFrame, classifier: GBTClassifier, features: Pipeline | None = None
+    data: DataFrame,
+    classifier: GBTClassifier,
+    features: Pipeline | None = None,
+    partitions: int | None = None,
 ) -> PipelineModel:
-    """Fit the feature stages, then the classifier on their vectors."""
+    """Fit the feature stages, then the classifier on their vectors.
+
+    ``partitions`` spreads the vectors of an input with too few files; otherwise
+    the scan's own partitions are kept.
+    """
     checkpoint_root(data.sparkSession)  # tree training cuts its lineage there
     data = needed_columns(data)
     fitted = (features or get_feature_extraction_pipeline()).fit(data)
-    vectors = fitted.transform(data).select(FEATURES, S.LABEL)
+    vectors = laid_out(fitted.transform(data).select(FEATURES, S.LABEL), partitions)
     return joined_models(fitted, classifier.fit(vectors))
 
 
@@ -100,6 +108,7 @@ def tune(
     train_fraction: float = 0.8,
     seed: int = 42,
     parallelism: int = 2,
+    partitions: int | None = None,
 ) -> TuningResult:
     """Grid search on one hash split; the best point is refitted on all rows.
 
@@ -114,7 +123,7 @@ def tune(
 
     def vectors(rows: DataFrame) -> DataFrame:
         kept = features.transform(needed_columns(rows)).select(FEATURES, S.LABEL)
-        return kept.persist(StorageLevel.MEMORY_AND_DISK)
+        return laid_out(kept, partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
     train_vectors, held_out_vectors = vectors(train), vectors(held_out)
     evaluator = auc_evaluator()
@@ -132,7 +141,7 @@ def tune(
         held_out_vectors.unpersist()
 
     winner = max(range(len(trials)), key=lambda i: (trials[i].auc, -i))
-    model = fit_model(data, classifier.copy(grid[winner]))
+    model = fit_model(data, classifier.copy(grid[winner]), partitions=partitions)
     return TuningResult(model, trials, trials[winner])
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskweave.schema import TRANSACTION_SCHEMA
@@ -48,7 +49,8 @@ def laid_out(
 ) -> DataFrame:
     """Repartition only where asked; otherwise AQE sizes the output partitions.
 
-    Without keys the rows go round-robin, which no hot key can unbalance.
+    Without keys the rows go round-robin, which no hot key can unbalance. Give
+    keys only where no value of theirs is hot, or add a second, finer one.
     """
     if partitions is None:
         return df.repartition(*keys) if keys else df
@@ -63,6 +65,13 @@ def write_parquet(
     keys: Sequence[str] = (),
     partition_by: Sequence[str] = (),
 ) -> None:
+    """Write Parquet, in folders by the columns ``partition_by``.
+
+    Folders are filled from partitions AQE balances: large ones are split and
+    small ones merged, so a folder gets few files and no task a whole hot folder.
+    """
+    if partition_by and partitions is None and not keys:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     writer = laid_out(df, partitions, keys).write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -6,6 +6,7 @@ Works on any streaming (or batch) DataFrame with a ``value`` column.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -99,6 +100,15 @@ def score_stream(messages: DataFrame, model: PipelineModel) -> DataFrame:
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+@dataclass
+class Traffic:
+    """Messages handled so far by a running query; repeated batches count again."""
+
+    received: int = 0
+    sent: int = 0
+    rejected: int = 0
+
+
 def start_scoring(
     messages: DataFrame,
     model: PipelineModel,
@@ -106,6 +116,7 @@ def start_scoring(
     write_rejects: BatchWriter,
     checkpoint: str,
     trigger: dict | None = None,
+    traffic: Traffic | None = None,
 ) -> StreamingQuery:
     """Long-running scoring with a side output for unusable messages.
 
@@ -119,6 +130,13 @@ def start_scoring(
         try:
             write_results(result_messages(score_rows(usable(parsed), model)), batch_id)
             write_rejects(rejected(parsed), batch_id)
+            if traffic is not None:
+                seen = parsed.agg(
+                    F.count(F.lit(1)).alias("all"), F.count("reject_reason").alias("rejected")
+                ).first()
+                traffic.received += seen["all"]
+                traffic.rejected += seen["rejected"]
+                traffic.sent += seen["all"] - seen["rejected"]
         finally:
             parsed.unpersist()
 

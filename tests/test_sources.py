@@ -41,6 +41,7 @@ def test_requested_partitions(transactions, tmp_path):
     days = str(tmp_path / "days")
     by_day = transactions.withColumn("day", F.floor(F.col(S.TIME) / 86400))
     tables.write_parquet(by_day, days, partition_by=["day"])
+    assert all(len(list(d.glob("part-*"))) == 1 for d in (tmp_path / "days").glob("day=*"))
     plan = plan_of(transactions.sparkSession.read.parquet(days).where("day = 3"))
     assert "PartitionFilters: [isnotnull(day" in plan
 

@@ -93,6 +93,7 @@ def test_stream_scores_equal_batch_scores(spark, transactions, model, tmp_path):
     messages = (
         spark.readStream.schema("value string").option("maxFilesPerTrigger", 2).parquet(incoming)
     )
+    traffic = scoring.Traffic()
     query = scoring.start_scoring(
         messages,
         model,
@@ -100,8 +101,11 @@ def test_stream_scores_equal_batch_scores(spark, transactions, model, tmp_path):
         scoring.replace_batch(str(tmp_path / "rejects")),
         str(tmp_path / "checkpoint"),
         {"availableNow": True},
+        traffic,
     )
     query.awaitTermination()
+    n = transactions.count()
+    assert traffic == scoring.Traffic(received=n + 1, sent=n, rejected=1)
     assert scoring.received_messages(query.recentProgress) == transactions.count() + 1
 
     sent = spark.read.parquet(str(tmp_path / "results"))
