@@ -118,7 +118,7 @@ def start_scoring(
     trigger: dict | None = None,
     traffic: Traffic | None = None,
 ) -> StreamingQuery:
-    """Long-running scoring with a side output for unusable messages.
+    """Long-running scoring with a side output for unusable messages, if there are any.
 
     A writer gets a batch and its id. After a failure Spark repeats a batch
     under the same id, so a writer that replaces the output of that id makes
@@ -129,7 +129,9 @@ def start_scoring(
         parsed = parse_messages(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_results(result_messages(score_rows(usable(parsed), model)), batch_id)
-            write_rejects(rejected(parsed), batch_id)
+            unusable = rejected(parsed)
+            if not unusable.isEmpty():  # no empty files while all is well
+                write_rejects(unusable, batch_id)
             if traffic is not None:
                 seen = parsed.agg(
                     F.count(F.lit(1)).alias("all"), F.count("reject_reason").alias("rejected")
