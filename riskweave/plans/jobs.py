@@ -10,7 +10,8 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass, fields
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskweave import schema as S
 from riskweave.operators.split import without_denied
@@ -36,7 +37,7 @@ from riskweave.sources.tables import (
 )
 from riskweave.streaming.ingest import start_csv_ingest
 from riskweave.streaming.replay import replay
-from riskweave.streaming.scoring import replace_batch, start_scoring
+from riskweave.streaming.scoring import Traffic, replace_batch, start_scoring
 
 logger = logging.getLogger(__name__)
 
@@ -170,24 +171,46 @@ def ingest_csv(spark: SparkSession, s: Settings) -> None:
 
 
 def score_messages(spark: SparkSession, s: Settings) -> None:
-    """Score a Kafka topic into another; unusable messages go to a folder."""
-    options = _kafka_options(s)
-    start_scoring(
-        kafka.read_messages(spark, s.servers, s.topic, options, s.max_offsets),
+    """Score a Kafka topic into another, or a folder of text files into a folder.
+
+    Unusable messages go to the folder ``rejects``. A folder is scored once
+    unless ``interval`` says to keep waiting for files.
+    """
+    if s.servers:
+        options = _kafka_options(s)
+        messages = kafka.read_messages(spark, s.servers, s.topic, options, s.max_offsets)
+        trigger = {"processingTime": s.interval or "1 second"}
+
+        def write_results(batch: DataFrame, batch_id: int) -> None:
+            kafka.write_messages(batch, s.servers, s.results_topic, options)
+
+    else:
+        messages = spark.readStream.text(s.data)
+        trigger = {"processingTime": s.interval} if s.interval else {"availableNow": True}
+        write_results = replace_batch(s.output)
+    traffic = Traffic()
+    query = start_scoring(
+        messages,
         load_model(s.model),
-        lambda batch, _: kafka.write_messages(batch, s.servers, s.results_topic, options),
+        write_results,
         replace_batch(s.rejects),
         s.checkpoint,
-        {"processingTime": s.interval or "1 second"},
-    ).awaitTermination()
+        trigger,
+        traffic,
+    )
+    try:
+        query.awaitTermination()
+    finally:
+        logger.info("%s", traffic)
 
 
 def replay_messages(spark: SparkSession, s: Settings) -> None:
-    """Send some transactions to a Kafka topic as scoring input."""
-    data = read_transactions(spark, s.data)
-    kafka.write_messages(
-        replay(data, s.messages, s.seed), s.servers, s.topic, _kafka_options(s)
-    )
+    """Send some transactions as scoring input to a Kafka topic or a folder of text files."""
+    sent = replay(read_transactions(spark, s.data), s.messages, s.seed)
+    if s.servers:
+        kafka.write_messages(sent, s.servers, s.topic, _kafka_options(s))
+    else:
+        sent.select(F.col("value").cast("string")).write.mode("append").text(s.output)
 
 
 JOBS: dict[str, Callable[[SparkSession, Settings], object]] = {

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 from riskweave import schema as S
 from riskweave.operators.split import compromised_cards, training_rows
 from riskweave.plans import jobs
+from riskweave.plans.pipelines import gradient_boosted_trees
+from riskweave.plans.training import parameter_grid
 from riskweave.sources import tables, workspace
 from riskweave.sources.runlog import RunLog, read_run_log
 from tests.plans import plan_of
@@ -144,6 +147,29 @@ def test_ingest_job(spark, tmp_path):
     assert spark.read.parquet(out).count() == 1
 
 
+def test_model_jobs_end_to_end(spark, stored, tmp_path, monkeypatch):
+    """Tune, contest, replay and score through files."""
+    monkeypatch.setattr(jobs, "parameter_grid", lambda trees: parameter_grid(trees, [2], [15]))
+    small = partial(gradient_boosted_trees, maxIter=2)
+    monkeypatch.setattr(jobs, "gradient_boosted_trees", small)
+    at = {n: str(tmp_path / n) for n in ("model", "better", "log", "in", "out", "bad", "check")}
+    run(spark, "tune-model", "--data", stored, "--output", at["model"], "--run-log", at["log"])
+    decision = run(
+        spark, "compare-models", "--data", stored, "--model", at["model"], "--output",
+        at["better"], "--run-log", at["log"], "--cutoff", "604800", "--k-cards", "5",
+    )
+    assert decision.k == 5
+    kinds = {r["kind"] for r in read_run_log(spark, at["log"]).collect()}
+    assert kinds >= {"experiment", "param", "metric", "artifact", "decision"}
+
+    run(spark, "replay-messages", "--data", stored, "--output", at["in"], "--messages", "25")
+    run(
+        spark, "score-messages", "--data", at["in"], "--model", at["model"], "--output", at["out"],
+        "--rejects", at["bad"], "--checkpoint", at["check"],
+    )
+    assert spark.read.parquet(at["out"]).count() == 25
+
+
 def test_arguments():
     job, settings = jobs.parse_arguments(
         ["score-messages", "--servers", "h:1", "--kafka-options", "a=b", "c=d=e", "--k-cards", "9"]
