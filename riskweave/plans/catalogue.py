@@ -337,14 +337,10 @@ def feature_array(spark, sf_dir):
     )
 
 
-def _fit_features(data: DataFrame):
-    return pipelines.get_feature_extraction_pipeline().fit(training.needed_columns(data))
-
-
 @_query
 def feature_vectors(spark, sf_dir):
     data = _transactions(spark, sf_dir)
-    vectors = _fit_features(data).transform(data)
+    vectors = training.fit_features(data).transform(data)
     return vectors.select(S.TRANSACTION_ID, vector_to_array("features").alias("features"))
 
 
@@ -365,7 +361,7 @@ def _discrete_parts(vectors: DataFrame) -> DataFrame:
 @_query
 def discrete_vectors(spark, sf_dir):
     data = _transactions(spark, sf_dir)
-    return _discrete_parts(_fit_features(data).transform(data))
+    return _discrete_parts(training.fit_features(data).transform(data))
 
 
 @_query
@@ -373,7 +369,7 @@ def saved_pipeline(spark, sf_dir):
     """Saved, loaded and applied."""
     data = _transactions(spark, sf_dir)
     path = scratch_path(spark, "feature-pipeline")
-    tables.save_model(_fit_features(data), path)
+    tables.save_model(training.fit_features(data), path)
     return _discrete_parts(tables.load_model(path).transform(data))
 
 

@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from riskweave import schema as S
 from riskweave.operators.split import without_denied
 from riskweave.plans.champion import Decision, run_champion_challenger
-from riskweave.plans.pipelines import get_feature_extraction_pipeline, gradient_boosted_trees
+from riskweave.plans.pipelines import gradient_boosted_trees
 from riskweave.plans.training import (
     TuningResult,
+    fit_features,
     log_tuning,
-    needed_columns,
     parameter_grid,
     tune,
 )
@@ -87,7 +87,7 @@ def _kafka_options(s: Settings) -> dict[str, str]:
 def build_features(spark: SparkSession, s: Settings) -> None:
     """Fit the feature pipeline, save it, and write the training features."""
     data = read_transactions(spark, s.data)
-    model = get_feature_extraction_pipeline().fit(needed_columns(data))
+    model = fit_features(data)
     save_model(model, s.model)
     write_parquet(model.transform(data), s.features, s.mode, s.partitions)
 

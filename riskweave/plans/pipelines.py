@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import (
@@ -96,7 +96,3 @@ def get_fraud_detection_model_pipeline(classifier: Estimator | None = None) -> P
 def with_last_stage_replaced(pipeline: Pipeline, classifier: Estimator) -> Pipeline:
     return Pipeline(stages=[*pipeline.getStages()[:-1], classifier])
 
-
-def joined_models(features: PipelineModel, classifier: Transformer) -> PipelineModel:
-    """One model of separately fitted features and classifier."""
-    return PipelineModel(stages=[*features.stages, classifier])

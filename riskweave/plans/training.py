@@ -26,7 +26,6 @@ from riskweave.plans.pipelines import (
     get_feature_extraction_pipeline,
     get_fraud_detection_model_pipeline,
     gradient_boosted_trees,
-    joined_models,
 )
 from riskweave.sources.runlog import RunLog
 from riskweave.sources.tables import laid_out
@@ -58,22 +57,40 @@ def needed_columns(data: DataFrame) -> DataFrame:
     return data.select(*[c for c in data.columns if c in keep])
 
 
+def fit_features(data: DataFrame, pipeline: Pipeline | None = None) -> PipelineModel:
+    """The fitted feature pipeline: one column-pruned scan per fitted stage.
+
+    Keeping the rows for the later scans costs more than the scans.
+    """
+    return (pipeline or get_feature_extraction_pipeline()).fit(needed_columns(data))
+
+
+def feature_vectors(
+    data: DataFrame, features: PipelineModel, partitions: int | None = None
+) -> DataFrame:
+    """Vectors and labels, kept until unpersisted: a tree fit reads them many times.
+
+    ``partitions`` spreads an input with too few files; otherwise the scan's own
+    partitions stay.
+    """
+    vectors = features.transform(needed_columns(data)).select(FEATURES, S.LABEL)
+    return laid_out(vectors, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_model(
     data: DataFrame,
     classifier: GBTClassifier,
-    features: Pipeline | None = None,
+    pipeline: Pipeline | None = None,
     partitions: int | None = None,
 ) -> PipelineModel:
-    """Fit the feature stages, then the classifier on their vectors.
-
-    ``partitions`` spreads the vectors of an input with too few files; otherwise
-    the scan's own partitions are kept.
-    """
+    """Fit the feature stages, then the classifier on their vectors."""
     checkpoint_root(data.sparkSession)  # tree training cuts its lineage there
-    data = needed_columns(data)
-    fitted = (features or get_feature_extraction_pipeline()).fit(data)
-    vectors = laid_out(fitted.transform(data).select(FEATURES, S.LABEL), partitions)
-    return joined_models(fitted, classifier.fit(vectors))
+    features = fit_features(data, pipeline)
+    vectors = feature_vectors(data, features, partitions)
+    try:
+        return PipelineModel(stages=[*features.stages, classifier.fit(vectors)])
+    finally:
+        vectors.unpersist()
 
 
 @dataclass(frozen=True)
@@ -118,14 +135,11 @@ def tune(
     classifier = classifier or gradient_boosted_trees()
     grid = list(grid if grid is not None else parameter_grid(classifier))
     train, held_out = hash_split(data, train_fraction, seed)
-    features = get_feature_extraction_pipeline().fit(needed_columns(train))
+    features = fit_features(train)
     checkpoint_root(data.sparkSession)
 
-    def vectors(rows: DataFrame) -> DataFrame:
-        kept = features.transform(needed_columns(rows)).select(FEATURES, S.LABEL)
-        return laid_out(kept, partitions).persist(StorageLevel.MEMORY_AND_DISK)
-
-    train_vectors, held_out_vectors = vectors(train), vectors(held_out)
+    train_vectors = feature_vectors(train, features, partitions)
+    held_out_vectors = feature_vectors(held_out, features, partitions)
     evaluator = auc_evaluator()
 
     def trial(point: ParamMap) -> Trial:
