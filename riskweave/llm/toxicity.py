@@ -2,8 +2,8 @@
 
 The labelled texts give each hashed n-gram the log of its smoothed share among
 toxic texts over that among others. An n-gram that occurs in a text enters the
-linear model with this ratio as its value, however often it occurs. N-grams
-whose ratio is not significant are left out of the model.
+linear model with this ratio as its value, however often it occurs. N-grams whose
+counts differ from those expected by no more than chance are left out.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave.llm.text import (
@@ -30,6 +30,7 @@ MOST_LABELLED = 20_000  # bound on the rows the model is fitted on
 BUCKETS = 1 << 20
 LENGTHS = (4, 5, 6)
 MOST_FEATURES = 4096
+LEAST_EVIDENCE = 30.0  # likelihood ratio statistic; for 2**20 buckets chance stays below it
 _CHUNK = 1 << 20
 
 
@@ -91,9 +92,16 @@ def gram_ratios(sample: DataFrame, most: int = MOST_FEATURES) -> tuple[np.ndarra
     ).first()
     share = lambda c: (F.col(c) + 1) / F.lit(texts[c] + 2.0)
     ratio = F.log(share("pos") / share("neg"))
-    spread = F.sqrt(1 / (F.col("pos") + 1) + 1 / (F.col("neg") + 1))
+    both, every = F.col("pos") + F.col("neg"), texts["pos"] + texts["neg"]
+
+    def surprise(c: str) -> Column:
+        expected = both * (texts[c] / max(1, every))
+        return F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / expected)).otherwise(0.0)
+
+    evidence = 2 * (surprise("pos") + surprise("neg"))
     rows = (
-        counts.select("bucket", ratio.alias("ratio"), F.abs(ratio / spread).alias("weight"))
+        counts.select("bucket", ratio.alias("ratio"), evidence.alias("weight"))
+        .where(F.col("weight") >= LEAST_EVIDENCE)
         .orderBy(F.desc("weight"), "bucket")
         .limit(most)
         .toArrow()
@@ -126,7 +134,7 @@ def _fit_linear(
     values = ratios[columns]
     weights, bias = np.zeros(k), 0.0
     mean, square = np.zeros(k + 1), np.zeros(k + 1)
-    for step in range(1, 601):
+    for step in range(1, 401):
         margin = bias + np.bincount(rows, values * weights[columns], n)
         error = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - targets) / n
         slope = np.bincount(columns, values * error[rows], k) + penalty * weights / n
@@ -140,7 +148,7 @@ def _fit_linear(
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, most_rows: int = MOST_LABELLED, penalty: float = 0.1
+    docs: DataFrame, labels: DataFrame, most_rows: int = MOST_LABELLED, penalty: float = 1.0
 ) -> ToxicityModel:
     """A model fitted on at most ``most_rows`` labelled documents outside the held-out fold.
 
