@@ -1,7 +1,7 @@
 """JSON envelopes of the scoring loop.
 
 In:  ``{"ts", "card_id", "features"}``; ``features`` is itself JSON text of one
-     row laid out by column, ``{"V26": {"0": 1.0}, ...}``.
+     row laid out by column, ``{"V26": {"0": 1.0}, ...}``; any one row key will do.
 Out: ``{"ts", "card_id", "result"}``; ``result`` is JSON text of
      ``{"TransactionID", "card1", "probability_"}``.
 The message key is the card id in decimal.
@@ -80,27 +80,42 @@ def _is_integer(field: T.StructField) -> bool:
 
 
 def parse_features(features: Column, schema: T.StructType) -> Column:
-    """A struct of cells. Integers may arrive as 9 or 9.0, so they are read as decimals,
-    which keep all 64 bits.
+    """A struct of columns, each a map from row key to cell. Integers may arrive as 9
+    or 9.0, so they are read as decimals, which keep all 64 bits.
     """
     cells = [
-        f"`{f.name}` struct<`{_ROW}`: {'decimal(38,10)' if _is_integer(f) else 'double'}>"
+        f"`{f.name}` map<string, {'decimal(38,10)' if _is_integer(f) else 'double'}>"
         for f in schema.fields
     ]
     return _parsed(features, ", ".join(cells))
 
 
+def row_count(features: Column, schema: T.StructType) -> Column:
+    """Number of different row keys over all columns; a key given twice counts twice."""
+    keys = [F.coalesce(F.map_keys(features[f.name]), _no_keys()) for f in schema.fields]
+    most = F.greatest(*[F.size(k) for k in keys])
+    return F.greatest(F.size(F.array_distinct(F.concat(*keys))), most)
+
+
+def _no_keys() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _cell(features: Column, field: T.StructField) -> Column:
+    return F.get(F.map_values(features[field.name]), F.lit(0))
+
+
 def feature_value(features: Column, field: T.StructField) -> Column:
     """One cell in its declared type; NULL when it is absent or out of range."""
-    cell = features[field.name][_ROW]
+    cell = _cell(features, field)
     return cell.try_cast(field.dataType) if _is_integer(field) else cell
 
 
-def out_of_range(features: Column, schema: T.StructType) -> Column:
-    """Whether some integer cell does not fit its type."""
-    misfits = [
-        features[f.name][_ROW].isNotNull() & feature_value(features, f).isNull()
-        for f in schema.fields
-        if _is_integer(f)
-    ]
+def misfit(features: Column, schema: T.StructType) -> Column:
+    """Whether some integer cell has a fraction or does not fit its type."""
+    misfits = []
+    for field in filter(_is_integer, schema.fields):
+        cell = _cell(features, field)
+        lost = feature_value(features, field).isNull() | (cell != F.floor(cell))
+        misfits.append(cell.isNotNull() & lost)
     return reduce(Column.__or__, misfits, F.lit(False))

@@ -4,30 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave import schema as S
 from riskweave.operators.features import prepare_features, text_column
-from riskweave.operators.joins import measure, sized_join
+from riskweave.operators.joins import DEFAULT_BOUND, BroadcastBound, measure, sized_join
 from riskweave.operators.quantiles import exact_quantiles
 from riskweave.operators.running import running_totals
+from riskweave.sources.workspace import settle
 
 
-def label_index(df: DataFrame, column: str) -> DataFrame:
-    """``label, n, index``: labels by descending count, ties by label, from 0."""
-    counts = (
+def label_index(
+    df: DataFrame, column: str, bound: BroadcastBound = DEFAULT_BOUND
+) -> DataFrame:
+    """``label, n, index``: labels by descending count, ties by label, from 0.
+
+    A dictionary measured as small is ranked in one window; a larger one by running
+    totals over a distributed sort.
+    """
+    counts = settle(
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("label"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     order = [F.col("n").desc(), F.col("label").asc()]
+    if measure(counts).within(bound):
+        position = F.row_number().over(Window.orderBy(*order)) - 1
+        return counts.withColumn("index", position.cast("bigint"))
     return running_totals(counts, order, {"index": F.lit(1)})
 
 
-def one_hot_bits(index: Column, width: int) -> Column:
-    """Array of ``width`` zeros with a one at ``index``; all zeros for other indices."""
-    slots = F.sequence(F.lit(0), F.lit(width - 1)) if width else F.array().cast("array<int>")
+def one_hot_bits(index: Column, width: int | Column) -> Column:
+    """Array of ``width`` zeros with a one at ``index``; all zeros for other indices.
+
+    A row has as many cells as there are labels: for small dictionaries only.
+    """
+    width = F.lit(width) if isinstance(width, int) else width
+    slots = F.when(width > 0, F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0)))).otherwise(
+        F.array().cast("array<int>")
+    )
     return F.transform(slots, lambda slot: (slot == index).cast("int"))
 
 
@@ -37,17 +53,26 @@ def one_hot(
     output: str,
     fitted_on: DataFrame | None = None,
     salt_by: Sequence[str] | None = None,
+    bound: BroadcastBound = DEFAULT_BOUND,
 ) -> DataFrame:
-    """One-hot array of a text column; unseen labels and NULL give all zeros.
+    """One-hot code of a text column as ``struct<index, width>``, so that a row's size
+    does not depend on the number of labels.
 
-    The width is the number of labels, so it is also the size of one row's array.
+    Unseen labels and NULL have index -1: a vector of ``width`` zeros.
     """
-    labels = label_index(fitted_on or df, column).select(F.col("label").alias(column), "index")
+    found = label_index(fitted_on if fitted_on is not None else df, column, bound)
+    labels = settle(found.select(F.col("label").alias(column), "index"))
     size = measure(labels)
     columns = df.columns
-    indexed = sized_join(df, labels, column, "left", size, salt_by=salt_by)
-    bits = one_hot_bits(F.coalesce(F.col("index"), F.lit(-1)), size.rows)
-    return indexed.select(*columns, bits.alias(output))
+    indexed = sized_join(df, labels, column, "left", size, bound, salt_by)
+    index = F.coalesce(F.col("index"), F.lit(-1)).cast("int").alias("index")
+    code = F.struct(index, F.lit(size.rows).cast("int").alias("width"))
+    return indexed.select(*columns, code.alias(output))
+
+
+def dense(code: Column) -> Column:
+    """The bits of a one-hot code."""
+    return one_hot_bits(code["index"], code["width"])
 
 
 def fit_min_max(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
@@ -98,7 +123,7 @@ def robust_scale(
 def feature_arrays(df: DataFrame, key: str = S.TRANSACTION_ID) -> DataFrame:
     """The final feature vector in exact parts, from raw transactions.
 
-    ``onehot_*`` arrays, then the scaled discrete and continuous columns.
+    ``onehot_*`` codes, then the scaled discrete and continuous columns.
     """
     prepared = prepare_features(df).select(
         key,
@@ -119,8 +144,8 @@ def feature_arrays(df: DataFrame, key: str = S.TRANSACTION_ID) -> DataFrame:
 
 
 def as_feature_array(parts: DataFrame, key: str = S.TRANSACTION_ID) -> DataFrame:
-    """One double array per row, in the order of the assembled vector."""
+    """One dense double array per row, in the order of the assembled vector."""
     names = S.DISCRETE_FEATURES + S.CONTINUOUS_FEATURES
-    pieces = [F.col(f"onehot_{c}").cast("array<double>") for c in S.BINARY_FEATURES]
+    pieces = [dense(F.col(f"onehot_{c}")).cast("array<double>") for c in S.BINARY_FEATURES]
     scalars = F.array(*[F.col(f"{c}_scaled").cast("double") for c in names])
     return parts.select(key, F.concat(*pieces, scalars).alias("features"))

@@ -33,6 +33,11 @@ def exact_auc(scored: DataFrame, score: str, label: str = S.LABEL) -> DataFrame:
     groups = scored.groupBy(F.col(score).alias("score")).agg(
         F.count_if(is_positive).alias("pos"), F.count_if(~is_positive).alias("neg")
     )
+    return auc_of_groups(groups)
+
+
+def auc_of_groups(groups: DataFrame) -> DataFrame:
+    """``exact_auc`` from the positives and negatives of each distinct score."""
     placed = running_totals(groups, [F.col("score").asc_nulls_first()], {"below": F.col("neg")})
     wins = F.col("pos").cast("decimal(18,0)") * (2 * F.col("below") + F.col("neg")).cast(
         "decimal(20,0)"

@@ -2,10 +2,10 @@
 
 The derived side is measured first. While it is proven small it is broadcast,
 so the big side is not shuffled at all. Beyond the bound both sides are shuffled
-on (key, salt). Only the most frequent keys of the big side are salted: their
-rows spread over all salts, and the derived side repeats just those keys, once
-per salt. The list of them has a fixed length, so broadcasting it is safe, and
-any key outside it holds less than its share (1/1000) of the rows.
+on (key, salt). A key of the big side with more rows than a task should have is hot:
+its rows spread over as many salts as that takes, and the derived side repeats
+just those keys, once per salt. There are at most (rows / rows per task) hot keys;
+their list is broadcast, and rows per task grow until it is within the bound.
 """
 
 from __future__ import annotations
@@ -20,9 +20,8 @@ from pyspark.sql import types as T
 from riskweave.sources.workspace import settle
 
 _SALT = "_salt"
-_HOT = "_hot"
-HOT_KEYS = 1000
-MOST_SALTS = 1000
+_SALTS = "_salts"
+ROWS_PER_TASK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -57,30 +56,48 @@ def measure(df: DataFrame) -> Size:
     return Size(row["n"], row["b"] or 0)
 
 
-def _salts(df: DataFrame) -> int:
-    """One salt per shuffle partition, within fixed limits."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(partitions, MOST_SALTS))
-
+def hot_keys(
+    big: DataFrame,
+    on: str,
+    rows_per_task: int = ROWS_PER_TASK,
+    bound: BroadcastBound = DEFAULT_BOUND,
+) -> DataFrame:
+    """Keys of ``big`` with more than ``rows_per_task`` rows, and how many salts they need.
 
-def hot_keys(big: DataFrame, on: str) -> DataFrame:
-    """The most frequent keys of ``big``, at most ``HOT_KEYS``; counted map-side first."""
+    Counted map-side first. Should the list be over the bound, tasks get more rows.
+    """
     counts = big.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), on).limit(HOT_KEYS)
-    return settle(top.select(on, F.lit(True).alias(_HOT)))
+    counts = settle(counts.where(F.col("n") > rows_per_task))
+    while True:
+        salts = F.ceil(F.col("n") / rows_per_task).cast("int").alias(_SALTS)
+        hot = counts.where(F.col("n") > rows_per_task).select(on, salts)
+        if measure(hot).within(bound):
+            return hot
+        rows_per_task *= 2
 
 
 def _salted_join(
-    big: DataFrame, small: DataFrame, on: str, how: str, salt_by: Sequence[str]
+    big: DataFrame,
+    small: DataFrame,
+    on: str,
+    how: str,
+    salt_by: Sequence[str] | None,
+    rows_per_task: int,
 ) -> DataFrame:
-    salts = _salts(big)
-    hot = F.broadcast(hot_keys(big, on))
-    spread = F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")
-    salt = F.when(F.col(_HOT) | F.col(on).isNull(), spread).otherwise(F.lit(0))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = F.explode(F.when(F.col(_HOT), every).otherwise(F.array(F.lit(0))))
-    left = big.join(hot, on, "left").withColumn(_SALT, salt).drop(_HOT)
-    right = small.join(hot, on, "left").withColumn(_SALT, copies).drop(_HOT)
+    """Rows are salted by ``salt_by``, or by their content and their place in the input:
+    equal rows differ in it, and a repeated scan gives it again.
+    """
+    hot = F.broadcast(hot_keys(big, on, rows_per_task))
+    by = [F.col(c) for c in salt_by] if salt_by else [
+        *[F.col(c) for c in big.columns], F.monotonically_increasing_id()
+    ]
+    drawn = F.xxhash64(*by)
+    numbered = big.withColumn(_SALT, drawn).join(hot, on, "left")
+    nulls = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.when(F.col(on).isNull(), F.lit(nulls)).otherwise(F.coalesce(_SALTS, F.lit(1)))
+    left = numbered.withColumn(_SALT, F.pmod(F.col(_SALT), spread).cast("int")).drop(_SALTS)
+    every = F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1)
+    right = small.join(hot, on, "left").withColumn(_SALT, F.explode(every)).drop(_SALTS)
     return left.join(right, [on, _SALT], how).drop(_SALT)
 
 
@@ -92,17 +109,18 @@ def sized_join(
     size: Size,
     bound: BroadcastBound = DEFAULT_BOUND,
     salt_by: Sequence[str] | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Join ``big`` with a ``small`` whose ``size`` was measured.
 
     ``how`` must keep rows of the big side only (inner, left, left_semi or
-    left_anti); ``salt_by`` should identify a row of it (default: all columns).
+    left_anti); ``salt_by``, if given, should identify a row of it.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     if size.within(bound):
         return big.join(F.broadcast(small), on, how)
-    return _salted_join(big, small, on, how, salt_by or big.columns)
+    return _salted_join(big, small, on, how, salt_by, rows_per_task)
 
 
 def exclude_keys(
@@ -112,6 +130,7 @@ def exclude_keys(
     null_keys: str = "keep",
     bound: BroadcastBound = DEFAULT_BOUND,
     salt_by: Sequence[str] | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Rows of ``df`` whose key is not among ``keys``.
 
@@ -128,4 +147,4 @@ def exclude_keys(
     if null_keys == "not_in":
         df = df.where(F.col(on).isNotNull())
     columns = df.columns
-    return sized_join(df, known, on, "left_anti", size, bound, salt_by).select(columns)
+    return sized_join(df, known, on, "left_anti", size, bound, salt_by, rows_per_task).select(columns)

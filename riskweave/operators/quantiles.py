@@ -140,6 +140,11 @@ def _inner_values(df: DataFrame, brackets: Sequence[_Bracket]) -> dict[tuple[int
     }
 
 
+def _between(low: float, high: float, fraction: float) -> float:
+    """Interpolated value; an end itself needs no arithmetic, which infinity would spoil."""
+    return low if low == high or fraction == 0 else low + (high - low) * fraction
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
@@ -165,5 +170,5 @@ def exact_quantiles(
             if ends[side] is None:
                 ends[side] = inner[open_brackets.index(b), side]
         fraction = b.position - b.ranks[0]
-        result[b.column, b.probability] = ends[0] + (ends[1] - ends[0]) * fraction
+        result[b.column, b.probability] = _between(*ends, fraction)
     return {c: [result.get((c, p)) for p in probabilities] for c in columns}

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from riskweave import schema as S
 from riskweave.functions.expressions import positive_probability
 from riskweave.functions.hashing import resample_index
+from riskweave.operators.joins import measure, sized_join
+from riskweave.sources.workspace import settle
 
 
 def card_max_scores(
@@ -47,23 +49,23 @@ def precision_at_k(top: DataFrame, k: int = 50, shrink: bool = False) -> DataFra
 def bootstrap_draws(top: DataFrame, iterations: int = 100, seed: int = 25) -> DataFrame:
     """``iteration, draw, position, label``: resamples with replacement of the top cards.
 
-    The top cards (k rows, a report's length) travel as one array, so there is no join.
+    The draws are a range over many partitions, joined to the measured top cards.
     """
-    ranked = F.array_sort(F.collect_list(F.struct("position", "max_label")))
-    drawn_position = resample_index(seed, F.col("iteration"), F.col("draw"), F.col("cards"))
-    return (
-        top.agg(ranked.alias("ranked"), F.count(F.lit(1)).alias("cards"))
-        .where(F.col("cards") > 0)
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(iterations - 1))).alias("iteration"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.col("cards").cast("int") - 1)).alias("draw"))
-        .withColumn("position", drawn_position.cast("int"))
-        .select(
-            "iteration",
-            "draw",
-            "position",
-            F.get("ranked", F.col("position"))["max_label"].alias("label"),
-        )
+    labels = settle(top.select("position", F.col("max_label").alias("label")))
+    size = measure(labels)
+    session = top.sparkSession
+    partitions = max(2, int(session.conf.get("spark.sql.shuffle.partitions")))
+    numbers = session.range(0, iterations * size.rows, 1, partitions)
+    cards = F.lit(max(1, size.rows))
+    drawn = numbers.select(
+        F.floor(F.col("id") / cards).cast("int").alias("iteration"),
+        (F.col("id") % cards).cast("int").alias("draw"),
+        F.col("id").alias("_draw"),
+    ).withColumn(
+        "position", resample_index(seed, F.col("iteration"), F.col("draw"), cards).cast("int")
     )
+    joined = sized_join(drawn, labels, "position", "inner", size, salt_by=["_draw"])
+    return joined.select("iteration", "draw", "position", "label")
 
 
 def bootstrap_precision(

@@ -43,6 +43,13 @@ def without_denied(data: DataFrame, denied: DataFrame, on: str = "device_id") ->
     return exclude_keys(data, denied, on, "keep")
 
 
+def hash_parts(
+    data: DataFrame, fraction: float = 0.8, seed: int = 42, key: str = S.TRANSACTION_ID
+) -> DataFrame:
+    """All rows with ``in_first``: a repeatable draw, one hash and one scan for both parts."""
+    return data.withColumn("in_first", in_fraction(seed, F.col(key), fraction))
+
+
 def hash_split(
     data: DataFrame, fraction: float = 0.8, seed: int = 42, key: str = S.TRANSACTION_ID
 ) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskweave import schema as S
@@ -28,6 +28,7 @@ from riskweave.streaming import ingest, replay, scoring
 Query = Callable[[SparkSession, str], DataFrame]
 
 K = 50
+_PARTITIONS = 8  # over which a fit spreads the rows of the one input file
 STAMP = "2024-02-01T00:00:00.000000"
 
 _QUERIES: dict[str, Query] = {}
@@ -223,12 +224,9 @@ def denylist_anti_join(spark, sf_dir):
 
 @_query
 def hash_split(spark, sf_dir):
-    train, held_out = split.hash_split(_transactions(spark, sf_dir))
-    parts = [
-        part.select(S.TRANSACTION_ID, F.lit(name).alias("part"))
-        for part, name in ((train, "train"), (held_out, "held_out"))
-    ]
-    return parts[0].unionByName(parts[1])
+    drawn = split.hash_parts(_transactions(spark, sf_dir))
+    part = F.when(F.col("in_first"), "train").otherwise("held_out")
+    return drawn.select(S.TRANSACTION_ID, part.alias("part"))
 
 
 @_query
@@ -301,7 +299,9 @@ def one_hot_array(spark, sf_dir):
     return coded.select(
         S.TRANSACTION_ID,
         *[
-            F.array_join(F.col(f"onehot_{c}").cast("array<string>"), "").alias(f"onehot_{c}")
+            F.array_join(
+                encoding.dense(F.col(f"onehot_{c}")).cast("array<string>"), ""
+            ).alias(f"onehot_{c}")
             for c in S.BINARY_FEATURES
         ],
     )
@@ -409,7 +409,7 @@ def pooled_t_statistic(spark, sf_dir):
 
 def _fit_on_first_week(data: DataFrame):
     train = split.training_rows(data, WEEK_CUTOFF)
-    return training.fit_model(train, pipelines.gradient_boosted_trees())
+    return training.fit_model(train, pipelines.gradient_boosted_trees(), partitions=_PARTITIONS)
 
 
 @_query
@@ -422,9 +422,7 @@ def gbt_scores(spark, sf_dir):
 @_query
 def tuning_results(spark, sf_dir):
     data = _transactions(spark, sf_dir)
-    trees = pipelines.gradient_boosted_trees(maxIter=5)
-    grid = training.parameter_grid(trees, depths=(3, 5), min_instances=(15, 100))
-    result = training.tune(data, trees, grid)
+    result = training.tune(data, parallelism=4, partitions=_PARTITIONS)
     rows = [(t.max_depth, t.min_instances, t.auc, t == result.best) for t in result.trials]
     return spark.createDataFrame(
         rows, "max_depth int, min_instances int, auc double, best boolean"
@@ -450,10 +448,12 @@ def champion_decision(spark, sf_dir):
 @_query
 def run_log(spark, sf_dir):
     data = _transactions(spark, sf_dir)
-    counts = data.groupBy(S.LABEL).agg(F.count(F.lit(1)).alias("n"))
+    counts = data.agg(
+        *[F.count_if(F.col(S.LABEL) == label).alias(f"rows_{label}") for label in (0, 1)]
+    )
     log = RunLog(spark, scratch_path(spark, "run-log"), "label-counts")
     log.params({"cutoff": WEEK_CUTOFF})
-    log.metrics({f"rows_{r[S.LABEL]}": r["n"] for r in counts.collect()})  # two labels
+    log.metrics(counts.first().asDict())
     return read_run_log(spark, log.path).select("kind", "key", "value")
 
 
@@ -472,15 +472,26 @@ def envelope_roundtrip(spark, sf_dir):
 
 @_query
 def rejected_messages(spark, sf_dir):
-    """One damaged message in two, in four ways; counted by reason."""
+    """Most messages altered, in ten ways; counted by reason."""
     data = _transactions(spark, sf_dir)
-    value, kind = F.col("value"), F.col(S.TRANSACTION_ID) % 8
-    cell = r'\"TransactionID\":{\"0\":'
+    value, kind = F.col("value"), F.col(S.TRANSACTION_ID) % 12
+    head = r'\"TransactionID\":{\"0\":'
+    number = F.col(S.TRANSACTION_ID).cast("string")
+    cell = F.concat(F.lit(head), number, F.lit("}"))
+
+    def with_cell(*text) -> Column:
+        return F.replace(value, cell, F.concat(F.lit(head), *text, F.lit("}")))
+
     damaged = (
         F.when(kind == 0, F.expr("left(value, length(value) - 5)"))
         .when(kind == 1, F.lit('{"ts": "now", "card_id": 1}'))
         .when(kind == 2, F.lit('{"ts": "now", "card_id": 1, "features": "V26"}'))
-        .when(kind == 3, F.replace(value, F.lit(cell), F.lit(cell + r'1e20,\"1\":')))
+        .when(kind == 3, with_cell(F.lit("1e20")))
+        .when(kind == 4, with_cell(number, F.lit(".5")))
+        .when(kind == 5, with_cell(number, F.lit(r',\"1\":'), number))
+        .when(kind == 6, with_cell(F.lit("null")))
+        .when(kind == 7, F.replace(value, F.lit(r'{\"0\":'), F.lit(r'{\"row 7\":')))
+        .when(kind == 8, F.lit('{"ts": "now", "card_id": 1, "features": "{}"}'))
         .otherwise(value)
     )
     columns = [c for c in data.columns if c != S.LABEL]
@@ -521,7 +532,7 @@ def _decoded_results(sent: DataFrame) -> DataFrame:
 def _streamed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A stream takes one file only through a pattern; a folder of files matches too.
     schema = read_events(spark, sf_dir).schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
     return _messages(transactions_from_events(events))
 
 
@@ -578,3 +589,33 @@ def stream_ingest(spark, sf_dir):
     )
     query.awaitTermination()
     return tables.read_parquet(spark, f"{path}/sensors", S.SENSOR_SCHEMA)
+
+
+@_query
+def ingest_rejects(spark, sf_dir):
+    """Lines of CSV files with readings, a third of them damaged in two ways, by outcome."""
+    path = scratch_path(spark, "ingest-rejects")
+    number = F.col("event_id").cast("string")
+    line = (
+        F.when(F.col("event_id") % 6 == 0, F.concat(F.lit("x"), number, F.lit(",a,1.0")))
+        .when(F.col("event_id") % 6 == 1, F.concat(number, F.lit(",b,2.0,3.0")))
+        .otherwise(F.concat(number, F.lit(",c,"), F.col("value").cast("string")))
+    )
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    header = F.lit(",".join(S.SENSOR_SCHEMA.names) + "\n")
+    texts = F.when(place == 0, F.concat(header, line)).otherwise(line)  # one file per partition
+    read_events(spark, sf_dir).select(texts.alias("value")).write.text(f"{path}/incoming")
+    ingest.start_csv_ingest(
+        spark,
+        f"{path}/incoming",
+        f"{path}/sensors",
+        f"{path}/checkpoint",
+        pattern="*.txt",
+        rejects=f"{path}/rejects",
+    ).awaitTermination()
+    good = tables.read_parquet(spark, f"{path}/sensors", S.SENSOR_SCHEMA)
+    bad = tables.read_parquet(spark, f"{path}/rejects", tables.with_record(S.SENSOR_SCHEMA))
+    device = F.col("device_id").cast("string")
+    return good.select(F.lit("row").alias("outcome"), device.alias("line")).unionByName(
+        bad.select(F.lit("reject").alias("outcome"), F.col(tables.RECORD).alias("line"))
+    )

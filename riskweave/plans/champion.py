@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from riskweave import schema as S
+from riskweave.functions.expressions import positive_probability
 from riskweave.operators.evaluation import t_test_less
-from riskweave.operators.ranking import bootstrap_summary, get_cards_precision_top_k
+from riskweave.operators.ranking import bootstrap_precision, bootstrap_summary, top_k_cards
 from riskweave.operators.split import train_validation_split
 from riskweave.plans.pipelines import challenger_classifier
-from riskweave.plans.training import fit_model, score
+from riskweave.plans.training import fit_model
 from riskweave.sources.runlog import RunLog
 from riskweave.sources.tables import save_model
 from riskweave.sources.workspace import settle
@@ -44,6 +45,44 @@ def decide(
     return Decision(k, *means, test.t, test.p_value, test.p_value < p_threshold)
 
 
+def _samples(
+    valid: DataFrame,
+    champion: PipelineModel,
+    challenger: PipelineModel,
+    k: int,
+    iterations: int,
+    seed: int,
+) -> list[DataFrame]:
+    """Bootstrapped precision of both models, from one scan and one shuffle of the rows."""
+    raw = valid.withColumn("_raw", F.struct(*valid.columns))  # feature stages replace columns
+    first = champion.transform(raw).select(
+        "_raw.*", positive_probability(F.col("probability")).alias("_champion")
+    )
+    both = challenger.transform(first).select(
+        S.CARD,
+        S.LABEL,
+        "_champion",
+        positive_probability(F.col("probability")).alias("_challenger"),
+    )
+    cards = settle(
+        both.groupBy(S.CARD).agg(
+            F.max("_champion").alias("_champion"),
+            F.max("_challenger").alias("_challenger"),
+            F.max(S.LABEL).alias("max_label"),
+        )
+    )
+    return [
+        bootstrap_precision(
+            top_k_cards(cards.select(S.CARD, F.col(name).alias("max_score"), "max_label"), k),
+            k,
+            iterations,
+            seed,
+            f"precision_top_{k}",
+        )
+        for name in ("_champion", "_challenger")
+    ]
+
+
 def run_champion_challenger(
     data: DataFrame,
     champion: PipelineModel,
@@ -55,24 +94,17 @@ def run_champion_challenger(
     output_path: str | None = None,
     log: RunLog | None = None,
     challenger_trees=None,
+    overwrite: bool = False,
 ) -> tuple[Decision, PipelineModel]:
     """Fit a challenger before the cutoff, compare both after it, save a winner."""
     columns = [f.name for f in S.TRANSACTION_SCHEMA.fields]
     train, valid = train_validation_split(data.select(*columns), cutoff)
     challenger = fit_model(train, challenger_trees or challenger_classifier())
-    valid = valid.persist(StorageLevel.MEMORY_AND_DISK)  # scored by both models
-    try:
-        samples = [
-            get_cards_precision_top_k(score(m, valid), k, iterations, seed)
-            for m in (champion, challenger)
-        ]
-        decision = decide(*samples, k, p_threshold)
-    finally:
-        valid.unpersist()
+    decision = decide(*_samples(valid, champion, challenger, k, iterations, seed), k, p_threshold)
     if log is not None:
         log.append("decision", asdict(decision))
     if decision.replace_champion and output_path is not None:
-        save_model(challenger, output_path)
+        save_model(challenger, output_path, overwrite)
         if log is not None:
             log.artifact("model", output_path)
     return decision, challenger

@@ -27,11 +27,15 @@ from riskweave.plans.training import (
 from riskweave.sources import kafka
 from riskweave.sources.runlog import RunLog
 from riskweave.sources.tables import (
+    check_target,
     load_model,
+    malformed,
     read_csv,
+    read_csv_lines,
     read_table,
     read_transactions,
     save_model,
+    well_formed,
     write_csv,
     write_parquet,
 )
@@ -69,9 +73,11 @@ class Settings:
     rejects: str = ""
     max_offsets: int | None = None
     kafka_options: tuple[str, ...] = ()
+    kafka_properties: str = ""
     pattern: str = "*.csv"
     interval: str | None = None
     archive: str | None = None
+    delete_source: bool = False
     deny_table: str | None = None
     group_by: str = "Month"
 
@@ -80,26 +86,63 @@ def _log(spark: SparkSession, s: Settings) -> RunLog | None:
     return RunLog(spark, s.run_log, s.experiment) if s.run_log else None
 
 
+_SECRET = ("password", "jaas", "secret", "token")
+
+
 def _kafka_options(s: Settings) -> dict[str, str]:
-    return dict(option.split("=", 1) for option in s.kafka_options)
+    """Options of the command line over those of the properties file.
+
+    Secrets belong in that file: a command line can be read by others.
+    """
+    found = dict(option.split("=", 1) for option in s.kafka_options)
+    for key in found:
+        if any(word in key.lower() for word in _SECRET):
+            raise ValueError(f"put {key} into the file of --kafka-properties")
+    if s.kafka_properties:
+        with open(s.kafka_properties) as file:
+            lines = [line.strip() for line in file]
+        pairs = [line.split("=", 1) for line in lines if line and not line.startswith("#")]
+        found = {key.strip(): value.strip() for key, value in pairs} | found
+    return found
+
+
+def missing_settings(job: str, s: Settings) -> list[str]:
+    """Settings that a job needs and that are empty."""
+    needed = list(REQUIRED[job])
+    if job == "score-messages":
+        needed += ["topic", "results_topic"] if s.servers else ["data", "output"]
+    if job == "replay-messages":
+        needed += ["topic"] if s.servers else ["output"]
+    return [name for name in needed if not getattr(s, name)]
+
+
+def run_job(spark: SparkSession, job: str, s: Settings) -> object:
+    missing = missing_settings(job, s)
+    if missing:
+        raise ValueError(f"{job} needs {', '.join(missing)}")
+    return JOBS[job](spark, s)
 
 
 def build_features(spark: SparkSession, s: Settings) -> None:
     """Fit the feature pipeline, save it, and write the training features."""
+    for path in (s.model, s.features):
+        check_target(spark, path, s.mode)
     data = read_transactions(spark, s.data)
     model = fit_features(data)
-    save_model(model, s.model)
+    save_model(model, s.model, s.mode == "overwrite")
     write_parquet(model.transform(data), s.features, s.mode, s.partitions)
 
 
 def apply_features(spark: SparkSession, s: Settings) -> None:
     """Write the features of a data set with a saved pipeline."""
+    check_target(spark, s.features, s.mode)
     data = read_transactions(spark, s.data)
     write_parquet(load_model(s.model).transform(data), s.features, s.mode, s.partitions)
 
 
 def tune_model(spark: SparkSession, s: Settings) -> TuningResult:
     """Grid search; log the best parameters and AUC; save the refitted model."""
+    check_target(spark, s.output, s.mode)
     data = read_transactions(spark, s.data)
     trees = gradient_boosted_trees()
     result = tune(
@@ -113,7 +156,7 @@ def tune_model(spark: SparkSession, s: Settings) -> TuningResult:
     )
     for line in result.explained():
         logger.info(line)
-    save_model(result.model, s.output)
+    save_model(result.model, s.output, s.mode == "overwrite")
     log = _log(spark, s)
     if log is not None:
         log_tuning(result, data, log)
@@ -123,6 +166,7 @@ def tune_model(spark: SparkSession, s: Settings) -> TuningResult:
 
 def compare_models(spark: SparkSession, s: Settings) -> Decision:
     """Fit a challenger and save it if it beats the saved champion."""
+    check_target(spark, s.output, s.mode)
     decision, _ = run_champion_challenger(
         read_transactions(spark, s.data),
         load_model(s.model),
@@ -132,6 +176,7 @@ def compare_models(spark: SparkSession, s: Settings) -> Decision:
         s.iterations,
         output_path=s.output,
         log=_log(spark, s),
+        overwrite=s.mode == "overwrite",
     )
     logger.info(decision)
     return decision
@@ -150,8 +195,18 @@ def count_by_group(spark: SparkSession, s: Settings) -> None:
 
 
 def convert_csv(spark: SparkSession, s: Settings) -> None:
-    """Sensor CSV files to Parquet, without the devices of an optional deny table."""
-    data = read_csv(spark, s.data, S.SENSOR_SCHEMA)
+    """Sensor CSV files to Parquet, without the devices of an optional deny table.
+
+    Malformed lines go to the folder ``rejects``; without one they are an error.
+    """
+    check_target(spark, s.output, s.mode)
+    if s.rejects:
+        check_target(spark, s.rejects, s.mode)
+        lines = read_csv_lines(spark, s.data, S.SENSOR_SCHEMA)
+        write_parquet(malformed(lines), s.rejects, s.mode)
+        data = well_formed(lines)
+    else:
+        data = read_csv(spark, s.data, S.SENSOR_SCHEMA)
     if s.deny_table:
         data = without_denied(data, read_table(spark, s.deny_table))
     write_parquet(data, s.output, s.mode, s.partitions)
@@ -167,6 +222,8 @@ def ingest_csv(spark: SparkSession, s: Settings) -> None:
         pattern=s.pattern,
         interval=s.interval,
         archive=s.archive,
+        delete_source=s.delete_source,
+        rejects=s.rejects or None,
     ).awaitTermination()
 
 
@@ -229,6 +286,20 @@ JOBS: dict[str, Callable[[SparkSession, Settings], object]] = {
     )
 }
 
+#: Settings each job cannot do without, whatever the others.
+REQUIRED: dict[str, tuple[str, ...]] = {
+    "build-features": ("data", "model", "features"),
+    "apply-features": ("data", "model", "features"),
+    "tune-model": ("data", "output"),
+    "compare-models": ("data", "model", "output"),
+    "count-rows": ("data",),
+    "count-by-group": ("data", "output"),
+    "convert-csv": ("data", "output"),
+    "ingest-csv": ("data", "output", "checkpoint"),
+    "score-messages": ("model", "rejects", "checkpoint"),
+    "replay-messages": ("data",),
+}
+
 _TYPES = {"int": int, "int | None": int, "float": float}
 
 
@@ -239,12 +310,18 @@ def parse_arguments(arguments: list[str] | None = None) -> tuple[str, Settings]:
         flag = "--" + f.name.replace("_", "-")
         if f.name == "kafka_options":
             parser.add_argument(flag, nargs="*", default=f.default, metavar="KEY=VALUE")
+        elif f.type == "bool":
+            parser.add_argument(flag, action="store_true")
         else:
             parser.add_argument(flag, type=_TYPES.get(f.type, str), default=f.default)
     values = vars(parser.parse_args(arguments))
     job = values.pop("job")
     values["kafka_options"] = tuple(values["kafka_options"])
-    return job, Settings(**values)
+    settings = Settings(**values)
+    missing = ["--" + name.replace("_", "-") for name in missing_settings(job, settings)]
+    if missing:
+        parser.error(f"{job} needs {', '.join(missing)}")
+    return job, settings
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -252,7 +329,7 @@ def main(arguments: list[str] | None = None) -> None:
     job, settings = parse_arguments(arguments)
     spark = SparkSession.builder.appName(f"riskweave {job}").getOrCreate()
     try:
-        JOBS[job](spark, settings)
+        run_job(spark, job, settings)
     finally:
         spark.stop()
 

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
-from riskweave.schema import (
-    BINARY_FEATURES,
-    CAP_THRESHOLDS,
-    CONTINUOUS_FEATURES,
-    DISCRETE_FEATURES,
-)
+# Spelled out here, so that a wrong list or threshold of the library would show.
+BINARY_FEATURES = ["V286", "V26"]
+DISCRETE_FEATURES = ["weekdays", "minutes"]
+CONTINUOUS_FEATURES = [
+    "addr1", "addr2", "C7", "V97", "V183", "V236",
+    "V279", "V280", "V290", "V306", "V308", "V317",
+]
+CAP_THRESHOLDS = {
+    "addr1": 540.0,
+    "addr2": 87.0,
+    "C7": 10.0,
+    "V97": 7.0,
+    "V183": 4.0,
+    "V236": 3.0,
+    "V279": 5.0,
+    "V280": 9.0,
+    "V290": 3.0,
+    "V306": 938.0,
+    "V308": 1649.5,
+    "V317": 1762.0,
+}
 
 _CUTOFF = 604800
 
@@ -397,8 +412,10 @@ UNION ALL SELECT 'metric', concat('rows_', "isFraud"), count(*)::VARCHAR FROM tx
         ),
         "rejected_messages": _tx(
             """
-SELECT CASE "TransactionID" % 8 WHEN 0 THEN 'bad_envelope' WHEN 1 THEN 'no_features'
-            WHEN 2 THEN 'bad_features' WHEN 3 THEN 'bad_value' ELSE 'ok' END AS reason,
+SELECT CASE "TransactionID" % 12 WHEN 0 THEN 'bad_envelope' WHEN 1 THEN 'no_features'
+            WHEN 2 THEN 'bad_features' WHEN 3 THEN 'bad_value' WHEN 4 THEN 'bad_value'
+            WHEN 5 THEN 'several_rows' WHEN 6 THEN 'missing_id' WHEN 8 THEN 'no_row'
+            ELSE 'ok' END AS reason,
        count(*) AS n
 FROM tx GROUP BY 1"""
         ),
@@ -425,4 +442,9 @@ SELECT '{_STAMP}' AS ts, card1 AS card_id, * EXCLUDE ("isFraud") FROM prep"""
 SELECT "TransactionID", card1, card1 AS card_id, TRUE AS equals_batch_score FROM tx"""
         ),
         "stream_ingest": _SENSORS.strip(),
+        "ingest_rejects": """
+SELECT CASE WHEN event_id % 6 < 2 THEN 'reject' ELSE 'row' END AS outcome,
+       CASE event_id % 6 WHEN 0 THEN concat('x', event_id, ',a,1.0')
+            WHEN 1 THEN concat(event_id, ',b,2.0,3.0') ELSE event_id::VARCHAR END AS line
+FROM events""",
     }

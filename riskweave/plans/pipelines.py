@@ -46,6 +46,7 @@ def _row_wise_stages() -> list[Transformer]:
 
 
 def _fitted_stages(quantile_error: float) -> list[Estimator | Transformer]:
+    # The names of the columns between the stages; feature tables have them.
     texts = [text_column(c) for c in S.BINARY_FEATURES]
     indexes = [f"{c}_index" for c in S.BINARY_FEATURES]
     encoded = [f"{c}_encoded" for c in S.BINARY_FEATURES]
@@ -74,7 +75,8 @@ def get_feature_extraction_pipeline(quantile_error: float = 0.001) -> Pipeline:
 
 def gradient_boosted_trees(**params) -> GBTClassifier:
     """Champion settings unless overridden; always seeded."""
-    settings = {"maxDepth": 6, "minInstancesPerNode": 15, "seed": 42, **params}
+    settings = {"maxDepth": 6, "minInstancesPerNode": 15, "seed": 42}
+    settings |= {"cacheNodeIds": True, "checkpointInterval": 10, **params}
     return GBTClassifier(labelCol=S.LABEL, featuresCol=FEATURES, **settings)
 
 

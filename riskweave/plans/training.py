@@ -178,15 +178,11 @@ def random_split_tuner(
     )
 
 
-def score(model: PipelineModel, data: DataFrame) -> DataFrame:
-    return model.transform(data)
-
-
 def log_tuning(result: TuningResult, data: DataFrame, log: RunLog) -> None:
     """Best parameters, AUC on the held-out rows and AUC on all rows.
 
     The all-rows figure includes training rows and is optimistic.
     """
     log.params(result.best_parameters())
-    everything = auc_evaluator().evaluate(score(result.model, data))
+    everything = auc_evaluator().evaluate(result.model.transform(data))
     log.metrics({"roc_auc_held_out": result.best.auc, "roc_auc": everything})

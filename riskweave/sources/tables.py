@@ -20,6 +20,20 @@ def checked_path(path: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether something is at ``path``, in whatever file system it names."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(checked_path(path))
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.exists(hadoop_path)
+
+
+def check_target(spark: SparkSession, path: str, mode: str = "errorifexists") -> str:
+    """Refuse a malformed path, or one that is taken and not to be replaced, before any work."""
+    if mode in ("error", "errorifexists") and exists(spark, path):
+        raise FileExistsError(path)
+    return path
+
+
 def read_parquet(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -31,11 +45,49 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     return read_parquet(spark, path, TRANSACTION_SCHEMA)
 
 
+RECORD = "_record"
+
+
+def csv_options(delimiter: str = ",") -> dict[str, object]:
+    """A header line that must match the schema, and malformed lines kept as ``RECORD``."""
+    return {
+        "header": True,
+        "sep": delimiter,
+        "enforceSchema": False,
+        "columnPruning": False,  # a line counts as malformed whichever columns are read
+        "columnNameOfCorruptRecord": RECORD,
+    }
+
+
+def with_record(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
+
+
+def well_formed(lines: DataFrame) -> DataFrame:
+    return lines.where(F.col(RECORD).isNull()).drop(RECORD)
+
+
+def malformed(lines: DataFrame) -> DataFrame:
+    """Lines that do not fit the schema, as text beside what could be read of them."""
+    return lines.where(F.col(RECORD).isNotNull())
+
+
+def read_csv_lines(
+    spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ","
+) -> DataFrame:
+    """CSV files (a glob is fine), with the text of each malformed line in ``RECORD``."""
+    reader = spark.read.schema(with_record(schema)).options(**csv_options(delimiter))
+    return reader.csv(checked_path(path))
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, delimiter: str = ","
 ) -> DataFrame:
-    """CSV files (a glob is fine) with a header line and a declared schema."""
-    options = {"header": True, "sep": delimiter, "enforceSchema": False}
+    """CSV files (a glob is fine) with a header line and a declared schema.
+
+    A malformed line is an error; ``read_csv_lines`` keeps such lines apart.
+    """
+    options = csv_options(delimiter) | {"mode": "FAILFAST"}
     return spark.read.schema(schema).options(**options).csv(checked_path(path))
 
 

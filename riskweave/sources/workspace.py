@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else the one set on the context.
 
-    Only a local session without that setting gets a temporary folder: on a
-    cluster a machine-local folder would be lost with its machine.
+    There is no default: on a cluster a machine-local folder would be lost with its
+    machine.
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="riskweave-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.schema import SENSOR_SCHEMA
-from riskweave.sources.tables import checked_path
+from riskweave.sources.tables import (
+    checked_path,
+    csv_options,
+    malformed,
+    well_formed,
+    with_record,
+)
+from riskweave.streaming.scoring import replace_batch
 
 
 def start_csv_ingest(
@@ -21,9 +29,14 @@ def start_csv_ingest(
     archive: str | None = None,
     delete_source: bool = False,
     max_files: int = 1000,
+    rejects: str | None = None,
 ) -> StreamingQuery:
     """Convert each file that matches ``pattern`` once; the checkpoint remembers them.
 
+    Each batch is a folder ``batch=<id>`` of ``target`` that a repeated batch
+    replaces. A header that differs from the schema is an error. Malformed lines go
+    to the folder ``rejects``; without one they are an error too.
+
     Without ``interval`` the query converts what is there and stops; with it
     the query keeps waiting for files. Cleaning the source (``archive`` or
     ``delete_source``) is best effort and may lag: nothing depends on it.
@@ -31,8 +44,8 @@ def start_csv_ingest(
     if archive and delete_source:
         raise ValueError("choose archive or delete_source, not both")
     reader = (
-        spark.readStream.schema(schema)
-        .option("header", True)
+        spark.readStream.schema(with_record(schema))
+        .options(**csv_options())
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", max_files)
     )
@@ -43,10 +56,24 @@ def start_csv_ingest(
     elif delete_source:
         reader = reader.option("cleanSource", "delete")
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    write_rows = replace_batch(checked_path(target))
+    write_rejects = replace_batch(checked_path(rejects)) if rejects else None
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        lines = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            bad = malformed(lines)
+            if not bad.isEmpty():
+                if write_rejects is None:
+                    raise ValueError("malformed lines, and no folder for rejects")
+                write_rejects(bad, batch_id)
+            write_rows(well_formed(lines), batch_id)
+        finally:
+            lines.unpersist()
+
     return (
         reader.csv(checked_path(source))
-        .writeStream.format("parquet")
-        .option("path", checked_path(target))
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checked_path(checkpoint))
         .trigger(**trigger)
         .start()

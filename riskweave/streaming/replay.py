@@ -19,10 +19,39 @@ def to_messages(transactions: DataFrame, ts: Column | None = None) -> DataFrame:
     )
 
 
+_COARSE = 16  # bits: 65,536 counts reach the driver
+
+
+def _crossing(hashes: DataFrame, part: Column, wanted: int) -> tuple[int, int] | None:
+    """Part in which the ``wanted``-th row lies, and the rows before it."""
+    before = 0
+    counts = hashes.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    for row in counts.orderBy("part").collect():
+        if before + row["n"] >= wanted:
+            return row["part"], before
+        before += row["n"]
+    return None
+
+
 def pick_rows(transactions: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """``n`` repeatably random rows: those with the least hash of their identifier."""
-    order = seeded_hash(seed, F.col(S.TRANSACTION_ID))
-    return transactions.orderBy(order, S.TRANSACTION_ID).limit(n)
+    """``n`` repeatably random rows: those with the least hash of their identifier.
+
+    The n-th least hash is found from counts, so that all rows below it come from a
+    filter over all partitions; only rows that share exactly that hash are put in
+    order to fill up the number.
+    """
+    hashed = seeded_hash(seed, F.col(S.TRANSACTION_ID))
+    hashes = transactions.select(hashed.alias("h"))
+    if n <= 0:
+        return transactions.limit(0)
+    coarse = _crossing(hashes, F.shiftright("h", _COARSE), n)
+    if coarse is None:
+        return transactions
+    within = hashes.where(F.shiftright("h", _COARSE) == coarse[0])
+    value, before = _crossing(within, F.col("h"), n - coarse[1])
+    rest = n - coarse[1] - before
+    ties = transactions.where(hashed == value).orderBy(S.TRANSACTION_ID).limit(rest)
+    return transactions.where(hashed < value).unionByName(ties)
 
 
 def replay(transactions: DataFrame, n: int = 10, seed: int = 42) -> DataFrame:

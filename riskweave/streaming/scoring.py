@@ -23,6 +23,9 @@ BAD_ENVELOPE = "bad_envelope"
 NO_FEATURES = "no_features"
 BAD_FEATURES = "bad_features"
 BAD_VALUE = "bad_value"
+NO_ROW = "no_row"
+SEVERAL_ROWS = "several_rows"
+MISSING_ID = "missing_id"
 
 
 def _evaluated_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -40,9 +43,10 @@ def parse_messages(
 ) -> DataFrame:
     """``value, ts, card_id, reject_reason`` and the columns of ``schema``.
 
-    A column absent from a message is NULL. ``reject_reason`` is NULL for
-    usable rows; a value that is no number, or too large for its type, makes
-    the row unusable.
+    A message holds one row, under any key. A feature absent from it is NULL.
+    ``reject_reason`` is NULL for usable rows; a value that is no number, or an
+    integer with a fraction or too large for its type, makes the row unusable, and
+    so do several rows, none, or a row without identifier.
     """
     envelope, features = F.col("_envelope"), F.col("_features")
     parsed = messages.select(F.col("value").cast("string").alias("value"))
@@ -54,8 +58,14 @@ def parse_messages(
         F.when(envelope.isNull() | envelope[M.CORRUPT].isNotNull(), BAD_ENVELOPE)
         .when(envelope["features"].isNull(), NO_FEATURES)
         .when(features.isNull() | features[M.CORRUPT].isNotNull(), BAD_FEATURES)
-        .when(M.out_of_range(features, schema), BAD_VALUE)
+        .when(M.row_count(features, schema) == 0, NO_ROW)
+        .when(M.row_count(features, schema) > 1, SEVERAL_ROWS)
+        .when(M.misfit(features, schema), BAD_VALUE)
     )
+    names = {f.name: f for f in schema.fields}
+    if S.TRANSACTION_ID in names:
+        identifier = M.feature_value(features, names[S.TRANSACTION_ID])
+        reason = reason.when(identifier.isNull(), MISSING_ID)
     return parsed.select(
         "value",
         envelope["ts"].alias("ts"),
@@ -92,9 +102,10 @@ def result_messages(scored: DataFrame) -> DataFrame:
     )
 
 
-def score_stream(messages: DataFrame, model: PipelineModel) -> DataFrame:
-    """Messages in, result messages out; unusable messages are left out."""
-    return result_messages(score_rows(usable(parse_messages(messages)), model))
+def score_stream(messages: DataFrame, model: PipelineModel) -> tuple[DataFrame, DataFrame]:
+    """Result messages, and the unusable messages with their reasons."""
+    parsed = parse_messages(messages)
+    return result_messages(score_rows(usable(parsed), model)), rejected(parsed)
 
 
 BatchWriter = Callable[[DataFrame, int], None]

@@ -50,21 +50,38 @@ def test_small_sets_are_broadcast_and_large_ones_salted(spark, facts):
     assert "SinglePartition" not in large
 
 
-def test_hot_keys_are_salted_and_others_are_not(spark, monkeypatch):
-    """With one hot key allowed, its third of the rows spreads over all salts."""
-    monkeypatch.setattr(joins, "HOT_KEYS", 1)
-    key = F.when(F.col("id") % 3 == 0, 7).otherwise(100 + F.col("id") % 500).cast("bigint")
-    facts = spark.range(6000).withColumn("key", key)
-    assert [r["key"] for r in joins.hot_keys(facts, "key").collect()] == [7]
-    names = spark.range(1000).select(F.col("id").alias("key"), F.lit("x").alias("name"))
-    size = joins.measure(names)
-    joined = joins.sized_join(facts, names, "key", "left", size, NOTHING, ["id"])
-    assert joined.count() == 6000 and joined.where("name IS NULL").count() == 0
-
-    placed = facts.join(joins.hot_keys(facts, "key"), "key", "left")
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("id"), F.lit(4))).otherwise(0)
-    per_task = placed.groupBy("key", salt.alias("s")).count().agg(F.max("count")).first()[0]
-    assert per_task < 2000 / 3
+def partition_sizes(joined):
+    rows = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    return [r["count"] for r in rows]
+
+
+def test_hot_keys_are_salted_by_their_counts(spark, many_partitions):
+    """5,000 equally hot keys, one key of a third of all rows, and many equal rows."""
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 5000).cast("bigint")
+    facts = spark.range(0, 150_000, 1, 6).select(key.alias("key"), F.lit("same").alias("text"))
+    names = spark.range(-1, 5000).select(F.col("id").alias("key"), F.lit("x").alias("name"))
+    hot = {r["key"]: r["_salts"] for r in joins.hot_keys(facts, "key", 10).collect()}
+    assert len(hot) == 5001 and hot[-1] == 5000 and hot[7] == 2
+    assert [r["key"] for r in joins.hot_keys(facts, "key", 1000).collect()] == [-1]
+
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        size = joins.measure(names)
+        joined = joins.sized_join(facts, names, "key", "inner", size, NOTHING, None, 100)
+        sizes = partition_sizes(joined)
+        assert sum(sizes) == 150_000
+        # 3,000 rows a partition on average; the hot key alone would bring 50,000
+        assert max(sizes) < 6_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+
+
+def test_the_list_of_hot_keys_stays_within_the_bound(spark):
+    facts = spark.range(10_000).select((F.col("id") % 100).alias("key"))
+    few = joins.hot_keys(facts, "key", 10, BroadcastBound(rows=50))
+    assert few.count() == 0  # rather than list 100 keys, tasks get more rows
 
 
 def test_dictionary_join_is_the_same_both_ways(spark, facts):

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskweave.operators.evaluation import auc_evaluator, exact_auc
+from riskweave.operators.evaluation import auc_evaluator, auc_of_groups, exact_auc
 from riskweave.operators.quantiles import exact_quantiles
 from riskweave.operators.running import running_totals
 from tests.plans import no_python_and_no_cross_join
@@ -69,6 +69,14 @@ def test_misplaced_brackets_are_widened(spark, monkeypatch):
     assert found == pytest.approx(list(np.quantile(values, [0.1, 0.5, 0.9])))
 
 
+@pytest.mark.parametrize("values", [[math.inf] * 4, [-math.inf, 0.0, math.inf], [1.0, math.inf]])
+def test_infinite_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert exact_quantiles(df, ["x"], [0.0, 1.0])["x"] == [values[0], values[-1]]
+    if len(values) == 4:
+        assert exact_quantiles(df, ["x"], [0.3, 0.5])["x"] == [math.inf, math.inf]
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, ["x"], [0.5]) == {"x": [None]}
@@ -100,6 +108,8 @@ def test_auc_of_one_class_is_unknown(spark):
 
 def test_auc_of_huge_counts_does_not_overflow(spark):
     """Counts of 10^12 on both sides would overflow a 64-bit product."""
-    wins = F.lit(10**12).cast("decimal(18,0)") * F.lit(2 * 10**12).cast("decimal(20,0)")
-    (total,) = spark.range(3).agg(F.sum(wins)).first()
-    assert math.isclose(float(total), 6e24)
+    rows = [(0.1, 0, 10**12), (0.2, 10**12, 10**12), (0.3, 10**12, 0)]
+    groups = spark.createDataFrame(rows, "score double, pos bigint, neg bigint")
+    row = auc_of_groups(groups).first()
+    assert row["auc"] == pytest.approx((1.5 + 2) / 4)
+    assert (row["positives"], row["negatives"]) == (2 * 10**12, 2 * 10**12)

@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from riskweave import schema as S
 from riskweave.functions.expressions import positive_probability
 from riskweave.operators import encoding, features
+from riskweave.operators.joins import DEFAULT_BOUND, BroadcastBound
+from riskweave.operators.ranking import get_cards_precision_top_k
 from riskweave.operators.split import hash_split, training_rows
-from riskweave.plans import pipelines, training
+from riskweave.plans import champion, pipelines, training
 from riskweave.plans.champion import run_champion_challenger
 from riskweave.sources.runlog import RunLog, read_run_log
 from riskweave.sources.tables import load_model, save_model
@@ -50,10 +52,21 @@ def test_vector_equals_exact_form(transactions, fitted):
     mine, theirs = by_id(exact, "features"), by_id(vectors, "features")
     width = len(next(iter(theirs.values()))[0])
     assert width == 20
-    quantile_slots = slice(8, None)  # the ML scaler picks elements, the exact one interpolates
+    prepared = features.prepare_features(transactions).select(
+        S.TRANSACTION_ID, F.array(*S.CONTINUOUS_FEATURES).alias("raw")
+    )
+    raw = by_id(prepared, "raw")
+    spreads = encoding.fit_interquartile(
+        features.prepare_features(transactions), S.CONTINUOUS_FEATURES
+    )
+    exact_spreads = [spreads[c] for c in S.CONTINUOUS_FEATURES]
+    # the ML scaler picks elements as quartiles, the exact form interpolates
     for key, (vector,) in theirs.items():
         assert list(mine[key][0][:8]) == list(vector[:8])
-        assert len(mine[key][0][quantile_slots]) == len(vector[quantile_slots]) == 12
+        values = raw[key][0]
+        for own, divisors in ((mine[key][0], exact_spreads), (vector, fitted.stages[11].range)):
+            expected = [v / d if d else 0.0 for v, d in zip(values, divisors, strict=True)]
+            assert list(own[8:]) == pytest.approx(expected)
 
 
 def test_label_index_equals_string_indexer(transactions, fitted):
@@ -87,7 +100,20 @@ def test_unseen_category_is_all_zeros(transactions, fitted):
     assert set(row["v"]) == {0.0}
     prepared = features.prepare_features(transactions)
     coded = encoding.one_hot(features.prepare_features(odd), "V26_str", "v", prepared)
-    assert set(coded.first()["v"]) == {0}
+    code = coded.first()["v"]
+    assert (code["index"], code["width"]) == (-1, len(row["v"]))
+    assert set(coded.select(encoding.dense(F.col("v")).alias("d")).first()["d"]) == {0}
+
+
+def test_one_hot_codes_do_not_grow_with_the_labels(spark):
+    """A row holds an index and a width, for 100,000 labels as for few, by either way."""
+    labels = spark.range(100_000).select(F.col("id").cast("string").alias("t"))
+    for bound in (DEFAULT_BOUND, BroadcastBound(rows=0)):
+        coded = encoding.one_hot(labels, "t", "v", bound=bound)
+        seen = coded.agg(
+            F.count_distinct("v.index"), F.min("v.index"), F.max("v.index"), F.max("v.width")
+        ).first()
+        assert tuple(seen) == (100_000, 0, 99_999, 100_000)
 
 
 def test_constant_columns(spark):
@@ -201,6 +227,15 @@ def test_champion_contest(spark, transactions, model, tmp_path):
     assert decision.k == 5 and 0 <= decision.champion_precision <= 1
     entries = {(r["kind"], r["key"]): r["value"] for r in read_run_log(spark, log.path).collect()}
     assert entries["decision", "replace_champion"] == str(decision.replace_champion)
-    if decision.replace_champion:
-        assert entries["artifact", "model"] == path
-        assert len(load_model(path).stages) == 14
+    assert decision.replace_champion  # the precisions differ, so there is a p-value
+    assert entries["artifact", "model"] == path
+    assert len(load_model(path).stages) == 14
+
+
+def test_samples_equal_scoring_each_model_alone(transactions, model):
+    trees = pipelines.gradient_boosted_trees(maxIter=1, maxDepth=1)
+    other = training.fit_model(transactions, trees)
+    both = champion._samples(transactions, model, other, 5, 20, 25)
+    for scores, own in zip(both, (model, other), strict=True):
+        alone = get_cards_precision_top_k(own.transform(transactions), 5, 20, 25)
+        assert sorted(map(tuple, scores.collect())) == sorted(map(tuple, alone.collect()))

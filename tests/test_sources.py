@@ -104,7 +104,39 @@ def test_a_cluster_gets_no_local_folder():
 
 def run(spark, *arguments):
     job, settings = jobs.parse_arguments(list(arguments))
-    return jobs.JOBS[job](spark, settings)
+    return jobs.run_job(spark, job, settings)
+
+
+@pytest.mark.parametrize("job", sorted(jobs.JOBS))
+def test_jobs_refuse_missing_settings(spark, job, capsys):
+    with pytest.raises(SystemExit):
+        jobs.parse_arguments([job])
+    assert "needs --" in capsys.readouterr().err
+    with pytest.raises(ValueError):
+        jobs.run_job(spark, job, jobs.Settings())
+
+
+def test_secrets_come_from_a_file(tmp_path):
+    path = tmp_path / "kafka.properties"
+    path.write_text("# broker\nkafka.sasl.password = a=b\n\nx=1\n")
+    settings = jobs.Settings(kafka_options=("x=2",), kafka_properties=str(path))
+    assert jobs._kafka_options(settings) == {"kafka.sasl.password": "a=b", "x": "2"}
+    with pytest.raises(ValueError):
+        jobs._kafka_options(jobs.Settings(kafka_options=("kafka.sasl.password=b",)))
+
+
+def test_outputs_are_checked_first_and_overwritten_on_demand(spark, stored, tmp_path):
+    model, train = str(tmp_path / "model"), str(tmp_path / "train")
+    arguments = ["build-features", "--data", stored, "--model", model, "--features", train]
+    run(spark, *arguments)
+    with pytest.raises(FileExistsError):
+        run(spark, *arguments)
+    run(spark, *arguments, "--mode", "overwrite")
+    for job in ("tune-model", "compare-models"):
+        with pytest.raises(FileExistsError):
+            run(spark, job, "--data", "nowhere", "--model", "nowhere", "--output", train)
+    with pytest.raises(ValueError):
+        run(spark, "tune-model", "--data", stored, "--output", "s3a//lost/colon")
 
 
 def test_feature_jobs(spark, stored, tmp_path):
@@ -147,6 +179,53 @@ def test_ingest_job(spark, tmp_path):
     assert spark.read.parquet(out).count() == 1
 
 
+def test_malformed_lines(spark, tmp_path):
+    """Batch and stream agree on headers and on lines that do not fit."""
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "s.csv").write_text("device_id,ts,value\n1,a,0.5\nxx,b,1.0\n2,c,1.0,9\n3,d\n4,e,\n")
+    at = {n: str(tmp_path / n) for n in ("out", "bad", "out2", "bad2", "check", "check2", "out3")}
+    run(spark, "convert-csv", "--data", str(source), "--output", at["out"], "--rejects", at["bad"])
+    ingest_to = ["ingest-csv", "--data", str(source), "--checkpoint"]
+    run(spark, *ingest_to, at["check"], "--output", at["out2"], "--rejects", at["bad2"])
+    for out, bad in (("out", "bad"), ("out2", "bad2")):
+        rows = spark.read.parquet(at[out]).collect()
+        assert sorted((r["device_id"], r["value"]) for r in rows) == [(1, 0.5), (4, None)]
+        lines = {r[tables.RECORD] for r in spark.read.parquet(at[bad]).collect()}
+        assert lines == {"xx,b,1.0", "2,c,1.0,9", "3,d"}
+    with pytest.raises(Exception):  # noqa: B017
+        tables.read_csv(spark, str(source), S.SENSOR_SCHEMA).collect()
+    with pytest.raises(Exception):  # noqa: B017
+        run(spark, *ingest_to, at["check2"], "--output", at["out3"])
+
+
+def test_other_header_is_refused(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "s.csv").write_text("value,device_id,ts\n5,7,8\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_csv_lines(spark, str(source), S.SENSOR_SCHEMA).collect()
+    with pytest.raises(Exception, match="(?i)header"):
+        run(
+            spark, "ingest-csv", "--data", str(source), "--output", str(tmp_path / "out"),
+            "--checkpoint", str(tmp_path / "check"), "--rejects", str(tmp_path / "bad"),
+        )
+
+
+def test_ingest_job_deletes_what_it_converted(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    arguments = [
+        "ingest-csv", "--data", str(source), "--output", str(tmp_path / "out"),
+        "--checkpoint", str(tmp_path / "check"), "--delete-source",
+    ]
+    for n in range(3):  # cleaning lags behind by a batch
+        (source / f"s{n}.csv").write_text(f"device_id,ts,value\n{n},a,0.5\n")
+        run(spark, *arguments)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    assert not (source / "s0.csv").exists()
+
+
 def test_model_jobs_end_to_end(spark, stored, tmp_path, monkeypatch):
     """Tune, contest, replay and score through files."""
     monkeypatch.setattr(jobs, "parameter_grid", lambda trees: parameter_grid(trees, [2], [15]))
@@ -172,8 +251,11 @@ def test_model_jobs_end_to_end(spark, stored, tmp_path, monkeypatch):
 
 def test_arguments():
     job, settings = jobs.parse_arguments(
-        ["score-messages", "--servers", "h:1", "--kafka-options", "a=b", "c=d=e", "--k-cards", "9"]
-    )
+        [
+            "score-messages", "--servers", "h:1", "--kafka-options", "a=b", "c=d=e", "--k-cards", "9",
+            "--topic", "t", "--results-topic", "r", "--model", "m", "--rejects", "x", "--checkpoint", "c",
+        ]
+    )
     assert job == "score-messages"
     assert jobs._kafka_options(settings) == {"a": "b", "c": "d=e"}
     assert settings.k_cards == 9 and settings.p_value == 0.01 and settings.partitions is None

@@ -46,6 +46,19 @@ def test_good_message(spark):
         (json.dumps({**GOOD, "features": '{"V26": {"0": "x"}}'}), scoring.BAD_FEATURES),
         (json.dumps({**GOOD, "features": '{"V26": 1.0}'}), scoring.BAD_FEATURES),
         (json.dumps({**GOOD, "features": '{"card1": {"0": 1e20}}'}), scoring.BAD_VALUE),
+        (json.dumps({**GOOD, "features": '{"TransactionID": {"0": 9.7}}'}), scoring.BAD_VALUE),
+        (json.dumps({**GOOD, "features": '{"TransactionID": {"0": null}}'}), scoring.MISSING_ID),
+        (json.dumps({**GOOD, "features": '{"V26": {"0": 1}}'}), scoring.MISSING_ID),
+        (json.dumps({**GOOD, "features": "{}"}), scoring.NO_ROW),
+        (json.dumps({**GOOD, "features": '{"TransactionID": {}}'}), scoring.NO_ROW),
+        (
+            json.dumps({**GOOD, "features": '{"TransactionID": {"0": 1, "1": 2}}'}),
+            scoring.SEVERAL_ROWS,
+        ),
+        (
+            json.dumps({**GOOD, "features": '{"TransactionID": {"0": 1}, "V26": {"1": 2}}'}),
+            scoring.SEVERAL_ROWS,
+        ),
     ],
 )
 def test_bad_messages(spark, text, reason):
@@ -54,6 +67,12 @@ def test_bad_messages(spark, text, reason):
     assert row["value"] == text
 
 
+def test_any_row_key_will_do(spark):
+    text = json.dumps({**GOOD, "features": '{"TransactionID": {"5": 9}, "card1": {"5": 7.0}}'})
+    (row,) = parse(spark, text)
+    assert (row["reject_reason"], row["TransactionID"], row["card1"]) == (None, 9, 7)
+
+
 def test_large_identifiers_keep_all_digits(spark):
     text = json.dumps({**GOOD, "features": '{"TransactionID": {"0": 9007199254740993}}'})
     assert parse(spark, text)[0]["TransactionID"] == 9007199254740993
@@ -74,6 +93,18 @@ def test_message_layout(transactions):
     assert bytes(row["key"]).decode("ascii") == str(message["card_id"])
 
 
+def test_replay_picks_the_least_hashes(spark, transactions):
+    order = [replay.seeded_hash(42, replay.F.col(S.TRANSACTION_ID)), S.TRANSACTION_ID]
+    ranked = [r[0] for r in transactions.orderBy(*order).select(S.TRANSACTION_ID).collect()]
+    ids = lambda df: sorted(r[0] for r in df.select(S.TRANSACTION_ID).collect())
+    for n in (0, 1, 10, 700, 1000, 5000):
+        assert ids(replay.pick_rows(transactions, n)) == sorted(ranked[:n])
+    again = transactions.union(transactions)
+    assert ids(replay.pick_rows(again, 7)) == sorted(sorted(ranked[:4] * 2, key=ranked.index)[:7])
+    plan = plan_of(replay.pick_rows(transactions, 700))
+    assert "TakeOrderedAndProject" in plan and "Filter" in plan  # ties only are ordered
+
+
 def test_replay_is_repeatable(transactions):
     pick = lambda df: sorted(r[0] for r in replay.pick_rows(df, 10).select(S.TRANSACTION_ID).collect())
     assert pick(transactions) == pick(transactions.repartition(5))
@@ -124,9 +155,12 @@ def test_stream_scores_equal_batch_scores(spark, transactions, model, tmp_path):
     assert [(r["value"], r["reject_reason"]) for r in rejects] == [("broken", "bad_envelope")]
 
 
-def test_score_stream_without_side_output(spark, transactions, model):
-    messages = replay.to_messages(transactions.limit(20))
-    assert scoring.score_stream(messages, model).count() == 20
+def test_score_stream_returns_its_rejects(spark, transactions, model):
+    messages = replay.to_messages(transactions.limit(20)).select("value")
+    broken = spark.createDataFrame([("broken",)], "value string")
+    results, rejects = scoring.score_stream(messages.union(broken), model)
+    assert results.count() == 20
+    assert [r["value"] for r in rejects.collect()] == ["broken"]
 
 
 def write_csv(folder, name, *rows):
@@ -141,7 +175,7 @@ def test_ingest_converts_each_file_once(spark, tmp_path):
         ingest.start_csv_ingest(
             spark, str(source), target, str(tmp_path / "check"), pattern="sensors-*.csv"
         ).awaitTermination()
-        return sorted(tuple(r) for r in spark.read.parquet(target).collect())
+        return sorted(tuple(r) for r in spark.read.parquet(target).drop("batch").collect())
 
     write_csv(source, "sensors-1.csv", "1,a,0.5", "2,b,")
     write_csv(source, "other.csv", "9,z,9.0")
