@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import count
@@ -27,11 +26,9 @@ from pyspark.sql import functions as F
 from riskweave.llm.text import slices
 
 CAPACITY = 1024
-PIECE = 128
+PIECE = 256
 WINDOWS_AT_ONCE = 128  # windows that are filled together; bounds memory and time
 END_OF_TEXT = 0
-_KEPT_WORDS = 300_000
-_IRREGULAR = re.compile(r"\s\x20|\x20\s|^\s|\s$")
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
@@ -71,43 +68,26 @@ def pack(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
 
 
 class Encoder:
-    """Byte-pair ids of whole texts, remembering those of frequent words.
-
-    A single space between other characters starts a new pre-token, so a text
-    without other white space next to a space is encoded word by word.
-    """
+    """Byte-pair ids of whole texts."""
 
     def __init__(self, ranks: bytes, pattern: str):
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.model = tiktoken.Encoding(
             "own", pat_str=pattern, mergeable_ranks=table, special_tokens={}
         )
-        self.words: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.model.encode_ordinary(text), "<u4").tobytes()
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of ``text`` and the one that ends a document."""
-        if _IRREGULAR.search(text):
-            found = [self._whole(text)]
-        else:
-            first, *rest = text.split(" ")
-            words = self.words
-            if len(words) > _KEPT_WORDS:
-                words.clear()
-            for word in set(rest):
-                if word not in words:
-                    words[word] = self._whole(" " + word)
-            found = [self._whole(first), *map(words.__getitem__, rest)]
-        return np.frombuffer(b"".join([*found, np.array([END_OF_TEXT], "<u4").tobytes()]), "<u4")
+        found = self.model.encode_ordinary(text)
+        found.append(END_OF_TEXT)
+        return np.array(found, "<u4")
 
 
 _ENCODERS: dict[tuple[int, str], Encoder] = {}
 
 
 def _encoder(ranks: bytes, pattern: str) -> Encoder:
-    """One encoder per worker process, so that its words outlive a task."""
+    """One encoder per worker process, which outlives a task."""
     key = (zlib.crc32(ranks), pattern)
     if key not in _ENCODERS:
         _ENCODERS.clear()
