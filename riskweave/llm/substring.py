@@ -200,6 +200,10 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     windows = texts.mapInArrow(
         estimated, "high bigint, low int, doc_id bigint, version int, start int"
     )
+    # One shuffle serves both the grouping and the join. A window has one row per place,
+    # so the most frequent one holds a small part of all rows: its share of each document.
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    windows = windows.repartition(partitions, "high", "low")
     first = (
         windows.groupBy("high", "low")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
