@@ -6,14 +6,15 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskweave import schema as S
 from riskweave.functions import messages as M
+from riskweave.functions.expressions import positive_probability
 from riskweave.operators import encoding, evaluation, features, quantiles, ranking, split
 from riskweave.plans import pipelines, training
-from riskweave.plans.champion import run_champion_challenger
+from riskweave.plans.champion import decide, run_champion_challenger
 from riskweave.sources import tables
 from riskweave.sources.events import (
     WEEK_CUTOFF,
@@ -339,9 +340,30 @@ def feature_array(spark, sf_dir):
 
 @_query
 def feature_vectors(spark, sf_dir):
+    """Whether each continuous slot is the prepared value over the fitted range, and whether
+    these ranges are within the scaler's rank error; ``discrete_vectors`` has the rest."""
     data = _transactions(spark, sf_dir)
-    vectors = training.fit_features(data).transform(data)
-    return vectors.select(S.TRANSACTION_ID, vector_to_array("features").alias("features"))
+    model = training.fit_features(data)
+    ranges = model.stages[11].range
+    names, rank_error = S.CONTINUOUS_FEATURES, 0.002
+    ends = [p + e for p in (0.25, 0.75) for e in (-rank_error, rank_error)]
+    found = quantiles.exact_quantiles(_prepared(spark, sf_dir), names, ends)
+    within = all(
+        low[2] - low[1] - 1e-9 <= width <= low[3] - low[0] + 1e-9
+        for low, width in zip((found[c] for c in names), ranges, strict=True)
+    )
+    slots = vector_to_array("features")
+    first = 20 - len(names)
+    agrees = F.lit(True)
+    for i, c in enumerate(names):
+        expected = F.col(c) / float(ranges[i]) if ranges[i] else F.lit(0.0)
+        agrees &= F.abs(F.get(slots, first + i) - expected) < 1e-9
+    return model.transform(data).select(
+        S.TRANSACTION_ID,
+        F.size(slots).alias("slots"),
+        agrees.alias("continuous_agree"),
+        F.lit(within).alias("ranges_within_error"),
+    )
 
 
 def _discrete_parts(vectors: DataFrame) -> DataFrame:
@@ -404,6 +426,22 @@ def pooled_t_statistic(spark, sf_dir):
     return result.select("n1", "n2", "dof", *rounded)
 
 
+@_query
+def decisions_on_amounts(spark, sf_dir):
+    """The contest's decision with raw columns as scores, once each way round."""
+    samples = {
+        score: ranking.bootstrap_precision(
+            _top_cards(spark, sf_dir, score), K, output=f"precision_top_{K}"
+        )
+        for score in ("V280", "V317")
+    }
+    rows = []
+    for champion, challenger in (("V280", "V317"), ("V317", "V280")):
+        decision = decide(samples[champion], samples[challenger], K)
+        rows.append((champion, challenger, decision.replace_champion))
+    return spark.createDataFrame(rows, "champion string, challenger string, replaced boolean")
+
+
 # Models
 
 
@@ -414,18 +452,33 @@ def _fit_on_first_week(data: DataFrame):
 
 @_query
 def gbt_scores(spark, sf_dir):
+    """Validation rows, and whether each score equals that of the trees written as SQL."""
     data = _transactions(spark, sf_dir)
     _, valid = split.train_validation_split(data, WEEK_CUTOFF)
-    return scoring.score_rows(valid, _fit_on_first_week(data))
+    model = _fit_on_first_week(data)
+    probability = positive_probability(F.col("probability"))
+    expected = pipelines.probability_of_trees(model.stages[-1], vector_to_array("features"))
+    return model.transform(valid).select(
+        S.TRANSACTION_ID, S.CARD, (F.abs(probability - expected) < 1e-9).alias("equals_trees")
+    )
 
 
 @_query
 def tuning_results(spark, sf_dir):
     data = _transactions(spark, sf_dir)
     result = training.tune(data, parallelism=4, partitions=_PARTITIONS)
-    rows = [(t.max_depth, t.min_instances, t.auc, t == result.best) for t in result.trials]
-    return spark.createDataFrame(
-        rows, "max_depth int, min_instances int, auc double, best boolean"
+    trials = [(t.max_depth, t.min_instances, t.auc, t is result.best) for t in result.trials]
+    rows = spark.createDataFrame(
+        trials, "max_depth int, min_instances int, auc double, best boolean"
+    )
+    whole = Window.partitionBy()
+    highest = F.max(F.when(F.col("best"), F.col("auc"))).over(whole) == F.max("auc").over(whole)
+    return rows.select(
+        "max_depth",
+        "min_instances",
+        F.col("auc").between(0.5, 1.0).alias("auc_in_range"),
+        F.count_if("best").over(whole).alias("best_points"),
+        highest.alias("best_is_highest"),
     )
 
 

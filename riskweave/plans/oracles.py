@@ -399,6 +399,38 @@ SELECT n1, n2, n1 + n2 - 2 AS dof,
 FROM (SELECT count(*) AS n1, avg(precision) AS mean1, var_samp(precision) AS var1 FROM a),
      (SELECT count(*) AS n2, avg(precision) AS mean2, var_samp(precision) AS var2 FROM b)""",
         ),
+        "decisions_on_amounts": _with(
+            _TRANSACTIONS,
+            _VALID,
+            _top("V280", "top_a"),
+            _top("V317", "top_b"),
+            _draws("top_a", "draws_a"),
+            _draws("top_b", "draws_b"),
+            _precision("draws_a", "a"),
+            _precision("draws_b", "b"),
+            # with 198 degrees of freedom p < 0.01 is t < -2.3453
+            body="""
+SELECT champion, challenger, sign * t < -2.3453 AS replaced
+FROM (SELECT (mean1 - mean2) / sqrt(((n1 - 1) * var1 + (n2 - 1) * var2) / (n1 + n2 - 2)
+                                    * (1.0 / n1 + 1.0 / n2)) AS t
+      FROM (SELECT count(*) AS n1, avg(precision) AS mean1, var_samp(precision) AS var1 FROM a),
+           (SELECT count(*) AS n2, avg(precision) AS mean2, var_samp(precision) AS var2 FROM b)),
+     (VALUES ('V280', 'V317', 1), ('V317', 'V280', -1)) AS cases(champion, challenger, sign)""",
+        ),
+        "feature_vectors": _tx(
+            """
+SELECT "TransactionID", 20::INTEGER AS slots, TRUE AS continuous_agree,
+       TRUE AS ranges_within_error FROM tx"""
+        ),
+        "gbt_scores": _with(
+            _TRANSACTIONS,
+            _VALID,
+            body='SELECT "TransactionID", card1, TRUE AS equals_trees FROM valid',
+        ),
+        "tuning_results": """
+SELECT max_depth::INTEGER AS max_depth, min_instances::INTEGER AS min_instances,
+       TRUE AS auc_in_range, 1::BIGINT AS best_points, TRUE AS best_is_highest
+FROM (VALUES (5), (10), (15)) AS d(max_depth), (VALUES (15), (100), (200)) AS m(min_instances)""",
         "run_log": _tx(
             f"""
 SELECT 'experiment' AS kind, 'name' AS key, 'label-counts' AS value

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, Transformer
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import (
     MinMaxScaler,
     OneHotEncoder,
@@ -12,6 +12,8 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from riskweave import schema as S
 from riskweave.operators.features import text_column
@@ -80,6 +82,28 @@ def gradient_boosted_trees(**params) -> GBTClassifier:
     return GBTClassifier(labelCol=S.LABEL, featuresCol=FEATURES, **settings)
 
 
+def _tree_value(node, features: Column) -> Column:
+    """A regression tree as nested conditions."""
+    if node.numDescendants() == 0:
+        return F.lit(float(node.prediction()))
+    split = node.split()
+    left, right = (_tree_value(n, features) for n in (node.leftChild(), node.rightChild()))
+    value = F.get(features, F.lit(split.featureIndex()))
+    if split.getClass().getSimpleName() == "ContinuousSplit":
+        goes_left = value <= F.lit(float(split.threshold()))
+    else:
+        goes_left = value.isin([float(c) for c in split.leftCategories()])
+    return F.when(goes_left, left).otherwise(right)
+
+
+def probability_of_trees(model: GBTClassificationModel, features: Column) -> Column:
+    """The model's probability of the positive label, spelled out over an array of features."""
+    margin = F.lit(0.0)
+    for tree, weight in zip(model.trees, model.treeWeights, strict=True):
+        margin += float(weight) * _tree_value(tree._call_java("rootNode"), features)
+    return 1 / (1 + F.exp(-2 * margin))
+
+
 def challenger_classifier() -> GBTClassifier:
     return gradient_boosted_trees(minInstancesPerNode=1000)
 
