@@ -12,6 +12,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -26,7 +27,14 @@ from riskweave.sources.events import read_event_transactions  # noqa: E402
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
-SLOW = {"tune_and_fit", "score_and_auc", "gbt_scores", "stream_scores", "champion_decision"}
+SLOW = {
+    "tune_and_fit",
+    "score_and_auc",
+    "gbt_scores",
+    "stream_scores",
+    "champion_decision",
+    "tuning_results",
+}
 HEADLINE = [
     "transactions_scan",
     "group_count_by_month",
@@ -49,6 +57,7 @@ HEADLINE = [
     "champion_decision",
     "tune_and_fit",
     "score_and_auc",
+    "tuning_results",
 ]
 
 
@@ -61,7 +70,7 @@ def one_grid_point(spark: SparkSession):
     trees = pipelines.gradient_boosted_trees()
     grid = training.parameter_grid(trees, depths=(10,), min_instances=(100,))
     data = read_event_transactions(spark, SF_DIR)
-    return training.tune(data, trees, grid).model
+    return training.tune(data, trees, grid, partitions=int(CPUS)).model
 
 
 def measure(spark: SparkSession) -> dict[str, float]:
@@ -103,6 +112,7 @@ def main() -> None:
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="riskweave-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
