@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from riskweave import schema as S
 from riskweave.functions import messages as M
 from riskweave.functions.expressions import positive_probability
-from riskweave.operators import encoding, evaluation, features, quantiles, ranking, split
+from riskweave.operators import (
+    encoding,
+    evaluation,
+    features,
+    quantiles,
+    ranking,
+    selection,
+    split,
+)
 from riskweave.plans import pipelines, training
 from riskweave.plans.champion import decide, run_champion_challenger
 from riskweave.sources import tables
@@ -395,6 +403,28 @@ def saved_pipeline(spark, sf_dir):
     return _discrete_parts(tables.load_model(path).transform(data))
 
 
+# Caps and selection
+
+
+@_query
+def cap_thresholds(spark, sf_dir):
+    caps = selection.fit_cap_thresholds(_transactions(spark, sf_dir), S.CONTINUOUS_FEATURES)
+    rows = spark.createDataFrame(list(caps.items()), "feature string, cap double")
+    return rows.select("feature", F.round("cap", 9).alias("cap"))
+
+
+@_query
+def chi_square_table(spark, sf_dir):
+    table = selection.chi_square_table(_transactions(spark, sf_dir), S.BINARY_FEATURES)
+    return table.withColumn("chi_square", F.round("chi_square", 6))
+
+
+@_query
+def correlation_pairs(spark, sf_dir):
+    pairs = selection.correlation_pairs(_transactions(spark, sf_dir), S.CONTINUOUS_FEATURES)
+    return pairs.withColumn("correlation", F.round("correlation", 6))
+
+
 # Evaluation
 
 

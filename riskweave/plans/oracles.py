@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 # Spelled out here, so that a wrong list or threshold of the library would show.
 BINARY_FEATURES = ["V286", "V26"]
 DISCRETE_FEATURES = ["weekdays", "minutes"]
@@ -371,6 +373,30 @@ FROM prec""",
             f'SELECT "TransactionID", {_names(DISCRETE_FEATURES)}, {_MIN_MAX} FROM prep'
         ),
         "exact_quartiles": _tx(quartiles),
+        "cap_thresholds": _tx(
+            " UNION ALL ".join(
+                f"""SELECT '{c}' AS feature, round(quantile_cont("{c}", 0.99), 9) AS cap FROM tx"""
+                for c in CONTINUOUS_FEATURES
+            )
+        ),
+        "chi_square_table": _tx(
+            " UNION ALL ".join(
+                f"""
+SELECT '{c}' AS feature, count(*) AS categories, count(*) - 1 AS dof,
+       round(sum(pow(p - n * share, 2) / (n * share)
+                 + pow(n - p - n * (1 - share), 2) / (n * (1 - share))), 6) AS chi_square
+FROM (SELECT "{c}", sum("isFraud") AS p, count(*) AS n FROM tx GROUP BY "{c}"),
+     (SELECT avg("isFraud") AS share FROM tx)"""
+                for c in BINARY_FEATURES
+            )
+        ),
+        "correlation_pairs": _tx(
+            " UNION ALL ".join(
+                f"""
+SELECT '{a}' AS first, '{b}' AS second, round(corr("{a}", "{b}"), 6) AS correlation FROM tx"""
+                for a, b in combinations(CONTINUOUS_FEATURES, 2)
+            )
+        ),
         "robust_scale_exact": _prep(
             f'SELECT "TransactionID", {_ROBUST} FROM prep, spread', _SPREADS
         ),
