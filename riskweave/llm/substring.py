@@ -203,12 +203,19 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     # One shuffle serves both the grouping and the join. A window has one row per place,
     # so the most frequent one holds a small part of all rows: its share of each document.
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    windows = windows.repartition(partitions, "high", "low")
+    # None is NULL, which both sides are told alike, so that they are the same shuffle.
+    known = " AND ".join(f"{name} IS NOT NULL" for name in windows.columns)
+    windows = windows.where(known).repartition(partitions, "high", "low")
+    place = F.when(F.col("version").isNotNull(), F.col("start"))
     first = (
         windows.groupBy("high", "low")
-        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .where("first < last")
-        .drop("last")
+        .agg(
+            F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.max(place).alias("p")
+        )
+        # The last condition always holds. It keeps all columns needed on this side too;
+        # else it would shuffle fewer columns, and so all rows a second time.
+        .where("first < last AND p >= 0")
+        .select("high", "low", "first")
     )
     return (
         windows.join(first, ["high", "low"])
