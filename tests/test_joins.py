@@ -66,6 +66,7 @@ def test_hot_keys_are_salted_by_their_counts(spark, many_partitions):
 
     spark.conf.set("spark.sql.shuffle.partitions", "50")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         size = joins.measure(names)
         joined = joins.sized_join(facts, names, "key", "inner", size, NOTHING, None, 100)
@@ -76,6 +77,7 @@ def test_hot_keys_are_salted_by_their_counts(spark, many_partitions):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_the_list_of_hot_keys_stays_within_the_bound(spark):
