@@ -5,6 +5,8 @@ values in buckets whose bounds grow by a fixed ratio, so that a quantile is righ
 within one percent. Such sketches merge by adding counts, in any order and with the
 same result, which Spark does before its shuffle. A group too small for thresholds
 of its own uses those of its language, or of the whole table, from merged sketches.
+These also bound the thresholds of larger groups, so that a source that is mostly
+junk does not make junk its norm.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ LEAST = 1e-4
 ZERO = -1_000_000
 LEAST_GROUP = 200
 FACTOR = 4.0
+STRETCH = 1.6  # of a quartile's distance to the median, about that of the 10th or 90th percentile
 _SPACES = b" \t\n\v\f\r"
 _SYMBOLS = b"#*$%&|<>"
 _WINDOW = 5
@@ -127,8 +130,9 @@ def sketches(rows: DataFrame) -> DataFrame:
 def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
     """One row per group: its size and a fence per rule, from merged sketches.
 
-    A fence lies ``FACTOR`` times the distance between the median and the 10th or
-    90th percentile beyond the median, that distance having a least value.
+    A fence lies ``FACTOR`` times a spread beyond the median. The spread is that of
+    the nearer quartile, so that outliers on one side do not reach it until they are
+    half of the group, and has a least value.
     """
     merged = sketch.groupBy(*by, "name", "place").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "name")
@@ -136,13 +140,13 @@ def fences(sketch: DataFrame, by: list[str]) -> DataFrame:
     summed = merged.withColumns({"upto": F.sum("n").over(upto), "all": F.sum("n").over(group)})
     reaches = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("place")))
     quantiles = summed.groupBy(*by, "name").agg(
-        *[_middle(reaches(q)).alias(f"q{round(100 * q)}") for q in (0.1, 0.5, 0.9)],
+        *[_middle(reaches(q)).alias(f"q{round(100 * q)}") for q in (0.25, 0.5, 0.75)],
         F.max("all").alias("size"),
     )
+    near = STRETCH * F.least(F.col("q75") - F.col("q50"), F.col("q50") - F.col("q25"))
     found = []
     for name, side, least in RULES:
-        far = F.col("q90") - F.col("q50") if side == "high" else F.col("q50") - F.col("q10")
-        reach = FACTOR * F.greatest(far, F.lit(least))
+        reach = FACTOR * F.greatest(near, F.lit(least))
         fence = F.col("q50") + reach if side == "high" else F.col("q50") - reach
         found.append(F.max(F.when(F.col("name") == name, fence)).alias(f"{name}_{side}"))
     return quantiles.groupBy(*by).agg(F.max("size").alias("size"), *found)
@@ -173,14 +177,11 @@ def quality_rules(docs: DataFrame, least_group: int = LEAST_GROUP) -> DataFrame:
     of_lang = fences(sketch, ["lang"]).where(F.col("size") >= least_group).drop("size")
     whole = fences(sketch.withColumn("whole", F.lit(1)), ["whole"]).first()
     levels = own.join(of_lang.toDF("lang", *[f"lang_{n}" for n in names]), "lang", "left")
-    chosen = [
-        F.coalesce(
-            F.when(F.col("size") >= least_group, F.col(n)),
-            F.col(f"lang_{n}"),
-            F.lit(float(whole[n]) if whole else None).cast("double"),
-        ).alias(n)
-        for n in names
-    ]
+    chosen = []
+    for n in names:
+        general = F.coalesce(f"lang_{n}", F.lit(float(whole[n]) if whole else None).cast("double"))
+        bounded = (F.least if n.endswith("_high") else F.greatest)(F.col(n), general)
+        chosen.append(F.when(F.col("size") >= least_group, bounded).otherwise(general).alias(n))
     limits = settle(levels.select("lang", "source", *chosen))
     inside = F.lit(True)
     for name, side, _ in RULES:

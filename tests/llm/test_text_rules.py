@@ -160,5 +160,20 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert {r["doc_id"] for r in rows if not r["kept"]} == {1000}
 
 
+@pytest.mark.parametrize("junk", [60, 160, 280])
+def test_junk_does_not_raise_its_own_fence(spark, junk):
+    """Sources of 400 texts, 15, 40 or 70 percent of one of them with many symbols.
+
+    Of a source that is mostly junk, other texts may lie outside its norm and go too.
+    """
+    clean = "plain words of a text that has more than ten words in number {}"
+    bad = " ".join(f"word{i}###" for i in range(30))
+    rows = [(i, bad if i < junk else clean.format(i), "en", f"s{i // 400}") for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    rows = quality_rules.quality_rules(docs).collect()
+    gone = {r["doc_id"] for r in rows if not r["kept"]}
+    assert gone == set(range(junk)) if junk < 200 else set(range(junk)) <= gone <= set(range(400))
+
+
 def test_rules_on_an_empty_table(nothing):
     assert quality_rules.quality_rules(nothing).collect() == []
