@@ -29,6 +29,7 @@ CAPACITY = 1024
 PIECE = 256
 WINDOWS_AT_ONCE = 128  # windows that are filled together; bounds memory and time
 END_OF_TEXT = 0
+ADDED = {"<|endoftext|>": 50256}  # tokens of byte_bpe_50k.json that its ranks do not list
 
 
 def differencing(sizes: list[int], windows: int) -> list[list[int]]:
@@ -68,17 +69,17 @@ def pack(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
 
 
 class Encoder:
-    """Byte-pair ids of whole texts."""
+    """Byte-pair ids of whole texts, in which added tokens count wherever they stand."""
 
-    def __init__(self, ranks: bytes, pattern: str):
+    def __init__(self, ranks: bytes, pattern: str, added: dict[str, int] = ADDED):
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.model = tiktoken.Encoding(
-            "own", pat_str=pattern, mergeable_ranks=table, special_tokens={}
+            "own", pat_str=pattern, mergeable_ranks=table, special_tokens=added
         )
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of ``text`` and the one that ends a document."""
-        found = self.model.encode_ordinary(text)
+        found = self.model.encode(text, allowed_special="all")
         found.append(END_OF_TEXT)
         return np.array(found, "<u4")
 

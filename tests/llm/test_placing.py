@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -126,12 +127,19 @@ def test_encoder_equals_the_tokenizer(documents):
     texts = [r["text"] for r in documents.limit(60).collect()] + [
         "", " ", "a", " a", "a ", "a  b", "a \n b", "it's we'll  'tis\t\tx y", "é😀 ü　z 12 3.4", "\n\na b\r\n",
         "a\x1cb \x1c c \u0085 d",
+        "x<|endoftext|>", "a  <|endoftext|> \n b<|endoftext|><|endoftext|", "<|endoftext|>'s  ", "<|ENDOFTEXT|>",
     ]
     for text in texts:
         expected = model.encode(text, add_special_tokens=False).ids + [0]
         assert encoder.ids(text).tolist() == expected
 
 
+def test_added_tokens_are_those_of_the_tokenizer():
+    with open(public_tokenizers.path(SPECIAL), encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    assert packing.ADDED == {t["content"]: t["id"] for t in added}
+
+
 def check_packing(pieces, docs):
     model = Tokenizer.from_file(public_tokenizers.path(SPECIAL))
     expected = Counter()
