@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import count
@@ -29,6 +30,7 @@ CAPACITY = 1024
 PIECE = 256
 WINDOWS_AT_ONCE = 128  # windows that are filled together; bounds memory and time
 END_OF_TEXT = 0
+LONG_RUN = 1 << 16  # whitespace characters; the pattern's engine fails at about a million
 ADDED = {"<|endoftext|>": 50256}  # tokens of byte_bpe_50k.json that its ranks do not list
 
 
@@ -68,18 +70,46 @@ def pack(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     return []
 
 
+# What \s means to the pattern's engine: White_Space of Unicode, which is not Python's.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 class Encoder:
-    """Byte-pair ids of whole texts, in which added tokens count wherever they stand."""
+    """Byte-pair ids of whole texts, in which added tokens count wherever they stand.
+
+    ``pattern`` must take runs of whitespace as ``\\s+(?!\\S)|\\s+`` does, after words
+    with at most one space before them: all of a run is one part at the end of a text
+    or before an added token, else all but its last character. Long runs are cut there
+    and merged without the pattern.
+    """
 
-    def __init__(self, ranks: bytes, pattern: str, added: dict[str, int] = ADDED):
+    def __init__(
+        self,
+        ranks: bytes,
+        pattern: str,
+        added: dict[str, int] = ADDED,
+        long_run: int = LONG_RUN,
+    ):
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.model = tiktoken.Encoding(
             "own", pat_str=pattern, mergeable_ranks=table, special_tokens=added
         )
+        ends = "|".join([r"\Z", *map(re.escape, added)])
+        self.long = re.compile(f"[{_SPACE}]{{{long_run},}}+")
+        self.last = re.compile(ends)
+
+    def _found(self, text: str) -> list[int]:
+        found, done = [], 0
+        for run in self.long.finditer(text):
+            end = run.end() if self.last.match(text, run.end()) else run.end() - 1
+            found += self.model.encode(text[done : run.start()], allowed_special="all")
+            found += self.model._encode_single_piece(text[run.start() : end])
+            done = end
+        return found + self.model.encode(text[done:] if done else text, allowed_special="all")
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of ``text`` and the one that ends a document."""
-        found = self.model.encode(text, allowed_special="all")
+        found = self._found(text)
         found.append(END_OF_TEXT)
         return np.array(found, "<u4")
 

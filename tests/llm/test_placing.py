@@ -134,6 +134,29 @@ def test_encoder_equals_the_tokenizer(documents):
         assert encoder.ids(text).tolist() == expected
 
 
+@pytest.mark.parametrize("space", [" ", "\n", "\u3000", " \n"])
+def test_very_long_runs_of_whitespace(space):
+    model = Tokenizer.from_file(public_tokenizers.path(SPECIAL))
+    with open(queries.RANKS, "rb") as file:
+        encoder = packing.Encoder(file.read(), queries.PATTERN)
+    run = space * (2_000_000 // len(space))
+    for text in (run, f"a{run}b's", f"{run}<|endoftext|> {run[:70_000]}\x1c"):
+        expected = model.encode(text, add_special_tokens=False).ids + [0]
+        assert encoder.ids(text).tolist() == expected
+
+
+def test_cut_runs_equal_the_tokenizer():
+    model = Tokenizer.from_file(public_tokenizers.path(SPECIAL))
+    with open(queries.RANKS, "rb") as file:
+        encoder = packing.Encoder(file.read(), queries.PATTERN, long_run=2)
+    draw = random.Random(3)
+    parts = [*" \n\t\x85\xa0\u2003\x1c\u200b", "  ", "a", "'s", "7", "!", "é", "<|endoftext|>", "<|"]
+    for _ in range(3000):
+        text = "".join(draw.choices(parts, k=draw.randint(1, 14)))
+        expected = model.encode(text, add_special_tokens=False).ids + [0]
+        assert encoder.ids(text).tolist() == expected
+
+
 def test_added_tokens_are_those_of_the_tokenizer():
     with open(public_tokenizers.path(SPECIAL), encoding="utf-8") as file:
         added = json.load(file)["added_tokens"]
