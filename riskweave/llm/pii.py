@@ -120,11 +120,28 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def accounts(text: str):
+    """Start and end of each account number.
+
+    A match may have taken in words that follow the number, or begin before it: its
+    earlier group bounds are tried too, the longest number first, then later starts.
+    """
+    match = IBAN.search(text)
+    while match:
+        start, end = match.span()
+        while end > start:
+            account = text[start:end].replace(" ", "")
+            if 15 <= len(account) <= 34 and mod97(account):
+                break
+            end = max(start, text.rfind(" ", start, end))
+        if end > start:
+            yield start, end
+        match = IBAN.search(text, max(end, start + 1))
+
+
 def _proposals(text: str):
-    for match in IBAN.finditer(text):
-        account = match.group().replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield "iban", *match.span()
+    for start, end in accounts(text):
+        yield "iban", start, end
     if not _DIGIT.search(text):
         return
     for match in SHORT_CARD.finditer(text):

@@ -76,6 +76,23 @@ def test_added_spans_need_checksum_or_context(text, kind):
     assert [s.kind for s in added] == ([kind] if kind else [])
 
 
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        ("iban ES91 2100 0418 4502 0005 1332 BIC", ["ES91 2100 0418 4502 0005 1332"]),
+        ("iban ES9121000418450200051332 15 May", ["ES9121000418450200051332"]),
+        ("iban BE71 0961 2345 6769 IBAN", ["BE71 0961 2345 6769"]),
+        ("account BE71 0961 2345 6769 2024 1500 EUR", ["BE71 0961 2345 6769"]),
+        ("BE71 0961 2345 6769 ES91 2100 0418 4502 0005 1332 OK", ["BE71 0961 2345 6769", "ES91 2100 0418 4502 0005 1332"]),
+        ("IBAN DE12 BE71 0961 2345 6769.", ["BE71 0961 2345 6769"]),
+        ("iban ES91 2100 0418 4502 0005 1333 BIC", []),
+    ],
+)
+def test_account_numbers_before_capitals_and_digits(text, found):
+    assert [text[s.start : s.end] for s in pii.find_spans(text)[1] if s.kind == "iban"] == found
+    assert not any(number in pii.masked(text) for number in found)
+
+
 def test_context_moves_the_score():
     near, far = (pii.find_spans(t)[0][0].score for t in ("card 4111111111111111", "4111111111111111"))
     assert near > far > pii.find_spans("order 4111111111111111")[0][0].score
