@@ -3,7 +3,8 @@
 The labelled texts give each hashed n-gram the log of its smoothed share among
 toxic texts over that among others. An n-gram that occurs in a text enters the
 linear model with this ratio as its value, however often it occurs. N-grams whose
-counts differ from those expected by no more than chance are left out.
+counts differ from those expected by no more than chance are left out, unless the
+labels are so few that hardly any would be left.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ BUCKETS = 1 << 20
 LENGTHS = (4, 5, 6)
 MOST_FEATURES = 4096
 LEAST_EVIDENCE = 15.0  # likelihood ratio statistic; one n-gram in 9,000 has it by chance
+LEAST_FEATURES = 64  # where fewer n-grams have that evidence, the best ones below it are taken too
 _CHUNK = 1 << 20
 
 
@@ -66,7 +68,11 @@ def _distinct(text: str | None, chosen: np.ndarray | None = None) -> np.ndarray:
 
 
 def gram_ratios(sample: DataFrame, most: int = MOST_FEATURES) -> tuple[np.ndarray, np.ndarray]:
-    """The most significant buckets and their log-count ratios, at most ``most``."""
+    """The most significant buckets and their log-count ratios, at most ``most``.
+
+    Few labels give no n-gram much evidence: then the best ones with any are taken,
+    and the penalty of the linear model keeps their weights small.
+    """
 
     def count(batches):
         sums = np.zeros((2, BUCKETS), np.int64)
@@ -101,12 +107,15 @@ def gram_ratios(sample: DataFrame, most: int = MOST_FEATURES) -> tuple[np.ndarra
     evidence = 2 * (surprise("pos") + surprise("neg"))
     rows = (
         counts.select("bucket", ratio.alias("ratio"), evidence.alias("weight"))
-        .where(F.col("weight") >= LEAST_EVIDENCE)
+        .where(F.col("weight") > 1e-9)
         .orderBy(F.desc("weight"), "bucket")
         .limit(most)
         .toArrow()
-        .sort_by("bucket")
     )
+    strong = rows["weight"].to_numpy() >= LEAST_EVIDENCE
+    if strong.sum() >= LEAST_FEATURES:
+        rows = rows.filter(pa.array(strong))
+    rows = rows.sort_by("bucket")
     return rows["bucket"].to_numpy(), rows["ratio"].to_numpy()
 
 

@@ -95,6 +95,23 @@ def test_ratios_equal_counts(spark):
     assert found[own] == pytest.approx(np.log((41 / 42) / (1 / 42)))
 
 
+def test_toxicity_of_few_labels(spark):
+    """10 toxic and 15 clean texts: no n-gram has the evidence that larger tables ask for."""
+    draw = np.random.default_rng(4)
+    words = ["".join(draw.choice(list("abcdefghijklmnop"), 5)) for _ in range(60)]
+    ids = [i for i in range(100) if crc(i) % 4 != 2][:18] + [i for i in range(100) if crc(i) % 4 == 2][:7]
+    toxic = dict.fromkeys(ids[:7] + ids[18:21], 1)
+    marks = "zzyxwv qqrstu".split()
+    rows = [
+        (i, " ".join([*draw.choice(words, 12), *(marks if i in toxic else []), *draw.choice(words, 8)]))
+        for i in ids
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, toxic.get(i, 0)) for i in ids], "doc_id bigint, toxic int")
+    found = toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels)).collect()
+    assert {r["doc_id"] for r in found if r["predicted"]} == set(toxic)
+
+
 def test_bounded_sample(spark):
     docs = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     labels = docs.select("doc_id", F.lit(1).alias("toxic"))
