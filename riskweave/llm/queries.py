@@ -8,8 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskweave.llm import (
+    clustering,
     decontamination,
+    filter_audit,
     language,
+    licenses,
+    oracles,
     packing,
     pii,
     quality,
@@ -75,6 +79,19 @@ def op10_packing(spark, sf_dir):
     return packing.packed_pieces(docs, RANKS, PATTERN, with_ids=False)
 
 
+def op11_centroid_clustering(spark, sf_dir):
+    return clustering.cluster_digest(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return filter_audit.filter_interactions(docs, labels)
+
+
+def op13_license_scan(spark, sf_dir):
+    return licenses.license_digest(_table(spark, sf_dir, "documents"))
+
+
 _QUERIES = (
     op1_simhash_near_dedup,
     op2_quality_classifier,
@@ -86,6 +103,9 @@ _QUERIES = (
     op8_quality_rules,
     op9_decontamination,
     op10_packing,
+    op11_centroid_clustering,
+    op12_filter_audit,
+    op13_license_scan,
 )
 
 
@@ -160,4 +180,7 @@ def all_oracles() -> dict[str, str]:
     return {
         "op6_substring_dedup": _SUBSTRING_SQL,
         "op9_decontamination": _DECONTAMINATION_SQL,
+        "op11_centroid_clustering": oracles.clustering_sql(),
+        "op12_filter_audit": oracles.filter_audit_sql(),
+        "op13_license_scan": oracles.license_sql(),
     }
