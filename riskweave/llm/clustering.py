@@ -76,7 +76,7 @@ def first_centroids(vectors: DataFrame, clusters: int, seed: int) -> np.ndarray:
     name = F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string"))
     order = [F.sha2(name, 256).asc_nulls_last(), F.col("v")]
     rows = vectors.orderBy(*order).limit(clusters).collect()  # at most ``clusters`` rows
-    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], np.int64)
 
 
 def approach(center: np.ndarray, radius: float, old: np.ndarray, new: np.ndarray) -> float:
