@@ -23,7 +23,7 @@ from riskweave.operators import (
 )
 from riskweave.plans import pipelines, training
 from riskweave.plans.champion import decide, run_champion_challenger
-from riskweave.sources import tables
+from riskweave.sources import commits, tables
 from riskweave.sources.events import (
     WEEK_CUTOFF,
     read_event_transactions,
@@ -646,13 +646,13 @@ def stream_scores(spark, sf_dir):
     query = scoring.start_scoring(
         _streamed_messages(spark, sf_dir),
         model,
-        scoring.replace_batch(f"{path}/results"),
-        scoring.replace_batch(f"{path}/rejects"),
+        commits.commit_batch(f"{path}/results"),
+        commits.commit_batch(f"{path}/rejects"),
         f"{path}/checkpoint",
         {"availableNow": True},
     )
     query.awaitTermination()
-    sent = tables.read_parquet(spark, f"{path}/results")
+    sent = commits.read_committed(spark, f"{path}/results", scoring.RESULT_SCHEMA)
     streamed = _decoded_results(sent).select(S.TRANSACTION_ID, S.CARD, "card_id", "probability_")
     batch = scoring.score_rows(data, model).select(
         S.TRANSACTION_ID, F.col("probability_").alias("expected")
@@ -671,7 +671,7 @@ def stream_ingest(spark, sf_dir):
         spark, f"{path}/incoming", f"{path}/sensors", f"{path}/checkpoint"
     )
     query.awaitTermination()
-    return tables.read_parquet(spark, f"{path}/sensors", S.SENSOR_SCHEMA)
+    return commits.read_committed(spark, f"{path}/sensors", S.SENSOR_SCHEMA)
 
 
 @_query
@@ -696,8 +696,8 @@ def ingest_rejects(spark, sf_dir):
         pattern="*.txt",
         rejects=f"{path}/rejects",
     ).awaitTermination()
-    good = tables.read_parquet(spark, f"{path}/sensors", S.SENSOR_SCHEMA)
-    bad = tables.read_parquet(spark, f"{path}/rejects", tables.with_record(S.SENSOR_SCHEMA))
+    good = commits.read_committed(spark, f"{path}/sensors", S.SENSOR_SCHEMA)
+    bad = commits.read_committed(spark, f"{path}/rejects", tables.with_record(S.SENSOR_SCHEMA))
     device = F.col("device_id").cast("string")
     return good.select(F.lit("row").alias("outcome"), device.alias("line")).unionByName(
         bad.select(F.lit("reject").alias("outcome"), F.col(tables.RECORD).alias("line"))

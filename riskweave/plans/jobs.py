@@ -25,6 +25,7 @@ from riskweave.plans.training import (
     tune,
 )
 from riskweave.sources import kafka
+from riskweave.sources.commits import commit_batch
 from riskweave.sources.runlog import RunLog
 from riskweave.sources.tables import (
     check_target,
@@ -41,7 +42,7 @@ from riskweave.sources.tables import (
 )
 from riskweave.streaming.ingest import start_csv_ingest
 from riskweave.streaming.replay import replay
-from riskweave.streaming.scoring import Traffic, replace_batch, start_scoring
+from riskweave.streaming.scoring import Traffic, start_scoring
 
 logger = logging.getLogger(__name__)
 
@@ -244,13 +245,13 @@ def score_messages(spark: SparkSession, s: Settings) -> None:
     else:
         messages = spark.readStream.text(s.data)
         trigger = {"processingTime": s.interval} if s.interval else {"availableNow": True}
-        write_results = replace_batch(s.output)
+        write_results = commit_batch(s.output)
     traffic = Traffic()
     query = start_scoring(
         messages,
         load_model(s.model),
         write_results,
-        replace_batch(s.rejects),
+        commit_batch(s.rejects),
         s.checkpoint,
         trigger,
         traffic,

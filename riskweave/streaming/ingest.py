@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskweave.schema import SENSOR_SCHEMA
+from riskweave.sources.commits import commit_batch
 from riskweave.sources.tables import (
     checked_path,
     csv_options,
@@ -15,7 +16,6 @@ from riskweave.sources.tables import (
     well_formed,
     with_record,
 )
-from riskweave.streaming.scoring import replace_batch
 
 
 def start_csv_ingest(
@@ -33,9 +33,10 @@ def start_csv_ingest(
 ) -> StreamingQuery:
     """Convert each file that matches ``pattern`` once; the checkpoint remembers them.
 
-    Each batch is a folder ``batch=<id>`` of ``target`` that a repeated batch
-    replaces. A header that differs from the schema is an error. Malformed lines go
-    to the folder ``rejects``; without one they are an error too.
+    Batches are committed to ``target`` with a manifest each (``sources.commits``):
+    ``read_committed`` sees whole batches only, and each once. A header that differs
+    from the schema is an error. Malformed lines are committed to ``rejects`` in the
+    same way; without it they are an error too.
 
     Without ``interval`` the query converts what is there and stops; with it
     the query keeps waiting for files. Cleaning the source (``archive`` or
@@ -56,8 +57,8 @@ def start_csv_ingest(
     elif delete_source:
         reader = reader.option("cleanSource", "delete")
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    write_rows = replace_batch(checked_path(target))
-    write_rejects = replace_batch(checked_path(rejects)) if rejects else None
+    write_rows = commit_batch(checked_path(target))
+    write_rejects = commit_batch(checked_path(rejects)) if rejects else None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         lines = batch.persist(StorageLevel.MEMORY_AND_DISK)

@@ -26,6 +26,9 @@ BAD_VALUE = "bad_value"
 NO_ROW = "no_row"
 SEVERAL_ROWS = "several_rows"
 MISSING_ID = "missing_id"
+RESULT_SCHEMA = T.StructType(
+    [T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())]
+)
 
 
 def _evaluated_once(df: DataFrame, name: str, value: Column) -> DataFrame:
