@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +40,15 @@ def train_validation_split(
     return train, valid
 
 
-def without_denied(data: DataFrame, denied: DataFrame, on: str = "device_id") -> DataFrame:
+def without_denied(
+    data: DataFrame,
+    denied: DataFrame,
+    on: str = "device_id",
+    bound: BroadcastBound = DEFAULT_BOUND,
+    salt_by: Sequence[str] | None = None,
+) -> DataFrame:
     """Rows whose key is not on a deny list; rows without a key are kept."""
-    return exclude_keys(data, denied, on, "keep")
+    return exclude_keys(data, denied, on, "keep", bound, salt_by)
 
 
 def hash_parts(

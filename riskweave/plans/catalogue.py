@@ -21,6 +21,7 @@ from riskweave.operators import (
     selection,
     split,
 )
+from riskweave.operators.joins import BroadcastBound
 from riskweave.plans import pipelines, training
 from riskweave.plans.champion import decide, run_champion_challenger
 from riskweave.sources import commits, tables
@@ -231,6 +232,24 @@ def denylist_anti_join(spark, sf_dir):
     return split.without_denied(readings, denied).select("device_id", "value")
 
 
+_SHUFFLED = BroadcastBound(rows=0)  # as if the key set were too large to broadcast
+
+
+@_query
+def split_beyond_broadcast(spark, sf_dir):
+    """Rows whose card a Bloom filter rules out stay in place, the others are joined."""
+    data = _with_missing_cards(spark, sf_dir)
+    return split.train_validation_split(data, WEEK_CUTOFF, _SHUFFLED)[1]
+
+
+@_query
+def denylist_beyond_broadcast(spark, sf_dir):
+    readings = _sensor_readings(spark, sf_dir)
+    denied = readings.where(F.col("value") > 250).select("device_id")
+    left = split.without_denied(readings, denied, bound=_SHUFFLED, salt_by=["ts", "value"])
+    return left.select("device_id", "value")
+
+
 @_query
 def hash_split(spark, sf_dir):
     drawn = split.hash_parts(_transactions(spark, sf_dir))

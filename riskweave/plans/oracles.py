@@ -264,6 +264,19 @@ def all_oracles() -> dict[str, str]:
         f'SELECT "TransactionID", {one_hot_columns}, {_MIN_MAX} FROM prep {one_hot_joins}',
         *_ONE_HOT,
     )
+    denied = f"""
+WITH readings AS ({_SENSORS})
+SELECT device_id, value FROM readings r
+WHERE NOT EXISTS (
+  SELECT 1 FROM readings d WHERE d.value > 250 AND d.device_id = r.device_id)"""
+    split_with_missing = _with(
+        _TRANSACTIONS,
+        _MISSING_CARDS,
+        body=f"""
+SELECT * FROM tm WHERE "TransactionDT" >= {_CUTOFF} AND card1 NOT IN (
+  SELECT card1 FROM tm
+  WHERE "TransactionDT" < {_CUTOFF} AND "isFraud" = 1 AND card1 IS NOT NULL)""",
+    )
     return {
         "transactions_scan": whole,
         "parquet_roundtrip": whole,
@@ -301,20 +314,11 @@ def all_oracles() -> dict[str, str]:
         "temporal_split_train": _tx(f'SELECT * FROM tx WHERE "TransactionDT" < {_CUTOFF}'),
         "compromised_cards": _with(_TRANSACTIONS, _VALID, body="SELECT card1 FROM bad"),
         "temporal_split_valid": _with(_TRANSACTIONS, _VALID, body="SELECT * FROM valid"),
-        "split_with_missing_cards": _with(
-            _TRANSACTIONS,
-            _MISSING_CARDS,
-            body=f"""
-SELECT * FROM tm WHERE "TransactionDT" >= {_CUTOFF} AND card1 NOT IN (
-  SELECT card1 FROM tm
-  WHERE "TransactionDT" < {_CUTOFF} AND "isFraud" = 1 AND card1 IS NOT NULL)""",
-        ),
+        "split_with_missing_cards": split_with_missing,
+        "split_beyond_broadcast": split_with_missing,
         "split_without_frauds": _with(_TRANSACTIONS, _MISSING_CARDS, body="SELECT * FROM tm"),
-        "denylist_anti_join": f"""
-WITH readings AS ({_SENSORS})
-SELECT device_id, value FROM readings r
-WHERE NOT EXISTS (
-  SELECT 1 FROM readings d WHERE d.value > 250 AND d.device_id = r.device_id)""",
+        "denylist_anti_join": denied,
+        "denylist_beyond_broadcast": denied,
         "hash_split": _tx(
             """
 SELECT "TransactionID",

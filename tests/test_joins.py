@@ -121,3 +121,62 @@ def test_hash_split_ignores_partitioning(transactions):
     assert ids(train) == ids(moved)
     assert train.count() + held_out.count() == transactions.count()
     assert 0.7 < train.count() / transactions.count() < 0.9
+
+
+def filtered(df, keys, on="key", **options):
+    known = keys.where(F.col(on).isNotNull()).distinct()
+    return joins.split_by_filter(df, known, on, measure(known), **options)
+
+
+@pytest.mark.parametrize("most_words", [1, 8, 1 << 20])
+@pytest.mark.parametrize("text", [False, True])
+def test_filter_of_any_size_never_loses_a_key(spark, most_words, text):
+    kind = "string" if text else "bigint"
+    facts = spark.range(4000).select((F.col("id") % 1300).cast(kind).alias("key"), "id")
+    facts = facts.unionAll(spark.sql(f"SELECT CAST(NULL AS {kind}), -1L"))
+    keys = spark.range(0, 1300, 5).select(F.col("id").cast(kind).alias("key"))
+    absent, rest = filtered(facts, keys, most_words=most_words)
+    assert absent.columns == facts.columns
+    assert absent.join(keys, "key").count() == 0
+    assert absent.count() + rest.count() == 4001
+    assert absent.where("key IS NULL").count() == 1
+    if most_words > 1000:
+        assert rest.join(keys, "key", "left_anti").count() < 0.05 * 4001
+
+
+def test_filters_of_parts_merge(spark):
+    keys = spark.range(1000).select(F.col("id").alias("key"))
+    parts = [joins.key_filter(keys.where(f"key % 3 = {i}"), "key", 64) for i in range(3)]
+    merged = parts[0].unionAll(parts[1]).unionAll(parts[2]).groupBy("_word").agg(F.bit_or("_bits"))
+    bits = lambda df: sorted(tuple(r) for r in df.collect())
+    assert bits(merged) == bits(joins.key_filter(keys, "key", 64))
+
+
+def test_no_filter_where_equal_keys_may_hash_apart(spark):
+    numbers = spark.sql("SELECT DOUBLE(0.0) AS key UNION ALL SELECT DOUBLE(-0.0)")
+    assert filtered(numbers, numbers) is None
+    assert filtered(spark.range(3).toDF("key"), spark.range(3).select(F.col("id").cast("int").alias("key"))) is None
+    kept = exclude_keys(numbers, numbers.limit(1), "key", bound=NOTHING, salt_by=["key"])
+    assert kept.count() == 0
+
+
+def test_rows_ruled_out_are_not_shuffled(spark):
+    """The branch of absent keys has no exchange but the broadcast filter."""
+    facts = spark.range(100_000).select((F.col("id") % 5000).alias("key"), "id")
+    keys = spark.range(0, 5000, 50).select(F.col("id").alias("key"))
+    absent, rest = filtered(facts, keys)
+    plan = plan_of(absent)
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert rest.count() < 0.05 * 100_000
+    whole = plan_of(exclude_keys(facts, keys, "key", bound=NOTHING, salt_by=["id"]))
+    assert "Union" in whole and "_salt" in whole
+
+
+def test_salts_without_an_identifier_are_stored(spark):
+    """A shuffled input may come in another order when it is read again."""
+    facts = spark.range(3000).select((F.col("id") % 3).alias("key")).repartition(5)
+    names = spark.range(3).select(F.col("id").alias("key"), F.lit("x").alias("name"))
+    joined = joins._salted_join(facts, names, "key", "left", None, 100)
+    plan = plan_of(joined)
+    assert "monotonically_increasing_id" not in plan and "ExistingRDD" in plan
+    assert joined.count() == 3000
