@@ -1,4 +1,4 @@
-"""ROC AUC and the two-sample t-test."""
+"""ROC AUC, the covariance of two of them, and the two-sample t-test."""
 
 from __future__ import annotations
 
@@ -6,11 +6,13 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskweave import schema as S
+from riskweave.operators.joins import measure, sized_join
 from riskweave.operators.running import running_totals
+from riskweave.sources.workspace import settle
 
 
 def auc_evaluator(
@@ -51,6 +53,81 @@ def auc_of_groups(groups: DataFrame) -> DataFrame:
     )
 
 
+def _placements(cells: DataFrame, score: str, all_positives: int, name: str) -> DataFrame:
+    """Per distinct score, twice the negatives below and the positives above it, ties half."""
+    groups = cells.groupBy(score).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    placed = running_totals(
+        groups, [F.col(score)], {"neg_below": F.col("neg"), "pos_below": F.col("pos")}
+    )
+    above = F.lit(all_positives) - F.col("pos_below") - F.col("pos")
+    return placed.select(
+        score,
+        (2 * F.col("neg_below") + F.col("neg")).alias(f"below{name}"),
+        (2 * above + F.col("pos")).alias(f"above{name}"),
+    )
+
+
+def auc_covariance(scored: DataFrame, first: str, second: str, label: str = S.LABEL) -> DataFrame:
+    """One row: the AUC of two scores of the same rows, their variances and covariance, and z.
+
+    A positive's placement is the share of negatives below it, a negative's that of
+    positives above it. AUC is the mean placement, and the covariance of two AUCs that
+    of their placements among positives over their number, plus the same for negatives.
+    ``z`` is the difference over its standard error. Rows collapse to one per pair of
+    scores and placements are running totals, so nothing is ordered in one task. Rows
+    without a score or label do not count; z is NULL where the difference has no variance.
+    """
+    is_positive = F.col(label) == 1
+    cells = settle(
+        scored.where(F.col(first).isNotNull() & F.col(second).isNotNull() & F.col(label).isNotNull())
+        .groupBy(F.col(first).alias("s1"), F.col(second).alias("s2"))
+        .agg(F.count_if(is_positive).alias("pos"), F.count_if(~is_positive).alias("neg"))
+    )
+    totals = cells.agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("m"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n")
+    ).first()
+    m, n = totals["m"], totals["n"]
+    joined = cells
+    for score, name in (("s1", "1"), ("s2", "2")):
+        placed = settle(_placements(cells, score, m, name))
+        joined = sized_join(joined, placed, score, "inner", measure(placed), salt_by=["s1", "s2"])
+
+    def moments(kind: str, of: str) -> list:
+        a, b, c = F.col(f"{kind}1"), F.col(f"{kind}2"), F.col(of)
+        exact = lambda x: F.sum((x * c).cast("decimal(38,0)")).cast("double")
+        wide = lambda x: x.cast("decimal(18,0)")
+        pairs = {"x": a, "y": b, "xx": wide(a) * wide(a), "yy": wide(b) * wide(b), "xy": wide(a) * wide(b)}
+        return [exact(value).alias(f"{kind}_{p}") for p, value in pairs.items()]
+
+    sums = joined.agg(*moments("below", "pos"), *moments("above", "neg"))
+
+    def covariance(pair: str) -> Column:
+        """Of the placements, over the number of rows, for both labels together."""
+        total = F.lit(0.0)
+        for kind, rows, others in (("below", m, n), ("above", n, m)):
+            mean = F.col(f"{kind}_{pair[0]}") * F.col(f"{kind}_{pair[1]}") / F.lit(float(rows or 1))
+            spread = (F.col(f"{kind}_{pair}") - mean) / F.lit(float(rows - 1)) if rows > 1 else F.lit(None)
+            total = total + spread / F.lit(4.0 * (others or 1) ** 2 * (rows or 1))
+        return total
+
+    auc = lambda p: F.col(f"below_{p}") / F.nullif(F.lit(2.0 * m * n), F.lit(0.0))
+    row = sums.select(
+        auc("x").alias("auc1"),
+        auc("y").alias("auc2"),
+        covariance("xx").cast("double").alias("var1"),
+        covariance("yy").cast("double").alias("var2"),
+        covariance("xy").cast("double").alias("covariance"),
+    )
+    spread = F.col("var1") + F.col("var2") - 2 * F.col("covariance")
+    z = F.when(spread > 1e-18, (F.col("auc1") - F.col("auc2")) / F.sqrt(spread))
+    return row.select("*", z.alias("z"), F.lit(m).alias("positives"), F.lit(n).alias("negatives"))
+
+
+def normal_two_sided(z: float | None) -> float:
+    """Probability of a standard normal value at least as far from zero."""
+    return math.nan if z is None else math.erfc(abs(z) / math.sqrt(2))
+
+
 def pooled_t_statistic(first: DataFrame, second: DataFrame, column: str) -> DataFrame:
     """One row: sizes, means and variances of two samples, Student's t with pooled
     variance and its degrees of freedom. A zero variance gives t = NULL.

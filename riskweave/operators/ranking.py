@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskweave import schema as S
 from riskweave.functions.expressions import positive_probability
@@ -80,6 +86,89 @@ def bootstrap_precision(
     return draws.groupBy("iteration").agg((F.sum("label") / F.lit(k)).alias(output))
 
 
+def poisson_thresholds() -> list[int]:
+    """Bounds of a 32-bit draw: as many are at or below it as its Poisson(1) weight."""
+    bounds, total, weight = [], 0.0, 0
+    while (bound := math.floor((total := total + math.exp(-1) / math.factorial(weight)) * 2**32)) < 2**32 - 1:
+        bounds.append(bound)
+        weight += 1
+    return bounds
+
+
+def poisson_weights(seed: int, cards: list[str | None], iterations: int) -> np.ndarray:
+    """How often each card is in each resample: a row per card, from MD5 of seed, card and block.
+
+    One digest gives the draws of four iterations.
+    """
+    blocks = range(-(-iterations // 4))
+    texts = (f"{seed}:{card or ''}:{block}".encode() for card in cards for block in blocks)
+    digests = b"".join(hashlib.md5(t, usedforsecurity=False).digest() for t in texts)
+    draws = np.frombuffer(digests, ">u4").reshape(len(cards), -1)[:, :iterations]
+    return np.searchsorted(np.array(poisson_thresholds(), np.int64), draws.astype(np.int64), side="right")
+
+
+def _best_of_partition(cards: DataFrame, card: str, k: int, iterations: int, seed: int) -> DataFrame:
+    """For each resample, the best cards of each partition that make up k, and their weights.
+
+    Rows come in order, so a resample is complete once its weights reach k; after a
+    few hundred cards all are, and the rest of the partition is only read. Such lists
+    merge: the best k of all partitions are among the best k of each.
+    """
+    fields = [T.StructField("iteration", T.IntegerType()), T.StructField("weight", T.IntegerType())]
+
+    def run(batches):
+        reached = np.zeros(iterations, np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                wanted = np.flatnonzero(reached < k)
+                if not len(wanted):
+                    break
+                piece = batch.slice(at, 128)
+                names = [None if c is None else str(c) for c in piece.column(card).to_pylist()]
+                weights = poisson_weights(seed, names, iterations)
+                before = reached + np.cumsum(weights, axis=0) - weights
+                rows, drawn = np.nonzero((weights > 0) & (before < k))
+                reached += weights.sum(axis=0)
+                columns = [pa.array(drawn, pa.int32()), pa.array(weights[rows, drawn], pa.int32())]
+                yield pa.RecordBatch.from_arrays(
+                    columns + piece.take(pa.array(rows)).columns,
+                    names=["iteration", "weight", *piece.schema.names],
+                )
+
+    return cards.mapInArrow(run, T.StructType(fields + cards.schema.fields))
+
+
+def poisson_bootstrap_precision(
+    cards: DataFrame,
+    k: int = 50,
+    iterations: int = 100,
+    seed: int = 25,
+    card: str = S.CARD,
+    output: str = "precision",
+) -> DataFrame:
+    """``iteration`` and the precision of the k riskiest cards of its resample of all cards.
+
+    Unlike ``bootstrap_precision``, which resamples the cards chosen once, every
+    resample chooses its own: a card counts as often as its Poisson(1) weight says, and
+    the last one chosen only up to k. One scan; at most ``iterations`` x k rows a
+    partition are shuffled. Ties go to the lower card; precision divides by k even if a
+    resample has fewer cards.
+    """
+    order = [F.col("max_score").desc_nulls_last(), F.col(card).asc_nulls_last()]
+    ordered = cards.select(card, "max_score", "max_label").sortWithinPartitions(*order)
+    best = _best_of_partition(ordered, card, k, iterations, seed)
+    earlier = Window.partitionBy("iteration").orderBy(*order)
+    before = F.coalesce(
+        F.sum("weight").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    counted = best.withColumn("_before", before).where(F.col("_before") < k)
+    units = F.least(F.col("weight"), F.lit(k) - F.col("_before"))
+    found = counted.groupBy("iteration").agg((F.sum(units * F.col("max_label")) / F.lit(k)).alias(output))
+    every = cards.sparkSession.range(iterations).select(F.col("id").cast("int").alias("iteration"))
+    precision = F.coalesce(output, F.lit(0.0)).alias(output)
+    return every.join(F.broadcast(found), "iteration", "left").select("iteration", precision)
+
+
 def bootstrap_summary(scores: DataFrame, column: str = "precision") -> DataFrame:
     """Mean, sample deviation and three-deviation band of the resampled precision."""
     mean, deviation = F.avg(column), F.stddev_samp(column)

@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.ml import Transformer
+from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
-from riskweave.operators import features
+from riskweave.operators import features, selection
 
 
 class _ColumnTransformer(
@@ -104,6 +104,58 @@ class ContinuousOutliersCapper(_ColumnTransformer):
         return features.cap_outliers(dataset, caps)
 
 
+class OutlierCapEstimator(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Learns a cap for each column whose maximum is far beyond a high quantile.
+
+    The cap is the quantile; far is more than a standard deviation. Columns that are
+    not far stay as they are. A ``quantileError`` above 0 learns from one scan.
+    """
+
+    quantile = Param(Params._dummy(), "quantile", "rank of the cap", TypeConverters.toFloat)
+    quantileError = Param(
+        Params._dummy(), "quantileError", "rank error of the cap, 0 for none", TypeConverters.toFloat
+    )
+
+    def __init__(
+        self,
+        inputCols: list[str] | None = None,
+        quantile: float = 0.99,
+        quantileError: float = 0.0,
+    ) -> None:
+        super().__init__()
+        self._set(quantile=quantile, quantileError=quantileError)
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols))
+
+    def _fit(self, dataset: DataFrame) -> OutlierCapModel:
+        found = selection.tails(
+            dataset,
+            self.getInputCols(),
+            self.getOrDefault(self.quantile),
+            self.getOrDefault(self.quantileError),
+        )
+        caps = {c: tail.quantile for c, tail in found.items() if tail.is_far}
+        return OutlierCapModel(list(caps), list(caps.values()))
+
+
+class OutlierCapModel(Model, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Caps the columns that were found to need it, in place."""
+
+    maximum = Param(Params._dummy(), "maximum", "learned cap of each column", TypeConverters.toListFloat)
+
+    def __init__(self, inputCols: list[str] | None = None, maximum: list[float] | None = None) -> None:
+        super().__init__()
+        if inputCols is not None:
+            self._set(inputCols=list(inputCols), maximum=list(maximum))
+
+    def caps(self) -> dict[str, float]:
+        return dict(zip(self.getInputCols(), self.getOrDefault(self.maximum), strict=True))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        caps = self.caps()
+        return features.cap_outliers(dataset, caps) if caps else dataset
+
+
 class TimeFeaturesGenerator(_ColumnTransformer):
     """Adds ``weekdays``, ``hours`` and ``minutes`` of the first input column."""
 

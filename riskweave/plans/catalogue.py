@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from riskweave.operators import (
     ranking,
     selection,
     split,
+    transformers,
 )
 from riskweave.operators.joins import BroadcastBound
 from riskweave.plans import pipelines, training
@@ -300,6 +302,20 @@ def bootstrap_summary(spark, sf_dir):
     )
 
 
+def _valid_cards(spark: SparkSession, sf_dir: str, score: str = "V317") -> DataFrame:
+    """All validation cards with their highest value of one raw column."""
+    data = _transactions(spark, sf_dir).select(
+        S.TRANSACTION_ID, S.TIME, S.CARD, S.LABEL, F.col(score).alias("prob_flag")
+    )
+    return ranking.card_max_scores(split.train_validation_split(data, WEEK_CUTOFF)[1])
+
+
+@_query
+def poisson_bootstrap(spark, sf_dir):
+    """Every resample of all cards chooses its own top cards."""
+    return ranking.poisson_bootstrap_precision(_valid_cards(spark, sf_dir), K)
+
+
 # Indexing, encoding and scaling
 
 
@@ -427,9 +443,22 @@ def saved_pipeline(spark, sf_dir):
 
 @_query
 def cap_thresholds(spark, sf_dir):
-    caps = selection.fit_cap_thresholds(_transactions(spark, sf_dir), S.CONTINUOUS_FEATURES)
-    rows = spark.createDataFrame(list(caps.items()), "feature string, cap double")
-    return rows.select("feature", F.round("cap", 9).alias("cap"))
+    """The 0.99 quantile of each column, and a cap where the maximum is far beyond it."""
+    found = selection.tails(_transactions(spark, sf_dir), S.CONTINUOUS_FEATURES)
+    caps = [(c, t.quantile, t.quantile if t.is_far else None) for c, t in found.items()]
+    rows = spark.createDataFrame(caps, "feature string, p99 double, cap double")
+    return rows.select("feature", F.round("p99", 9).alias("p99"), F.round("cap", 9).alias("cap"))
+
+
+@_query
+def learned_caps(spark, sf_dir):
+    """Caps learned by the fitted stage of a pipeline, saved, loaded and applied."""
+    data = _transactions(spark, sf_dir)
+    path = scratch_path(spark, "learned-caps")
+    stages = [transformers.OutlierCapEstimator(inputCols=S.CONTINUOUS_FEATURES)]
+    tables.save_model(Pipeline(stages=stages).fit(data), path)
+    capped = tables.load_model(path).transform(data)
+    return capped.select(S.TRANSACTION_ID, *[F.round(c, 9).alias(c) for c in S.CONTINUOUS_FEATURES])
 
 
 @_query
@@ -438,6 +467,15 @@ def chi_square_table(spark, sf_dir):
     return table.withColumn("chi_square", F.round("chi_square", 6))
 
 
+@_query
+def chi_square_selection(spark, sf_dir):
+    """Features that depend on the label, among two binary ones and two of time."""
+    data = features.add_time_parts(_transactions(spark, sf_dir))
+    table = selection.chi_square_selection(data, [*S.BINARY_FEATURES, "weekdays", "hours"])
+    rounded = [F.round(c, 6).alias(c) for c in ("chi_square", "p_value")]
+    return table.select("feature", "categories", "dof", *rounded, "selected")
+
+
 @_query
 def correlation_pairs(spark, sf_dir):
     pairs = selection.correlation_pairs(_transactions(spark, sf_dir), S.CONTINUOUS_FEATURES)
@@ -464,6 +502,17 @@ def roc_auc_evaluator(spark, sf_dir):
     return spark.createDataFrame([(auc,)], "auc double").select(F.round("auc", 9).alias("auc"))
 
 
+@_query
+def auc_covariance(spark, sf_dir):
+    """The AUC of two raw columns as scores of the same rows, and how they vary together."""
+    scores = [F.coalesce(c, F.lit(0.0)).alias(f"score_{c}") for c in ("V280", "V317")]
+    scored = _transactions(spark, sf_dir).select(S.LABEL, *scores)
+    row = evaluation.auc_covariance(scored, "score_V280", "score_V317")
+    rounded = [F.round(c, 9).alias(c) for c in ("auc1", "auc2", "z")]
+    variances = [F.round(F.col(c) * 1e6, 6).alias(c) for c in ("var1", "var2", "covariance")]
+    return row.select(*rounded, *variances, "positives", "negatives")
+
+
 @_query
 def pooled_t_statistic(spark, sf_dir):
     samples = [

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from riskweave import schema as S
 from riskweave.functions.expressions import positive_probability
-from riskweave.operators.evaluation import t_test_less
+from riskweave.operators.evaluation import auc_covariance, normal_two_sided, t_test_less
 from riskweave.operators.ranking import bootstrap_precision, bootstrap_summary, top_k_cards
 from riskweave.operators.split import train_validation_split
 from riskweave.plans.pipelines import challenger_classifier
@@ -28,6 +28,10 @@ class Decision:
     t: float
     p_value: float
     replace_champion: bool
+    champion_auc: float | None = None
+    challenger_auc: float | None = None
+    auc_z: float | None = None
+    auc_p_value: float | None = None
 
 
 def decide(
@@ -52,8 +56,11 @@ def _samples(
     k: int,
     iterations: int,
     seed: int,
-) -> list[DataFrame]:
-    """Bootstrapped precision of both models, from one scan and one shuffle of the rows."""
+) -> tuple[list[DataFrame], DataFrame]:
+    """Bootstrapped precision of both models, and the rows with the scores of both.
+
+    The rows are scored once and settled, as both comparisons read them.
+    """
     raw = valid.withColumn("_raw", F.struct(*valid.columns))  # feature stages replace columns
     first = champion.transform(raw).select(
         "_raw.*", positive_probability(F.col("probability")).alias("_champion")
@@ -64,6 +71,7 @@ def _samples(
         "_champion",
         positive_probability(F.col("probability")).alias("_challenger"),
     )
+    both = settle(both)
     cards = settle(
         both.groupBy(S.CARD).agg(
             F.max("_champion").alias("_champion"),
@@ -80,7 +88,7 @@ def _samples(
             f"precision_top_{k}",
         )
         for name in ("_champion", "_challenger")
-    ]
+    ], both
 
 
 def run_champion_challenger(
@@ -96,11 +104,23 @@ def run_champion_challenger(
     challenger_trees=None,
     overwrite: bool = False,
 ) -> tuple[Decision, PipelineModel]:
-    """Fit a challenger before the cutoff, compare both after it, save a winner."""
+    """Fit a challenger before the cutoff, compare both after it, save a winner.
+
+    The decision follows the resampled precision. Beside it stands a paired comparison of
+    both AUCs, which counts what the two models' scores of the same rows have in common.
+    """
     columns = [f.name for f in S.TRANSACTION_SCHEMA.fields]
     train, valid = train_validation_split(data.select(*columns), cutoff)
     challenger = fit_model(train, challenger_trees or challenger_classifier())
-    decision = decide(*_samples(valid, champion, challenger, k, iterations, seed), k, p_threshold)
+    samples, scored = _samples(valid, champion, challenger, k, iterations, seed)
+    paired = auc_covariance(scored, "_champion", "_challenger").first()
+    decision = replace(
+        decide(*samples, k, p_threshold),
+        champion_auc=paired["auc1"],
+        challenger_auc=paired["auc2"],
+        auc_z=paired["z"],
+        auc_p_value=normal_two_sided(paired["z"]),
+    )
     if log is not None:
         log.append("decision", asdict(decision))
     if decision.replace_champion and output_path is not None:

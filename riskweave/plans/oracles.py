@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 # Spelled out here, so that a wrong list or threshold of the library would show.
@@ -232,6 +233,114 @@ auc AS (
   FROM ranked
 )"""
 
+
+def _far(column: str) -> str:
+    return f"""max("{column}") - quantile_cont("{column}", 0.99) > stddev_samp("{column}")"""
+
+
+# The upper tail from the series of the lower one; 4 features, so i / 4 of 0.05 for the i-th.
+_CHI_SQUARE_SELECTION = _with(
+    _TRANSACTIONS,
+    f"""
+timed AS (SELECT *, {_TIME_PARTS} FROM tx),
+counts AS ("""
+    + " UNION ALL ".join(
+        f"""
+  SELECT '{c}' AS feature, sum("isFraud") AS p, count(*) AS n FROM timed GROUP BY "{c}" """
+        for c in [*BINARY_FEATURES, "weekdays", "hours"]
+    )
+    + """
+),
+chi AS (
+  SELECT feature, count(*) AS categories, count(*) - 1 AS dof,
+         sum(pow(p - n * share, 2) / (n * share)
+             + pow(n - p - n * (1 - share), 2) / (n * (1 - share))) AS x
+  FROM counts, (SELECT avg("isFraud") AS share FROM tx) GROUP BY feature
+),
+tail AS (
+  SELECT *, greatest(0, 1 - list_sum(list_transform(range(3000), lambda i:
+           exp((dof / 2.0 + i) * ln(x / 2) - x / 2 - lgamma(dof / 2.0 + i + 1))))) AS p
+  FROM chi
+),
+ranked AS (SELECT *, row_number() OVER (ORDER BY p) AS i FROM tail)""",
+    body="""
+SELECT feature, categories, dof, round(x, 6) AS chi_square, round(p, 6) AS p_value,
+       i <= (SELECT coalesce(max(i), 0) FROM ranked WHERE p <= 0.05 * i / 4) AS selected
+FROM ranked""",
+)
+
+_POISSON_BOUNDS = [
+    math.floor(sum(math.exp(-1) / math.factorial(j) for j in range(w + 1)) * 2**32) for w in range(12)
+]
+
+_POISSON_BOOTSTRAP = _with(
+    _TRANSACTIONS,
+    _VALID,
+    f"""
+cards AS (
+  SELECT card1, max("V317") AS max_score, max("isFraud") AS max_label FROM valid GROUP BY card1
+),
+weighted AS (
+  SELECT i.i AS iteration, card1, max_score, max_label,
+         len(list_filter({_POISSON_BOUNDS}, lambda b: b <= concat('0x', substr(
+           md5(concat('25:', card1, ':', i.i // 4)), CAST(8 * (i.i % 4) + 1 AS INTEGER), 8))::BIGINT)) AS w
+  FROM cards, range(100) AS i(i)
+),
+placed AS (
+  SELECT *, coalesce(sum(w) OVER (PARTITION BY iteration
+    ORDER BY max_score DESC NULLS LAST, card1 NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM weighted
+)""",
+    body="""
+SELECT iteration::INTEGER AS iteration,
+       sum(CASE WHEN before < 50 THEN least(w, 50 - before) * max_label ELSE 0 END)::DOUBLE / 50 AS precision
+FROM placed GROUP BY iteration""",
+)
+
+_AUC_COVARIANCE = _with(
+    _TRANSACTIONS,
+    """
+scored AS (
+  SELECT "isFraud" = 1 AS positive, coalesce("V280", 0.0) AS a, coalesce("V317", 0.0) AS b FROM tx
+),
+sizes AS (
+  SELECT count(*) FILTER (WHERE positive)::DOUBLE AS m, count(*) FILTER (WHERE NOT positive)::DOUBLE AS n
+  FROM scored
+),
+below AS (
+  SELECT positive,
+         (count(*) FILTER (WHERE NOT positive) OVER (ORDER BY a RANGE UNBOUNDED PRECEDING)
+          - count(*) FILTER (WHERE NOT positive) OVER (PARTITION BY a) / 2.0)::DOUBLE AS neg_a,
+         (count(*) FILTER (WHERE NOT positive) OVER (ORDER BY b RANGE UNBOUNDED PRECEDING)
+          - count(*) FILTER (WHERE NOT positive) OVER (PARTITION BY b) / 2.0)::DOUBLE AS neg_b,
+         (count(*) FILTER (WHERE positive) OVER (ORDER BY a RANGE UNBOUNDED PRECEDING)
+          - count(*) FILTER (WHERE positive) OVER (PARTITION BY a) / 2.0)::DOUBLE AS pos_a,
+         (count(*) FILTER (WHERE positive) OVER (ORDER BY b RANGE UNBOUNDED PRECEDING)
+          - count(*) FILTER (WHERE positive) OVER (PARTITION BY b) / 2.0)::DOUBLE AS pos_b
+  FROM scored
+),
+placed AS (
+  SELECT positive, CASE WHEN positive THEN neg_a / n ELSE (m - pos_a) / m END AS a,
+         CASE WHEN positive THEN neg_b / n ELSE (m - pos_b) / m END AS b
+  FROM below, sizes
+),
+parts AS (
+  SELECT positive, avg(a) AS a, avg(b) AS b, var_samp(a) / count(*) AS aa, var_samp(b) / count(*) AS bb,
+         covar_samp(a, b) / count(*) AS ab
+  FROM placed GROUP BY positive
+),
+whole AS (
+  SELECT max(a) FILTER (WHERE positive) AS a, max(b) FILTER (WHERE positive) AS b,
+         sum(aa) AS aa, sum(bb) AS bb, sum(ab) AS ab FROM parts
+)""",
+    body="""
+SELECT round(a, 9) AS auc1, round(b, 9) AS auc2, round((a - b) / sqrt(aa + bb - 2 * ab), 9) AS z,
+       round(aa * 1e6, 6) AS var1, round(bb * 1e6, 6) AS var2, round(ab * 1e6, 6) AS covariance,
+       m::BIGINT AS positives, n::BIGINT AS negatives
+FROM whole, sizes""",
+)
+
 _MONTHS = "SELECT month(o_orderdate)::INTEGER AS \"Month\", count(*) AS n FROM orders GROUP BY 1"
 
 _SENSORS = """
@@ -379,10 +488,27 @@ FROM prec""",
         "exact_quartiles": _tx(quartiles),
         "cap_thresholds": _tx(
             " UNION ALL ".join(
-                f"""SELECT '{c}' AS feature, round(quantile_cont("{c}", 0.99), 9) AS cap FROM tx"""
+                f"""SELECT '{c}' AS feature, round(quantile_cont("{c}", 0.99), 9) AS p99,
+        CASE WHEN {_far(c)} THEN round(quantile_cont("{c}", 0.99), 9) END AS cap FROM tx"""
+                for c in CONTINUOUS_FEATURES
+            )
+        ),
+        "learned_caps": _tx(
+            'SELECT "TransactionID", '
+            + ", ".join(
+                f"""CASE WHEN far."{c}" AND tx."{c}" > p."{c}" THEN round(p."{c}", 9)
+                    ELSE round(tx."{c}", 9) END AS "{c}" """
                 for c in CONTINUOUS_FEATURES
             )
+            + " FROM tx, (SELECT "
+            + ", ".join(f'{_far(c)} AS "{c}"' for c in CONTINUOUS_FEATURES)
+            + " FROM tx) AS far, (SELECT "
+            + ", ".join(f'quantile_cont("{c}", 0.99) AS "{c}"' for c in CONTINUOUS_FEATURES)
+            + " FROM tx) AS p"
         ),
+        "chi_square_selection": _CHI_SQUARE_SELECTION,
+        "poisson_bootstrap": _POISSON_BOOTSTRAP,
+        "auc_covariance": _AUC_COVARIANCE,
         "chi_square_table": _tx(
             " UNION ALL ".join(
                 f"""

@@ -20,6 +20,7 @@ from riskweave.operators.features import text_column
 from riskweave.operators.transformers import (
     ContinuousOutliersCapper,
     DiscreteToBinaryTransformer,
+    OutlierCapEstimator,
     ScalarNAFiller,
     StringFromDiscrete,
     TimeFeaturesGenerator,
@@ -28,12 +29,14 @@ from riskweave.operators.transformers import (
 FEATURES = "features"
 
 
-def _row_wise_stages() -> list[Transformer]:
+def _row_wise_stages(learn_caps: bool) -> list[Estimator | Transformer]:
     texts = [text_column(c) for c in S.BINARY_FEATURES]
     discrete = S.BINARY_FEATURES + S.DISCRETE_FEATURES
     return [
         DiscreteToBinaryTransformer(inputCols=S.BINARY_FEATURES, outputCols=S.BINARY_FEATURES),
-        ContinuousOutliersCapper(
+        OutlierCapEstimator(inputCols=S.CONTINUOUS_FEATURES)
+        if learn_caps
+        else ContinuousOutliersCapper(
             inputCols=list(S.CAP_THRESHOLDS), maximum=list(S.CAP_THRESHOLDS.values())
         ),
         TimeFeaturesGenerator(inputCols=[S.TIME]),
@@ -70,9 +73,14 @@ def _fitted_stages(quantile_error: float) -> list[Estimator | Transformer]:
     ]
 
 
-def get_feature_extraction_pipeline(quantile_error: float = 0.001) -> Pipeline:
-    """Raw transactions to the ``features`` vector, in 13 stages."""
-    return Pipeline(stages=_row_wise_stages() + _fitted_stages(quantile_error))
+def get_feature_extraction_pipeline(
+    quantile_error: float = 0.001, learn_caps: bool = False
+) -> Pipeline:
+    """Raw transactions to the ``features`` vector, in 13 stages.
+
+    Caps are the fixed ones, or, with ``learn_caps``, learned from the training rows.
+    """
+    return Pipeline(stages=_row_wise_stages(learn_caps) + _fitted_stages(quantile_error))
 
 
 def gradient_boosted_trees(**params) -> GBTClassifier:
