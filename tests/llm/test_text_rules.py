@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 from collections import Counter
 
@@ -149,23 +151,138 @@ def test_measures_equal_brute_force(documents, odd):
             assert not (r["kept"] and r["base_failed"])
 
 
-def test_fences_equal_sorted_quantiles(spark):
-    rows = [("en", "a", i / 1000) for i in range(1, 1001)] + [("de", None, 0.0)] * 10
+def test_sketches_merge_and_give_quartiles(spark):
+    rows = [("=en", "=a", i / 1000) for i in range(1, 1001)] + [("=de", "", 0.0)] * 10
     df = spark.createDataFrame(rows, "lang string, source string, symbol_ratio double")
     for name in quality_rules.STATISTICS[1:]:
         df = df.withColumn(name, df["symbol_ratio"])
-    df = df.fillna("", ["source"])
     sketch = quality_rules.sketches(df)
     halves = quality_rules.sketches(df.where("symbol_ratio > 0.5")).union(
         quality_rules.sketches(df.where("symbol_ratio <= 0.5"))
     )
-    by = ["lang", "source"]
     one, two = (
-        {r["lang"]: r.asDict() for r in quality_rules.fences(s, by).collect()} for s in (sketch, halves)
+        sorted(tuple(r) for r in quality_rules.quartiles(s, ["lang", "source"]).collect())
+        for s in (sketch, halves)
     )
-    assert one == two  # sketches merge
-    assert one["en"]["symbol_ratio_high"] == pytest.approx(0.5 + 4 * 0.4, rel=0.03)
-    assert one["de"]["symbol_ratio_high"] == pytest.approx(4 * 0.05)
+    assert one == two
+    found = {r[0]: r for r in one if r[2] == "upper_ratio"}
+    assert found["=en"][3] == 1000
+    assert found["=en"][4] == pytest.approx(0.5, rel=0.011)
+    assert found["=en"][5] == pytest.approx(0.25, rel=0.03)
+    assert found["=de"][3:5] == (10, 0.0) and found["=en"][6] is False
+
+
+def brute_kept(rows):
+    """Verdicts from sorted values instead of sketches; rows of (doc_id, text, lang, source)."""
+    measured = [(lang, source, quality_rules.measures((text or "").encode())) for _, text, lang, source in rows]
+    failed = [m[0] < 10 or 100 * m[4] > 20 * m[0] for _, _, m in measured]
+
+    def statistics(m, extra):
+        n_words, chars, symbols, dup, repeated, lines, upper, letters = m
+        pairs = {
+            "symbol_ratio": (symbols, n_words, 1),
+            "upper_ratio": (upper, letters, 1),
+            "repeat_ratio": (repeated, n_words, 5),
+            "dup_line_ratio": (dup, lines, 1),
+        }
+        plain = lambda a, b, e: (a + e * extra) / (b + e * extra) if b + extra else 0.0
+        return {k: plain(*v) for k, v in pairs.items()} | {"mean_word": chars / n_words if n_words else 0.0}
+
+    def middle(value):
+        if value < quality_rules.LEAST:
+            return 0.0
+        place = math.ceil(math.log(value / quality_rules.LEAST) / math.log(quality_rules.GROWTH))
+        return quality_rules.LEAST * quality_rules.GROWTH ** (place - 0.5)
+
+    def level(chosen, name):
+        values = sorted(statistics(m, 1)[name] for m in chosen)
+        q25, q50, q75 = (middle(values[max(0, math.ceil(q * len(values)) - 1)]) for q in (0.25, 0.5, 0.75))
+        return len(values), q50, max(min(q75 - q50, q50 - q25), 0.02 * q50)
+
+    def lean(n, own, above):
+        return (n * own + 200 * above) / (n + 200)
+
+    result = []
+    learned = [(lang, source, m) for (lang, source, m), f in zip(measured, failed, strict=True) if not f]
+    known = {}
+
+    def thresholds(lang, source):
+        if (lang, source) not in known:
+            limits = []
+            for name, side, prior in quality_rules.RULES:
+                sign = 1 if side == "high" else -1
+                prior = next(p for n, _, p in quality_rules.RULES if n == name)
+                n, table_median, spread = level([m for _, _, m in learned], name)
+                table_spread = lean(n, spread, prior)
+                n, median, spread = level([m for x, _, m in learned if x == lang], name)
+                lang_median = lean(n, median, table_median)
+                lang_spread = lean(n, spread, table_spread)
+                n, median, spread = level([m for x, y, m in learned if (x, y) == (lang, source)], name)
+                own_spread = lean(n, spread, lang_spread)
+                reach = sign * (lean(n, median, lang_median) - lang_median) + 20 * own_spread
+                reach = min(max(reach, 5 * lang_spread), 25 * lang_spread)
+                limit = lang_median + sign * reach
+                limits.append((name, side, limit * 1.02 if sign > 0 else limit / 1.02))
+            known[lang, source] = limits
+        return known[lang, source]
+
+    for (lang, source, m), f in zip(measured, failed, strict=True):
+        plain = statistics(m, 0)
+        inside = not f and all(
+            plain[name] <= limit if side == "high" else plain[name] >= limit
+            for name, side, limit in thresholds(lang, source)
+        )
+        result.append(inside)
+    return result
+
+
+def test_kept_equals_brute_force(spark, documents):
+    rows = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in documents.collect()]
+    rows = [(d, t, None if d % 7 == 0 else lang, "" if d % 5 == 0 else None if d % 5 == 1 else s) for d, t, lang, s in rows]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    found = {r["doc_id"]: r["kept"] for r in quality_rules.quality_rules(table).collect()}
+    expected = brute_kept(rows)
+    assert {d: k for (d, *_), k in zip(rows, expected, strict=True)} == found
+    assert 0 < sum(expected) < len(rows)
+
+
+def test_sources_of_unequal_spread_get_unequal_thresholds(spark):
+    """The same text is an outlier among even texts and none among varied ones."""
+    draw = random.Random(3)
+
+    def text(share):
+        long = round(60 * min(1, max(0, share)))
+        return " ".join("".join(draw.choices("abcdefghij", k=12 if i < long else 6)) for i in range(60))
+
+    rows = [
+        (i, text(draw.gauss(0.3, 0.02 if i % 2 else 0.2)), "en", "even" if i % 2 else "varied")
+        for i in range(2000)
+    ]
+    fields = "doc_id bigint, text string, lang string, source string"
+    docs = spark.createDataFrame(rows, fields)
+    _, found = quality_rules.judged(docs)
+    limit = {r["source"]: r for r in found.where("name = 'mean_word' AND side = 'high'").collect()}
+    assert limit["=varied"]["threshold"] > limit["=even"]["threshold"] + 0.5
+    assert limit["=varied"]["spread"] > 2 * limit["=even"]["spread"]
+    assert not limit["=varied"]["at_least"]
+    between = (limit["=varied"]["threshold"] + limit["=even"]["threshold"]) / 2
+    rows += [(3000 + i, text(between / 6 - 1), "en", s) for i, s in enumerate(("even", "varied"))]
+    docs = spark.createDataFrame(rows, fields)
+    gone = {r["doc_id"] for r in quality_rules.quality_rules(docs).where("NOT kept").collect()}
+    assert 3000 in gone and 3001 not in gone
+
+
+def test_most_thresholds_follow_the_spread_of_their_group(spark):
+    _, found = quality_rules.judged(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    rows = found.collect()
+    assert sum(r["at_least"] for r in rows) < 0.5 * len(rows)
+
+
+def test_null_source_is_apart_from_an_empty_one(spark):
+    rows = [(i, f"some words of text number {i} that are just long enough", "en", None if i % 2 else "") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    _, found = quality_rules.judged(docs)
+    assert {(r["source"], r["size"]) for r in found.collect()} == {("", 20), ("=", 20)}
 
 
 def test_outliers_go_and_the_rest_stays(spark):
