@@ -3,14 +3,14 @@
 A shared window of ``WINDOW`` words contains ``WINDOW - GRAM + 1`` grams. Winnowing
 keeps the least gram hash of every run of so many grams, so both texts keep the same
 gram of each shared window: joining the kept hashes finds every one. The hits are
-then extended word by word to both sides, as far as a window reaches, and count if
-the common run is as long as a window. Items shorter than a window are one window
+then extended to both sides, to the windows that hold them, and count if all words of
+such a window are those of an item's. Items shorter than a window are one window
 of their own and are joined by the hash of all their words.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskweave.llm.text import fresh
@@ -19,6 +19,7 @@ from riskweave.sources.workspace import settle
 
 WINDOW = 10
 GRAM = 5
+BLOCK = 64  # positions of a text that are looked at together
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = "array<string>"
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -62,112 +63,157 @@ def _short_hashes(lengths: list[int]) -> list[Column]:
     return [F.array_distinct(_each(0, F.col("n") - m, hashes(m))) for m in lengths]
 
 
-def _anchors(length: int, reach: int) -> Column:
-    """All grams of one length as structs, with the words before (nearest first) and after."""
-    words = F.col("words")
-
-    def word(at: Column) -> Column:
-        return F.when(at >= 0, F.get(words, F.greatest(at, F.lit(0))))
-
+def _item_window(length: int):
     def make(at: Column) -> Column:
-        known = length == GRAM
         return F.struct(
-            F.lit(length).alias("length"),
-            at.alias("at"),
-            (F.get("grams", at) if known else _gram_hash(words, at, length)).alias("hash"),
-            F.array(*[word(at + i) for i in range(length)]).alias("gram"),
-            F.array(*[word(at - 1 - i) for i in range(reach)]).cast(_WORDS).alias("left"),
-            F.array(*[word(at + length + i) for i in range(reach)]).cast(_WORDS).alias("right"),
+            _gram_hash(F.col("words"), at, length).alias("hash"),
+            F.lit(length).alias("need"),
+            F.slice("words", at + 1, length).alias("window_words"),
         )
 
-    return _each(0, F.col("n") - length, make)
-
-
-def _long_anchors() -> Column:
-    return _anchors(GRAM, WINDOW - GRAM)
-
+    return make
 
-def _common(a: str, b: str) -> Column:
-    """How many leading words of two arrays are equal."""
-    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    first_other = F.array_position(same, F.lit(False))
-    return F.when(first_other > 0, first_other - 1).otherwise(F.size(same).cast("bigint"))
 
+def _items(benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, list[int]]:
+    """What texts are held against, and the word numbers of items shorter than a window.
 
-def _items(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
-    """Anchors of all items, and the word numbers of items shorter than a window."""
+    ``hash``: fingerprints, the winnowed grams and the whole short items.
+    ``hash, need, window, window_words``: each distinct window once, in however many items.
+    ``window, item``: the items of each window.
+    """
     item = F.col("item_id").cast("string").alias("item")
     own = benchmark.select(item, words_of(F.col("text")).alias("words")).distinct()
     grams = settle(_with_grams(own).where("n > 0"))
     short = grams.where(F.col("n") < WINDOW).select("n").distinct().collect()  # at most 9 rows
     lengths = sorted(row["n"] for row in short)
-    winnowed = F.filter(_long_anchors(), lambda a: F.array_contains("kept", a["hash"]))
-    found = (
-        grams.where(F.col("n") >= WINDOW)
-        .withColumn("kept", _kept())
-        .select("item", F.lit(WINDOW).alias("need"), F.explode(winnowed).alias("a"))
+
+    whole = grams.where(F.col("n") >= WINDOW)
+    prints = whole.withColumn("kept", _kept()).select(F.explode("kept").alias("hash"))
+    windows = None
+    for m in [*lengths, WINDOW]:
+        those = whole if m == WINDOW else grams.where(F.col("n") == m)
+        each = _each(0, F.col("n") - m, _item_window(m))
+        found = those.select("item", F.explode(each).alias("w")).select("item", "w.*")
+        windows = found if windows is None else windows.unionByName(found)
+        if m < WINDOW:
+            prints = prints.unionByName(found.select("hash"))
+    windows = settle(
+        windows.withColumn("window", F.md5(F.concat_ws(" ", "window_words"))).distinct()
     )
-    for m in lengths:
-        whole = F.explode(_anchors(m, 0)).alias("a")
-        found = found.union(
-            grams.where(F.col("n") == m).select("item", F.lit(m).alias("need"), whole)
+    distinct = settle(windows.drop("item").distinct())
+    members = settle(windows.select("window", "item").distinct())
+    return settle(prints.distinct()), distinct, members, lengths
+
+
+def _blocks() -> Column:
+    """``words`` cut into blocks: the place of the first own position, that of the first
+    word, and the words a window around an own position can reach."""
+    reach = WINDOW - GRAM
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(BLOCK))
+
+    def block(start: Column) -> Column:
+        first = F.greatest(start - reach, F.lit(0))
+        return F.struct(
+            start.alias("start"),
+            first.alias("first"),
+            F.slice("words", first + 1, reach + BLOCK + WINDOW - 1).alias("part"),
         )
-    return settle(found.select("item", "need", "a.*")), lengths
+
+    return F.transform(starts, block)
+
+
+def _runs(length: int) -> Column:
+    """``at, hash`` of the runs of some length that start at an own position of a block."""
+    lead = F.col("start") - F.col("first")
+    last = F.least(lead + BLOCK - 1, F.size("part") - length)
+    make = lambda at: F.struct(
+        at.alias("at"), _gram_hash(F.col("part"), at, length).alias("hash")
+    )
+    return F.when(last >= lead, F.transform(F.sequence(lead, F.greatest(last, lead)), make)).otherwise(
+        F.array()
+    )
+
+
+def _windows_around(at: Column) -> Column:
+    """``at, hash`` of the windows of a block that hold the gram at a place."""
+    first = F.greatest(at - (WINDOW - GRAM), F.lit(0))
+    last = F.least(at, F.size("part") - WINDOW)
+    make = lambda s: F.struct(s.alias("at"), _gram_hash(F.col("part"), s, WINDOW).alias("hash"))
+    return F.when(last >= first, F.transform(F.sequence(first, F.greatest(last, first)), make)).otherwise(
+        F.array()
+    )
+
+
+def _text_windows(texts: DataFrame, prints: DataFrame, lengths: list[int]) -> DataFrame:
+    """``text_key, place, need, hash, run``: runs of words of a text that may be a window.
+
+    Texts are cut into blocks. A gram among the fingerprints is extended to the windows
+    that hold it; runs as long as a short item are taken as they are.
+    """
+    worded = texts.select("text_key", words_of(F.col("text")).alias("words"))
+    blocks = worded.select("text_key", F.explode(_blocks()).alias("b")).select("text_key", "b.*")
+    base = ["text_key", "start", "first", "part"]
+
+    def exploded(df: DataFrame, runs: Column) -> DataFrame:
+        return df.select(*base, F.explode(runs).alias("r")).select(*base, "r.*")
+
+    grams = exploded(blocks, _runs(GRAM))
+    size = measure(prints)
+    hits = sized_join(grams, prints, "hash", "left_semi", size, salt_by=["text_key", "start", "at"])
+    found = exploded(hits, _windows_around(F.col("at"))).withColumn("need", F.lit(WINDOW))
+    for m in lengths:
+        found = found.unionByName(exploded(blocks, _runs(m)).withColumn("need", F.lit(m)))
+    return found.select(
+        "text_key",
+        (F.col("first") + F.col("at")).alias("place"),
+        "need",
+        "hash",
+        F.slice("part", F.col("at") + 1, F.col("need")).alias("run"),
+    )
+
+
+def _covered(spans: DataFrame) -> DataFrame:
+    """``text_key, n_hit``: words of each text covered by its windows."""
+    order = Window.partitionBy("text_key").orderBy("place", "need")
+    end = F.col("place") + F.col("need")
+    upto = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.greatest(F.lit(0), end - F.greatest("place", F.coalesce(upto, F.lit(0))))
+    return spans.withColumn("new", new).groupBy("text_key").agg(F.sum("new").alias("n_hit"))
 
 
 def contaminated_texts(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``text_key, n_hit, items`` of each distinct text that has a window of an item.
 
-    A text is known by its MD5, so that copies are looked at once.
+    A text is known by its MD5, so that copies are looked at once. Only texts that share
+    a fingerprint are looked at again, and in these only the surroundings of the hits.
+    A hit is joined to distinct windows, so that it does not matter how many items
+    share its words; items are named once per text and window.
     """
-    items, lengths = _items(benchmark)
+    prints, windows, members, lengths = _items(benchmark)
     text_key = F.md5(F.col("text").cast("binary")).alias("text_key")
     keyed = docs.where(F.col("text").isNotNull()).select(text_key, "text")
 
     grams = _with_grams(keyed.select("text_key", words_of(F.col("text")).alias("words")))
     hashes = F.array_distinct(F.concat(_kept(), *_short_hashes(lengths)))
     kept = grams.select("text_key", F.explode(hashes).alias("hash"))
-    wanted = settle(items.select("hash").distinct())
-    hits = sized_join(kept, wanted, "hash", "left_semi", measure(wanted), salt_by=["text_key"])
-    chosen = settle(hits.groupBy("text_key").agg(F.collect_set("hash").alias("hits")))
-
-    near = sized_join(keyed, chosen, "text_key", "inner", measure_arrays(chosen))
-    texts = near.groupBy("text_key").agg(F.first("text").alias("text"), F.first("hits").alias("hits"))
-    worded = texts.select("text_key", "hits", words_of(F.col("text")).alias("words"))
-    anchored = _with_grams(worded)
-    groups = [_long_anchors()] + [_anchors(m, 0) for m in lengths]
-    own_hits = F.filter(F.concat(*groups), lambda a: F.array_contains("hits", a["hash"]))
-    places = anchored.select("text_key", F.explode(own_hits).alias("a"))
-    mine = places.select("text_key", F.col("a.*")).toDF(
-        "text_key", "length", "at", "hash", "gram", "before", "after"
-    )
-    spans = (
-        mine.join(items.drop("at"), ["length", "hash", "gram"])
-        .withColumns({"to_left": _common("before", "left"), "to_right": _common("after", "right")})
-        .where(F.col("to_left") + F.col("to_right") + F.col("length") >= F.col("need"))
-        .select(
-            "text_key",
-            "item",
-            (F.col("at") - F.col("to_left")).alias("first"),
-            (F.col("at") + F.col("length") + F.col("to_right") - 1).alias("last"),
-        )
-    )
-    spans = settle(spans.distinct())
-    covered = (
-        spans.select("text_key", "first", "last")
-        .distinct()
-        .select("text_key", F.explode(F.sequence("first", "last")).alias("at"))
-        .distinct()
-        .groupBy("text_key")
-        .agg(F.count(F.lit(1)).alias("n_hit"))
-    )
-    named = spans.groupBy("text_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    return settle(covered.join(named, "text_key"))
-
-
-def measure_arrays(chosen: DataFrame):
-    """Measured size of keys with arrays of hashes."""
-    return measure(chosen.select("text_key", F.repeat(F.lit("12345678"), F.size("hits")).alias("hits")))
+    hits = sized_join(kept, prints, "hash", "left_semi", measure(prints), salt_by=["text_key"])
+    chosen = settle(hits.select("text_key").distinct())
+
+    near = sized_join(keyed, chosen, "text_key", "left_semi", measure(chosen), salt_by=["text_key"])
+    texts = near.groupBy("text_key").agg(F.first("text").alias("text"))
+    runs = _text_windows(texts, prints, lengths)
+    matched = sized_join(
+        runs, windows.withColumnRenamed("need", "length"), "hash", "inner",
+        measure(windows.drop("window_words")), salt_by=["text_key", "place"],
+    )
+    same = (F.col("need") == F.col("length")) & (F.col("run") == F.col("window_words"))
+    spans = settle(matched.where(same).select("text_key", "place", "need", "window").distinct())
+    named = sized_join(
+        spans.select("text_key", "window").distinct(), members, "window", "inner",
+        measure(members), salt_by=["text_key"],
+    )
+    items = named.groupBy("text_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return settle(_covered(spans.drop("window").distinct()).join(items, "text_key"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -183,7 +229,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     renamed = found.toDF(key, n_hit, items)
     sizes = measure(found.select("text_key", "n_hit", F.concat_ws(",", "items").alias("items")))
     keyed = docs.withColumn(key, F.md5(F.col("text").cast("binary")))
-    joined = sized_join(keyed, renamed, key, "left", sizes)
+    by = ["doc_id"] if "doc_id" in docs.columns else None
+    joined = sized_join(keyed, renamed, key, "left", sizes, salt_by=by)
     return joined.withColumns(
         {
             "n_words": F.size(words_of(F.col("text"))).cast("bigint"),
@@ -211,4 +258,6 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     key = fresh(docs, "_text_key")
     keyed = docs.withColumn(key, F.md5(F.col("text").cast("binary")))
     renamed = found.toDF(key)
-    return sized_join(keyed, renamed, key, "left_anti", measure(renamed)).select(docs.columns)
+    by = ["doc_id"] if "doc_id" in docs.columns else None
+    left = sized_join(keyed, renamed, key, "left_anti", measure(renamed), salt_by=by)
+    return left.select(docs.columns)
