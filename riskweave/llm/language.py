@@ -21,7 +21,7 @@ from riskweave.llm.text import add_columns, is_held_out, remainder, slices
 MODULUS, HELD_OUT = 3, 1
 BUCKETS = 1 << 14
 PER_LANGUAGE = 3000  # expected texts a language is learned from
-MOST_LANGUAGES = 256  # the most frequent ones are learned
+SMOOTHING = 0.1  # added to every count
 PENALTY = 3.0  # of another language, times the log of the number of trigrams
 UNKNOWN = "und"
 _CHUNK = 1 << 20
@@ -54,10 +54,48 @@ class Trigrams:
         return total if letters else None
 
 
+@dataclass
+class Shares:
+    """Share of each bucket in each language, stored only where a language has the bucket.
+
+    ``base`` is the share of a bucket that a language lacks. The entries of bucket b are
+    ``starts[b]`` to ``starts[b + 1]``: a language and what its share is over its base. So
+    the size follows from what the languages hold, however many there are.
+    """
+
+    base: np.ndarray
+    starts: np.ndarray
+    languages: np.ndarray
+    extra: np.ndarray
+
+    @classmethod
+    def from_counts(cls, buckets: np.ndarray, languages: np.ndarray, counts: np.ndarray, many: int) -> Shares:
+        """From one entry per bucket and language that has it."""
+        totals = np.bincount(languages, counts, many) + SMOOTHING * BUCKETS
+        order = np.lexsort((languages, buckets))
+        starts = np.searchsorted(buckets[order], np.arange(BUCKETS + 1))
+        of = languages[order].astype(np.int32)
+        return cls(SMOOTHING / totals, starts, of, counts[order] / totals[of])
+
+    @classmethod
+    def from_table(cls, table: np.ndarray) -> Shares:
+        """From one row per bucket and one column per language."""
+        rows, columns = np.nonzero(table)
+        starts = np.searchsorted(rows, np.arange(len(table) + 1))
+        return cls(np.zeros(table.shape[1]), starts, columns.astype(np.int32), table[rows, columns])
+
+    def entries(self, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row among ``buckets``, language and extra share of all their entries."""
+        first, many = self.starts[buckets], self.starts[buckets + 1] - self.starts[buckets]
+        rows = np.repeat(np.arange(len(buckets)), many)
+        at = np.arange(len(rows)) - np.repeat(np.cumsum(many) - many, many) + first[rows]
+        return rows, self.languages[at], self.extra[at]
+
+
 @dataclass
 class LanguageModel:
     names: list[str]
-    shares: np.ndarray  # one row per bucket, one column per language
+    shares: Shares
 
 
 def _mixture(counts: np.ndarray, shares: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, float]:
@@ -75,46 +113,63 @@ def _mixture(counts: np.ndarray, shares: np.ndarray, start: np.ndarray) -> tuple
 
 
 def proportions(
-    counts: np.ndarray, shares: np.ndarray, penalty: float = PENALTY
+    counts: np.ndarray, shares: Shares | np.ndarray, penalty: float = PENALTY
 ) -> dict[int, float]:
-    """Column and proportion of each language that the penalised likelihood selects."""
+    """Number and proportion of each language that the penalised likelihood selects.
+
+    Only the chosen languages have their shares spelled out, as columns.
+    """
+    if isinstance(shares, np.ndarray):
+        shares = Shares.from_table(shares)
     seen = np.flatnonzero(counts)
-    counts, shares = counts[seen].astype(float), shares[seen]
+    counts, base, many = counts[seen].astype(float), shares.base, len(shares.base)
+    rows, of, extra = shares.entries(seen)
     total = counts.sum()
-    alone = counts @ np.log(shares)
+
+    def column(language: int) -> np.ndarray:
+        own = np.full(len(seen), base[language])
+        mine = of == language
+        own[rows[mine]] += extra[mine]
+        return own
+
+    # log of a share is that of the base, and more where the language has the bucket
+    with np.errstate(divide="ignore"):
+        lacking = np.log(base)
+        gain = np.log(base[of] + extra) - np.where(base[of] > 0, lacking[of], 0.0)
+    covered = np.bincount(of, counts[rows], many)
+    left = np.where(base > 0, total, total - covered)
+    alone = np.bincount(of, counts[rows] * gain, many) + left * np.where(left > 0, lacking, 0.0)
     chosen = [int(alone.argmax())]
+    columns = column(chosen[0])[:, None]
     weights, reached = np.ones(1), float(alone.max())
     cost = penalty * np.log(max(2.0, total))
-    while len(chosen) < shares.shape[1]:
-        slope = (counts / (shares[:, chosen] @ weights)) @ shares - total
+    while len(chosen) < many:
+        pull = counts / (columns @ weights)
+        slope = base * pull.sum() + np.bincount(of, pull[rows] * extra, many) - total
         slope[chosen] = -np.inf
         more = int(slope.argmax())
         if slope[more] <= cost:  # bounds the gain of any mixture with it: the likelihood is concave
             break
         start = np.append(0.9 * weights, 0.1)
-        new, value = _mixture(counts, shares[:, [*chosen, more]], start)
+        wider = np.column_stack([columns, column(more)])
+        new, value = _mixture(counts, wider, start)
         if value - reached <= cost:
             break
+        columns = wider
         chosen, weights, reached = [*chosen, more], new, value
     return dict(zip(chosen, weights.tolist(), strict=True))
 
 
-def fit_languages(
-    docs: DataFrame, per_language: int = PER_LANGUAGE, most_languages: int = MOST_LANGUAGES
-) -> LanguageModel:
-    """Trigram models of the most frequent languages, from texts outside the held-out fold.
+def fit_languages(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel:
+    """Trigram models of all languages, from texts outside the held-out fold.
 
-    Each learns from a hash sample of about ``per_language`` texts, or all it has.
+    Each learns from a hash sample of about ``per_language`` texts, or all it has. The
+    model grows with the languages, not with the texts.
     """
     known = docs.where(
         F.col("lang").isNotNull() & (remainder(F.col("doc_id"), MODULUS) != HELD_OUT)
     )
-    sizes = (
-        known.groupBy("lang")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(most_languages)
-    )
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     grain = 1_000_000
     rated = sizes.select("lang", F.least(F.lit(1.0), per_language / F.col("n")).alias("rate"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(grain))
@@ -146,12 +201,14 @@ def fit_languages(
         .agg(F.sum("n").alias("n"))
         .toArrow()
     )
-    names = sorted(set(rows["lang"].to_pylist()))
-    place = {name: i for i, name in enumerate(names)}
-    table = np.full((BUCKETS, len(names)), 0.1)
-    at = [place[name] for name in rows["lang"].to_pylist()]
-    table[rows["bucket"].to_numpy(), at] += rows["n"].to_numpy()
-    return LanguageModel(names, table / table.sum(axis=0, keepdims=True))
+    coded = rows["lang"].combine_chunks().dictionary_encode()
+    names = sorted(coded.dictionary.to_pylist())
+    place = np.searchsorted(names, coded.dictionary.to_pylist()) if names else np.empty(0, np.int64)
+    languages = place[coded.indices.to_numpy()]
+    shares = Shares.from_counts(
+        rows["bucket"].to_numpy(), languages, rows["n"].to_numpy().astype(float), len(names)
+    )
+    return LanguageModel(names, shares)
 
 
 def predict_languages(
