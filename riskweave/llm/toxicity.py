@@ -2,9 +2,9 @@
 
 The labelled texts give each hashed n-gram the log of its smoothed share among
 toxic texts over that among others. An n-gram that occurs in a text enters the
-linear model with this ratio as its value, however often it occurs. N-grams whose
-counts differ from those expected by no more than chance are left out, unless the
-labels are so few that hardly any would be left.
+linear model with this ratio as its value, however often it occurs. The less its counts
+differ from those that chance would give, the smaller the value: so weak n-grams weigh
+little where there are strong ones, and count where labels are few and none is strong.
 """
 
 from __future__ import annotations
@@ -30,9 +30,8 @@ THRESHOLD = 0.3
 MOST_LABELLED = 20_000  # bound on the rows the model is fitted on
 BUCKETS = 1 << 20
 LENGTHS = (4, 5, 6)
-MOST_FEATURES = 4096
-LEAST_EVIDENCE = 15.0  # likelihood ratio statistic; one n-gram in 9,000 has it by chance
-LEAST_FEATURES = 64  # where fewer n-grams have that evidence, the best ones below it are taken too
+MOST_FEATURES = 8192  # size of the model: n-grams of the most evidence
+HALF_EVIDENCE = 15.0  # likelihood ratio statistic at which an n-gram is trusted by half
 _CHUNK = 1 << 20
 
 
@@ -67,12 +66,16 @@ def _distinct(text: str | None, chosen: np.ndarray | None = None) -> np.ndarray:
     return np.unique(np.concatenate(blocks))
 
 
-def gram_ratios(sample: DataFrame, most: int = MOST_FEATURES) -> tuple[np.ndarray, np.ndarray]:
-    """The most significant buckets and their log-count ratios, at most ``most``.
+def trusted(ratios: np.ndarray, evidence: np.ndarray) -> np.ndarray:
+    """Ratios, smaller the more likely chance is: half at ``HALF_EVIDENCE``, and to the
+    fourth power less below it."""
+    return ratios * evidence**4 / (evidence**4 + HALF_EVIDENCE**4)
 
-    Few labels give no n-gram much evidence: then the best ones with any are taken,
-    and the penalty of the linear model keeps their weights small.
-    """
+
+def gram_ratios(
+    sample: DataFrame, most: int = MOST_FEATURES
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the most evidence, at most ``most``, their log-count ratios and evidence."""
 
     def count(batches):
         sums = np.zeros((2, BUCKETS), np.int64)
@@ -112,11 +115,8 @@ def gram_ratios(sample: DataFrame, most: int = MOST_FEATURES) -> tuple[np.ndarra
         .limit(most)
         .toArrow()
     )
-    strong = rows["weight"].to_numpy() >= LEAST_EVIDENCE
-    if strong.sum() >= LEAST_FEATURES:
-        rows = rows.filter(pa.array(strong))
     rows = rows.sort_by("bucket")
-    return rows["bucket"].to_numpy(), rows["ratio"].to_numpy()
+    return tuple(rows[c].to_numpy() for c in ("bucket", "ratio", "weight"))
 
 
 @dataclass
@@ -168,7 +168,7 @@ def fit_toxicity(
     kinds = {row["target"] for row in sample.select("target").distinct().collect()}
     if not {0, 1} <= kinds:
         return ToxicityModel(-30.0, np.empty(0, np.int64), np.empty(0))
-    buckets, ratios = gram_ratios(sample.where(F.col("target").isin(0, 1)))
+    buckets, ratios, evidence = gram_ratios(sample.where(F.col("target").isin(0, 1)))
     table = np.zeros(BUCKETS, bool)
     table[buckets] = True
     shared = docs.sparkSession.sparkContext.broadcast(table)
@@ -183,7 +183,7 @@ def fit_toxicity(
     rows = np.repeat(np.arange(len(own)), [len(x) for x in own])
     columns = np.searchsorted(buckets, np.concatenate(own))
     targets = found["target"].to_numpy().astype(float)
-    bias, weights = _fit_linear(rows, columns, ratios, targets, penalty)
+    bias, weights = _fit_linear(rows, columns, trusted(ratios, evidence), targets, penalty)
     return ToxicityModel(bias, buckets, weights)
 
 
