@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import groupby
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -32,7 +33,7 @@ NATIONAL_ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 LOCAL_PHONE = re.compile(r"(?<![0-9+.-])\(?0?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9.-])")
 
 REPORTED = 0.5
-NEAR = 40  # characters before a span in which context words count
+NEAR = 40  # characters on each side of a span in which context words count
 _PRIOR = {
     "email": 0.8,
     "ip": 0.6,
@@ -43,17 +44,19 @@ _PRIOR = {
     "national_id": 0.3,
     "local_phone": 0.2,
 }
-_FOR = {
-    "email": re.compile(r"mail|contact|write to", re.I),
-    "ip": re.compile(r"\bip\b|address|host|server", re.I),
-    "card": re.compile(r"card|visa|master|credit|payment", re.I),
-    "phone": re.compile(r"phone|\btel|call|mobile|fax", re.I),
-    "iban": re.compile(r"iban|account|bank|konto|compte|cuenta", re.I),
-    "short_card": re.compile(r"card|visa|master|amex|credit|payment", re.I),
-    "national_id": re.compile(r"ssn|social security|national id|identity", re.I),
-    "local_phone": re.compile(r"phone|\btel|call me|mobile|fax", re.I),
+_WORDS_FOR = {
+    "email": r"(?:e-?)?mails?|contact|write to",
+    "ip": r"ip|(?:ip-?)?address(?:es)?|hosts?|hostname|servers?",
+    "card": r"(?:credit|debit|bank)?cards?|visa|master(?:card)?|credit|payments?",
+    "phone": r"(?:tele)?phones?|phoned|tel|telefon|call|calls|mobile|fax",
+    "iban": r"iban|accounts?|bank|bankkonto|konto(?:nummer)?|compte|cuenta",
+    "short_card": r"(?:credit|debit|bank)?cards?|visa|master(?:card)?|amex|credit|payments?",
+    "national_id": r"ssn|social security|national id|identity",
+    "local_phone": r"(?:tele)?phones?|tel|telefon|call me|mobile|fax",
 }
-_AGAINST = re.compile(r"isbn|order|invoice|version|part no|serial", re.I)
+_FOR = {kind: re.compile(rf"\b(?:{words})\b", re.I) for kind, words in _WORDS_FOR.items()}
+_AGAINST = re.compile(r"\b(?:isbn|orders?|invoices?|version|part no|serial)\b", re.I)
+_STOP = re.compile(r"[0-9@\n]|[.;!?](?:\s|$)")  # what follows belongs to something else
 _DIGIT = re.compile(r"[0-9]")
 
 
@@ -155,28 +158,49 @@ def _proposals(text: str):
         yield "local_phone", *match.span()
 
 
-def score(text: str, kind: str, start: int) -> float:
-    """Prior of the kind, more if words before it name such data, less if they name other numbers."""
-    before = text[max(0, start - NEAR) : start]
+def score(text: str, kind: str, start: int, end: int) -> float:
+    """Prior of the kind, more if whole words near it name such data, less for other numbers.
+
+    Words count before the span, and after it as far as its sentence, up to the next
+    number or address.
+    """
+    before, after = text[max(0, start - NEAR) : start], text[end : end + NEAR]
+    if stop := _STOP.search(after):
+        after = after[: stop.start()]
     value = _PRIOR[kind]
-    if _FOR[kind].search(before):
+    if _FOR[kind].search(before) or _FOR[kind].search(after):
         value += 0.35
-    if _AGAINST.search(before):
+    if _AGAINST.search(before) or _AGAINST.search(after):
         value -= 0.25
     return min(1.0, max(0.0, value))
 
 
+def apart(proposed: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[bool]:
+    """Whether each proposal overlaps none of the taken spans; both sorted by start, and
+    proposals apart from each other. One pass over both: a span that starts before the
+    proposal's end overlaps if the farthest end so far is beyond its start."""
+    found, farthest, at = [], 0, 0
+    for start, end in proposed:
+        while at < len(taken) and taken[at][0] < end:
+            farthest = max(farthest, taken[at][1])
+            at += 1
+        found.append(farthest <= start)
+    return found
+
+
 def find_spans(text: str | None) -> tuple[list[Span], list[Span]]:
     """The spans of the fixed rules, and the added ones that overlap none before them."""
     text = text or ""
-    base = [Span(*s, score(text, s[0], s[1])) for s in base_spans(text)]
+    base = [Span(*s, score(text, *s)) for s in base_spans(text)]
     added: list[Span] = []
     taken = sorted((s.start, s.end) for s in base)
-    for kind, start, end in _proposals(text):
-        value = score(text, kind, start)
-        if value >= REPORTED and not any(a < end and start < b for a, b in taken):
-            added.append(Span(kind, start, end, value))
-            taken.append((start, end))
+    for _, proposals in groupby(_proposals(text), key=lambda p: p[0]):
+        scored = (Span(*p, score(text, *p)) for p in proposals)
+        likely = [s for s in scored if s.score >= REPORTED]
+        free = apart([(s.start, s.end) for s in likely], taken)
+        new = [s for s, is_free in zip(likely, free, strict=True) if is_free]
+        added += new
+        taken = sorted(taken + [(s.start, s.end) for s in new])
     return base, added
 
 
