@@ -89,7 +89,7 @@ def test_labels_of_the_held_out_fold_are_not_learned(larger):
 def test_ratios_equal_counts(spark):
     rows = [(1, "abcd", 1), (2, "abcd abcd", 1), (3, "wxyz", 0), (4, None, 0)]
     sample = spark.createDataFrame(rows * 20, "doc_id bigint, text string, target int")
-    buckets, ratios = toxicity.gram_ratios(sample)
+    buckets, ratios, _ = toxicity.gram_ratios(sample)
     found = dict(zip(buckets.tolist(), ratios.tolist(), strict=True))
     (own,) = {int(b) for b in toxicity._distinct("abcd")} & {int(b) for b in toxicity._distinct("xabcdx")}
     assert found[own] == pytest.approx(np.log((41 / 42) / (1 / 42)))
@@ -112,6 +112,27 @@ def test_toxicity_of_few_labels(spark):
     assert {r["doc_id"] for r in found if r["predicted"]} == set(toxic)
 
 
+@pytest.mark.parametrize("more", [0, 1])
+def test_no_switch_in_the_number_of_strong_ngrams(spark, more):
+    """63 or 64 strong n-grams: weak ones have no more say for the one that is missing."""
+    evidence = np.concatenate([np.full(63 + more, 40.0), np.full(4000, 3.0)])
+    values = toxicity.trusted(np.ones(len(evidence)), evidence)
+    assert values[: 63 + more].min() > 0.98 and values[63 + more :].max() < 0.002
+    assert toxicity.trusted(np.ones(1), np.array([toxicity.HALF_EVIDENCE]))[0] == 0.5
+
+
+def test_scores_equal_spelled_out_sums(spark, larger):
+    """The score of a text is the logistic sum over its distinct n-grams."""
+    docs, labels = larger
+    model = toxicity.fit_toxicity(docs, labels)
+    weight = dict(zip(model.buckets.tolist(), model.weights.tolist(), strict=True))
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, model).collect()}
+    for row in docs.orderBy("doc_id").limit(60).collect():
+        seen = {int(b) for part in toxicity.gram_buckets(row["text"] or "") for b in part}
+        margin = model.bias + sum(weight.get(b, 0.0) for b in sorted(seen))
+        assert found[row["doc_id"]] == pytest.approx(1 / (1 + np.exp(-margin)))
+
+
 def test_bounded_sample(spark):
     docs = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     labels = docs.select("doc_id", F.lit(1).alias("toxic"))
@@ -144,6 +165,47 @@ def test_proportions_of_a_mixture():
     assert alone == {1: 1.0}
 
 
+def test_sparse_proportions_equal_dense_ones():
+    """Against mixtures over the whole table, with buckets that languages lack."""
+    draw = np.random.default_rng(2)
+    counted = draw.integers(0, 30, (language.BUCKETS, 6)) * (draw.random((language.BUCKETS, 6)) < 0.02)
+    buckets, of = np.nonzero(counted)
+    sparse = language.Shares.from_counts(buckets, of, counted[buckets, of].astype(float), 6)
+    table = counted + language.SMOOTHING
+    table = table / table.sum(axis=0)
+    for true in ([1.0, 0, 0, 0, 0, 0], [0, 0.6, 0, 0.4, 0, 0], [0.2, 0, 0.3, 0, 0, 0.5]):
+        counts = draw.multinomial(4000, table @ np.array(true))
+        found = language.proportions(counts, sparse)
+        assert set(found) == {i for i, share in enumerate(true) if share}
+        dense = language.proportions(counts, table)
+        assert dense == pytest.approx(found)
+        best = max(range(6), key=lambda i: counts @ np.log(table[:, i]))
+        assert next(iter(found)) == best
+        weights = np.array([found.get(i, 0.0) for i in range(6)])
+        value = counts @ np.log(table @ weights)
+        for i in range(6):  # no other mixture of the chosen ones is likelier
+            for j in found:
+                moved = weights.copy()
+                if i in found and i != j and moved[i] > 0.02:
+                    moved[i], moved[j] = moved[i] - 0.02, moved[j] + 0.02
+                    assert counts @ np.log(table @ moved) < value + 1e-6
+
+
+def test_three_hundred_languages_are_learned(spark):
+    draw = np.random.default_rng(8)
+    rows = []
+    for i in range(300):
+        syllables = ["".join(draw.choice(list("abcdefghijklmnopqrstuvwxyz"), 3)) for _ in range(12)]
+        for j in range(8):
+            text = " ".join("".join(draw.choice(syllables, 2)) for _ in range(40))
+            rows.append((8 * i + j, text, f"l{i:03d}"))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit_languages(docs)
+    assert len(model.names) == 300
+    found = language.predict_languages(docs, model).join(docs, "doc_id").where("held_out").collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in found) / len(found) > 0.98
+
+
 def test_odd_rows(odd, nothing, labels, documents):
     models = [
         (quality.score_quality, quality.fit_quality(odd, labels)),

@@ -4,9 +4,12 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from riskweave.llm import pii, quality_rules
 
@@ -105,6 +108,51 @@ def test_long_runs_take_linear_time():
         pii.find_spans(text)
 
 
+def test_many_added_spans_take_linear_time():
+    text = "call me " + ", tel 0170 555 1234" * 200_000
+    began = time.monotonic()
+    base, added = pii.find_spans(text)
+    assert len(added) == 200_000 and not base
+    assert time.monotonic() - began < 20
+
+
+@pytest.mark.parametrize(
+    "text,kinds",
+    [
+        ("378282246310005 is my amex card number", ["short_card"]),
+        ("0170 555 1234 is my phone", ["local_phone"]),
+        ("123-45-6789 (my ssn)", ["national_id"]),
+        ("378282246310005 is it. My amex card", []),
+        ("378282246310005, 17 amex cards", []),
+        ("discard 378282246310005", []),
+        ("scorecard; hotel 0170 555 1234", []),
+    ],
+)
+def test_context_on_both_sides_in_whole_words(text, kinds):
+    assert [s.kind for s in pii.find_spans(text)[1]] == kinds
+
+
+def test_words_within_words_do_not_count_against():
+    score = lambda t: pii.find_spans(t)[0][0].score
+    assert score("border 4111111111111111") == score("4111111111111111") > score("order 4111111111111111")
+    assert score("4111111111111111 on the invoice") < score("4111111111111111")
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 60), st.integers(1, 12)), max_size=12),
+    st.lists(st.tuples(st.integers(0, 8), st.integers(1, 9)), max_size=12),
+)
+def test_apart_equals_all_pairs(taken, steps):
+    taken = sorted((a, a + n) for a, n in taken)
+    proposed, at = [], 0
+    for gap, n in steps:
+        proposed.append((at + gap, at + gap + n))
+        at += gap + n
+    expected = [not any(a < end and start < b for a, b in taken) for start, end in proposed]
+    assert pii.apart(proposed, taken) == expected
+
+
 def test_masking(odd, nothing, documents):
     assert pii.masked("write a@b.c or +49 170 1234567!") == "write <EMAIL> or <PHONE>!"
     assert pii.masked("+4111111111111111") == "<PHONE>" or "<" in pii.masked("+4111111111111111")
