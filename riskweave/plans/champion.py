@@ -103,6 +103,7 @@ def run_champion_challenger(
     log: RunLog | None = None,
     challenger_trees=None,
     overwrite: bool = False,
+    partitions: int | None = None,
 ) -> tuple[Decision, PipelineModel]:
     """Fit a challenger before the cutoff, compare both after it, save a winner.
 
@@ -111,7 +112,7 @@ def run_champion_challenger(
     """
     columns = [f.name for f in S.TRANSACTION_SCHEMA.fields]
     train, valid = train_validation_split(data.select(*columns), cutoff)
-    challenger = fit_model(train, challenger_trees or challenger_classifier())
+    challenger = fit_model(train, challenger_trees or challenger_classifier(), partitions=partitions)
     samples, scored = _samples(valid, champion, challenger, k, iterations, seed)
     paired = auc_covariance(scored, "_champion", "_challenger").first()
     decision = replace(

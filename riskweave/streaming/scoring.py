@@ -57,12 +57,13 @@ def parse_messages(
     parsed = _evaluated_once(
         parsed, "_features", M.parse_features(envelope["features"], schema)
     )
+    parsed = _evaluated_once(parsed, "_rows", M.row_count(features, schema))
     reason = (
         F.when(envelope.isNull() | envelope[M.CORRUPT].isNotNull(), BAD_ENVELOPE)
         .when(envelope["features"].isNull(), NO_FEATURES)
         .when(features.isNull() | features[M.CORRUPT].isNotNull(), BAD_FEATURES)
-        .when(M.row_count(features, schema) == 0, NO_ROW)
-        .when(M.row_count(features, schema) > 1, SEVERAL_ROWS)
+        .when(F.col("_rows") == 0, NO_ROW)
+        .when(F.col("_rows") > 1, SEVERAL_ROWS)
         .when(M.misfit(features, schema), BAD_VALUE)
     )
     names = {f.name: f for f in schema.fields}
