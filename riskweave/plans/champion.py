@@ -49,18 +49,10 @@ def decide(
     return Decision(k, *means, test.t, test.p_value, test.p_value < p_threshold)
 
 
-def _samples(
-    valid: DataFrame,
-    champion: PipelineModel,
-    challenger: PipelineModel,
-    k: int,
-    iterations: int,
-    seed: int,
-) -> tuple[list[DataFrame], DataFrame]:
-    """Bootstrapped precision of both models, and the rows with the scores of both.
-
-    The rows are scored once and settled, as both comparisons read them.
-    """
+def _scored_by_both(
+    valid: DataFrame, champion: PipelineModel, challenger: PipelineModel
+) -> DataFrame:
+    """Card, label and the scores of both models, settled, as both comparisons read them."""
     raw = valid.withColumn("_raw", F.struct(*valid.columns))  # feature stages replace columns
     first = champion.transform(raw).select(
         "_raw.*", positive_probability(F.col("probability")).alias("_champion")
@@ -71,7 +63,11 @@ def _samples(
         "_champion",
         positive_probability(F.col("probability")).alias("_challenger"),
     )
-    both = settle(both)
+    return settle(both)
+
+
+def _resampled(both: DataFrame, k: int, iterations: int, seed: int) -> list[DataFrame]:
+    """Bootstrapped precision of both models, from one shuffle of the scored rows."""
     cards = settle(
         both.groupBy(S.CARD).agg(
             F.max("_champion").alias("_champion"),
@@ -88,7 +84,19 @@ def _samples(
             f"precision_top_{k}",
         )
         for name in ("_champion", "_challenger")
-    ], both
+    ]
+
+
+def _samples(
+    valid: DataFrame,
+    champion: PipelineModel,
+    challenger: PipelineModel,
+    k: int,
+    iterations: int,
+    seed: int,
+) -> list[DataFrame]:
+    """Bootstrapped precision of both models on the same rows."""
+    return _resampled(_scored_by_both(valid, champion, challenger), k, iterations, seed)
 
 
 def run_champion_challenger(
@@ -113,7 +121,8 @@ def run_champion_challenger(
     columns = [f.name for f in S.TRANSACTION_SCHEMA.fields]
     train, valid = train_validation_split(data.select(*columns), cutoff)
     challenger = fit_model(train, challenger_trees or challenger_classifier(), partitions=partitions)
-    samples, scored = _samples(valid, champion, challenger, k, iterations, seed)
+    scored = _scored_by_both(valid, champion, challenger)
+    samples = _resampled(scored, k, iterations, seed)
     paired = auc_covariance(scored, "_champion", "_challenger").first()
     decision = replace(
         decide(*samples, k, p_threshold),
