@@ -32,6 +32,7 @@ MOST_BITS = 1 << 30
 _FINER = 3  # sketch cells are this many bits finer than the filter
 _SLICE_ENTRIES = 1 << 20
 _FLUSH = 1 << 21
+_PLACES = ["high", "low", "doc_id", "version", "start", "more"]
 _GRAM_FACTOR = 0x9E3779B97F4A7C15
 _FACTORS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -168,62 +169,163 @@ def repeat_filter(texts: DataFrame, window: int, gram: int) -> RepeatFilter:
     return RepeatFilter(shape, blocks)
 
 
+def _places(window: int, held: list[tuple]):
+    """What a chunk of documents, in ascending doc_id, says of its windows.
+
+    Where a smaller doc_id of the chunk has the same window, a place is known to be
+    repeated: such places of a text become one row of ``start`` -1, with their runs in
+    ``more``. What is left is one row for each window and text of its least doc_id:
+    the first start, and further ones in ``more``.
+    """
+    high, low, row, start = (np.concatenate(c) for c in list(zip(*held, strict=True))[2:])
+    docs, versions = (np.array(c) for c in list(zip(*held, strict=True))[:2])
+    order = np.argsort(high, kind="stable")  # rows and starts stay ascending within a window
+    high, low, row, start = high[order], low[order], row[order], start[order]
+    # Of two windows that share the first hash, places may alternate; they then count as
+    # several windows, of which fewer are known here.
+    fresh = np.ones(len(high), bool)
+    fresh[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+    heads = np.flatnonzero(fresh)
+    least = docs[row[heads]][np.cumsum(fresh) - 1]
+    known = docs[row] > least
+
+    columns = [[] for _ in range(6)]
+
+    def add(high, low, row, start, more):
+        values = (high, low, docs[row], versions[row], start, more)
+        for column, value in zip(columns, values, strict=True):
+            column.append(value)
+
+    at = np.flatnonzero(~known)
+    first = np.ones(len(at), bool)
+    first[1:] = fresh[at[1:]] | (row[at[1:]] != row[at[:-1]])
+    heads = np.flatnonzero(first)
+    more = np.full(len(heads), None, object)
+    lengths = np.diff(np.append(heads, len(at)))
+    for i in np.flatnonzero(lengths > 1):
+        others = at[heads[i] + 1 : heads[i] + lengths[i]]
+        more[i] = start[others].astype(np.int32).tobytes()
+    opened = at[heads]
+    by_text = np.argsort(order[opened])  # rows of one text follow each other: they compress well
+    opened = opened[by_text]
+    add(high[opened], low[opened], row[opened], start[opened], more[by_text])
+
+    at = np.flatnonzero(known)
+    if len(at):
+        at = at[np.lexsort((start[at], row[at]))]
+        row, start = row[at], start[at]
+        edge = np.ones(len(at), bool)
+        edge[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
+        begin = np.flatnonzero(edge)
+        runs = np.empty((len(begin), 2), np.int32)
+        runs[:, 0] = start[begin]
+        runs[:, 1] = start[np.append(begin[1:], len(at)) - 1] + window
+        owner = row[begin]
+        bounds = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        texts = owner[bounds]
+        blobs = np.empty(len(texts), object)
+        blobs[:] = [part.tobytes() for part in np.split(runs, bounds[1:])]
+        spread = mixed(docs[texts].view(np.uint64) + versions[texts].astype(np.uint64))
+        none = np.full(len(texts), -1, start.dtype)
+        add(spread, (spread >> np.uint64(32)).astype(np.uint32), texts, none, blobs)
+
+    high, low, doc, version, start, more = (np.concatenate(c) for c in columns)
+    arrays = [
+        pa.array(high.view(np.int64)),
+        pa.array(low.view(np.int32)),
+        pa.array(doc),
+        pa.array(version.astype(np.int32)),
+        pa.array(start.astype(np.int32)),
+        pa.array(more, pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, names=_PLACES)
+
+
 def repeated_windows(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """``doc_id, version, start``: windows whose words also start in a smaller doc_id."""
+    """``doc_id, version, start, more``: places whose window also starts in a smaller doc_id.
+
+    Rows of ``start`` -1 hold covered words as pairs of int32 (first, behind the last);
+    other rows the first place of a window in a text, and further ones as int32.
+
+    A chunk of some two million places decides by itself what it can, so a window comes
+    to the shuffle once for each chunk and text of the chunk's least doc_id that has it,
+    however many documents share it. Rows are sorted within their partition: chunks are
+    the same when a lost executor's task is run again.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(repeat_filter(texts, window, gram))
 
     def estimated(batches):
         repeats = shared.value
-        names = ["high", "low", "doc_id", "version", "start"]
+        held, size, last = [], 0, None
         for part in slices(batches):
-            columns = [[] for _ in names]
             for text, doc, version in zip(
                 utf8(part),
                 part.column("doc_id").to_pylist(),
                 part.column("version").to_pylist(),
                 strict=True,
             ):
+                if (doc, version, text) == last:  # a repeated row is the same document
+                    continue
+                last = (doc, version, text)
                 hashes = word_hashes(text.split())
                 starts = np.flatnonzero(repeats(least_grams(hashes, window, gram)))
                 if not len(starts):
                     continue
                 high, low = (rolling(hashes, window, f)[starts] for f in _FACTORS)
-                columns[0].append(high.view(np.int64))
-                columns[1].append((low >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                columns[2].append(np.full(len(starts), doc, np.int64))
-                columns[3].append(np.full(len(starts), version, np.int32))
-                columns[4].append(starts.astype(np.int32))
-            if columns[0]:
-                arrays = [pa.array(np.concatenate(c)) for c in columns]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    windows = texts.mapInArrow(
-        estimated, "high bigint, low int, doc_id bigint, version int, start int"
+                low = (low >> np.uint64(32)).astype(np.uint32)
+                row = np.full(len(starts), len(held), np.int32)
+                held.append((doc, version, high, low, row, starts.astype(np.int32)))
+                size += len(starts)
+                if size >= _FLUSH:
+                    yield _places(window, held)
+                    held, size = [], 0
+        if held:
+            yield _places(window, held)
+
+    windows = texts.sortWithinPartitions("doc_id", "version", "text").mapInArrow(
+        estimated, "high bigint, low int, doc_id bigint, version int, start int, more binary"
     )
-    # One shuffle serves both the grouping and the join. A window has one row per place,
-    # so the most frequent one holds a small part of all rows: its share of each document.
+    # One shuffle serves both the grouping and the join.
     partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # None is NULL, which both sides are told alike, so that they are the same shuffle.
-    known = " AND ".join(f"{name} IS NOT NULL" for name in windows.columns)
+    known = " AND ".join(f"{name} IS NOT NULL" for name in windows.columns if name != "more")
     windows = windows.where(known).repartition(partitions, "high", "low")
-    place = F.when(F.col("version").isNotNull(), F.col("start"))
+    is_open = F.col("start") >= 0
+    used = F.when(F.col("version").isNotNull(), F.coalesce(F.length("more"), F.lit(0)))
     first = (
         windows.groupBy("high", "low")
         .agg(
-            F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.max(place).alias("p")
+            F.min(F.when(is_open, F.col("doc_id"))).alias("first"),
+            F.max(F.when(is_open, F.col("doc_id"))).alias("last"),
+            F.min("start").alias("least"),
+            F.max(used).alias("p"),
         )
         # The last condition always holds. It keeps all columns needed on this side too;
         # else it would shuffle fewer columns, and so all rows a second time.
-        .where("first < last AND p >= 0")
+        .where("(first < last OR least < 0) AND p >= 0")
         .select("high", "low", "first")
     )
     return (
         windows.join(first, ["high", "low"])
-        .where("doc_id > first")
-        .select("doc_id", "version", "start")
+        .where("start < 0 OR doc_id > first")
+        .select("doc_id", "version", "start", "more")
     )
 
 
+def _gone(count: int, window: int, starts, others, runs) -> np.ndarray:
+    """Which of ``count`` words are covered, from the gathered places of a text."""
+    edge = np.zeros(count + 1, np.int64)
+    places = [np.asarray(starts, np.int32), *(np.frombuffer(o, np.int32) for o in others)]
+    places = np.concatenate(places)
+    np.add.at(edge, places, 1)
+    np.add.at(edge, places + window, -1)
+    for blob in runs:
+        pair = np.frombuffer(blob, np.int32).reshape(-1, 2)
+        np.add.at(edge, pair[:, 0], 1)
+        np.add.at(edge, pair[:, 1], -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` for each row of ``docs``.
 
@@ -232,42 +334,44 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
     Rows without doc_id neither lose words nor cost others any. Rows that share a
     doc_id are one document: they do not shorten each other. Repeated rows come
     back repeated; an empty table gives no rows; other columns are ignored.
+    ``doc_id`` must be a whole number, or text of one.
     """
     keyed = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.hash("text").alias("version")
     )
     texts = keyed.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    is_open = F.col("start") >= 0
     removed = (
         repeated_windows(texts, window, gram)
         .groupBy("doc_id", "version")
-        .agg(F.collect_set("start").alias("starts"))
+        .agg(
+            F.collect_set(F.when(is_open, F.col("start"))).alias("starts"),
+            F.collect_set(F.when(is_open, F.col("more"))).alias("others"),
+            F.collect_set(F.when(~is_open, F.col("more"))).alias("runs"),
+        )
     )
 
     def start():
-        def one(text, starts):
+        def one(text, starts, others, runs):
             words = (text or b"").split()
-            if not starts:
+            if not starts and not runs:
                 return len(words), 0, b" ".join(words).decode()
-            edge = np.zeros(len(words) + 1, np.int64)
-            starts = np.asarray(starts)
-            edge[starts] += 1
-            edge[starts + window] -= 1
-            gone = np.cumsum(edge[:-1]) > 0
-            kept = [word for word, out in zip(words, gone.tolist(), strict=True) if not out]
+            gone = _gone(len(words), window, starts, others, runs).tolist()
+            kept = [word for word, out in zip(words, gone, strict=True) if not out]
             return len(words), len(words) - len(kept), b" ".join(kept).decode()
 
         def work(part):
-            rows = [
-                one(text, starts)
-                for text, starts in zip(utf8(part), part.column("starts").to_pylist(), strict=True)
-            ]
+            found = (part.column(name).to_pylist() for name in ("starts", "others", "runs"))
+            rows = [one(*row) for row in zip(utf8(part), *found, strict=True)]
             return [[row[i] for row in rows] for i in range(3)]
 
         return work
 
-    joined = keyed.join(removed, ["doc_id", "version"], "left").select("doc_id", "text", "starts")
+    joined = keyed.join(removed, ["doc_id", "version"], "left").select(
+        "doc_id", "text", "starts", "others", "runs"
+    )
     fields = "n_words bigint, n_removed bigint, kept_text string"
-    return add_columns(joined, fields, start).drop("text", "starts")
+    return add_columns(joined, fields, start).drop("text", "starts", "others", "runs")
 
 
 def repeat_digest(docs: DataFrame) -> DataFrame:

@@ -69,6 +69,41 @@ def test_a_passage_shared_by_very_many(spark):
     }
 
 
+def test_words_repeated_within_and_across_texts(spark):
+    """Texts of one word, of a short period, and with repeated rows, in any order."""
+    words = [
+        (5, "a " * 300),
+        (3, "a " * 200),
+        (9, "b c d " * 90 + "a " * 40),
+        (4, "b c d " * 50),
+        (7, "a " * 12),
+        (3, "a " * 200),
+        (4, "x " + "b c d " * 20),
+        (-2, "c d b " * 8 + "end"),
+    ]
+    docs = spark.createDataFrame(words, "doc_id bigint, text string")
+    for parts in (1, 3):
+        assert repeats(docs.repartition(parts, "doc_id")) == brute_repeats(words)
+
+
+def test_small_chunks_give_the_same(documents, monkeypatch):
+    few = documents.where("doc_id % 7 < 2").coalesce(3)
+    monkeypatch.setattr(substring, "_FLUSH", 500)
+    assert repeats(few) == brute_repeats(pairs(few))
+
+
+def test_a_hot_window_is_one_row_for_each_chunk(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    text = F.concat_ws(" ", F.concat(F.lit("own"), F.col("id").cast("string")), F.lit(passage))
+    docs = spark.range(4000, numPartitions=5).select(
+        F.col("id").alias("doc_id"), text.alias("text"), F.lit(0).alias("version")
+    )
+    rows = substring.repeated_windows(docs).collect()
+    opened = Counter(r["start"] for r in rows if r["start"] >= 0)
+    assert max(opened.values()) == 4  # one for each partition but that of the least doc_id
+    assert sum(1 for r in rows if r["start"] < 0) == 4000 - 5
+
+
 def test_estimates_are_never_too_low(documents):
     """Every window of two documents passes the filter, even where it is far too small."""
     texts = documents.select("text")
