@@ -23,10 +23,10 @@ from riskweave.operators import (
     split,
     transformers,
 )
-from riskweave.operators.joins import BroadcastBound
+from riskweave.operators.joins import ROWS_PER_TASK, BroadcastBound
 from riskweave.plans import pipelines, training
 from riskweave.plans.champion import decide, run_champion_challenger
-from riskweave.sources import commits, tables
+from riskweave.sources import bucketed, commits, tables
 from riskweave.sources.events import (
     WEEK_CUTOFF,
     read_event_transactions,
@@ -225,6 +225,33 @@ def split_without_frauds(spark, sf_dir):
     return split.train_validation_split(_with_missing_cards(spark, sf_dir), 0)[1]
 
 
+def _bucketed_validation(spark: SparkSession, sf_dir: str, rows_per_task: int) -> DataFrame:
+    path = scratch_path(spark, "cards-bucketed")
+    name = "cards_" + path.rsplit("-", 1)[-1]
+    rows = _with_missing_cards(spark, sf_dir).select(
+        S.TRANSACTION_ID, S.TIME, S.CARD, S.LABEL, "V317"
+    )
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = bucketed.write_bucketed(rows, name, path, S.CARD, buckets, rows_per_task)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    bad = stored.per_part(lambda p: split.compromised_cards(split.training_rows(p, WEEK_CUTOFF)))
+    later = stored.per_part(lambda p: p.where(F.col(S.TIME) >= WEEK_CUTOFF))
+    valid = later.excluding(bad, "not_in")
+    return valid.per_part(lambda p: ranking.card_max_scores(p, "V317")).rows()
+
+
+@_query
+def bucketed_card_scores(spark, sf_dir):
+    """Split and maxima per card over a table in buckets of cards."""
+    return _bucketed_validation(spark, sf_dir, ROWS_PER_TASK)
+
+
+@_query
+def bucketed_hot_card_scores(spark, sf_dir):
+    """The same where most cards count as hot and are stored beside the buckets."""
+    return _bucketed_validation(spark, sf_dir, 80)
+
+
 def _sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     device = F.when(F.col("event_id") % 31 != 0, F.col("user_id"))
     return read_events(spark, sf_dir).select(

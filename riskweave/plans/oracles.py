@@ -385,6 +385,18 @@ WHERE NOT EXISTS (
 SELECT * FROM tm WHERE "TransactionDT" >= {_CUTOFF} AND card1 NOT IN (
   SELECT card1 FROM tm
   WHERE "TransactionDT" < {_CUTOFF} AND "isFraud" = 1 AND card1 IS NOT NULL)""",
+    )
+    card_scores = _with(
+        _TRANSACTIONS,
+        _MISSING_CARDS,
+        f"""
+kept AS (
+  SELECT * FROM tm WHERE "TransactionDT" >= {_CUTOFF} AND card1 NOT IN (
+    SELECT card1 FROM tm
+    WHERE "TransactionDT" < {_CUTOFF} AND "isFraud" = 1 AND card1 IS NOT NULL)
+)""",
+        body="""
+SELECT card1, max("V317") AS max_score, max("isFraud") AS max_label FROM kept GROUP BY card1""",
     )
     return {
         "transactions_scan": whole,
@@ -425,6 +437,8 @@ SELECT * FROM tm WHERE "TransactionDT" >= {_CUTOFF} AND card1 NOT IN (
         "temporal_split_valid": _with(_TRANSACTIONS, _VALID, body="SELECT * FROM valid"),
         "split_with_missing_cards": split_with_missing,
         "split_beyond_broadcast": split_with_missing,
+        "bucketed_card_scores": card_scores,
+        "bucketed_hot_card_scores": card_scores,
         "split_without_frauds": _with(_TRANSACTIONS, _MISSING_CARDS, body="SELECT * FROM tm"),
         "denylist_anti_join": denied,
         "denylist_beyond_broadcast": denied,

@@ -1,0 +1,80 @@
+"""Tables in buckets by key: no exchange, hot and missing keys, equal results."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.operators.joins import exclude_keys
+from riskweave.sources import bucketed
+from tests.plans import plan_of
+
+
+@pytest.fixture
+def rows(spark):
+    """A third of the rows has key 0, a tenth none; other keys have about four."""
+    i = F.col("id")
+    key = F.when(i % 10 == 9, None).when(i % 3 == 0, 0).otherwise(1 + i % 137).cast("bigint")
+    return spark.range(0, 900, 1, 5).select(key.alias("k"), i.alias("v"))
+
+
+@pytest.fixture
+def stored(spark, rows, tmp_path):
+    name = f"by_key_{tmp_path.name}".replace("-", "_")
+    yield bucketed.write_bucketed(rows, name, str(tmp_path / "t"), "k", 4, rows_per_task=50)
+    spark.sql(f"DROP TABLE {name}")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.unset(key)
+
+
+def counted(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def test_parts_hold_all_rows(rows, stored):
+    assert counted(stored.rows()) == counted(rows)
+    assert {r["k"] for r in stored.hot.select("k").distinct().collect()} == {0, None}
+    assert stored.even.where("k IS NULL OR k = 0").isEmpty()
+
+
+def test_work_per_key_needs_no_exchange(rows, stored, no_broadcast):
+    keys = stored.per_part(lambda p: p.where("v % 5 = 1").select("k").distinct())
+    left = stored.excluding(keys)
+    sums = left.aggregate(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
+    plan = plan_of(sums.even)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    plain = exclude_keys(rows, rows.where("v % 5 = 1").select("k"), "k")
+    expected = plain.groupBy("k").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("n"))
+    assert counted(sums.rows()) == counted(expected)
+
+
+@pytest.mark.parametrize("condition", ["v % 5 = 1", "k = 0", "false"])
+@pytest.mark.parametrize("null_keys", ["keep", "not_in"])
+def test_excluding_equals_the_plain_way(rows, stored, condition, null_keys):
+    keys = stored.per_part(lambda p: p.where(condition).select("k"))
+    plain = exclude_keys(rows, rows.where(condition).select("k"), "k", null_keys)
+    assert counted(stored.excluding(keys, null_keys).rows()) == counted(plain)
+
+
+def test_read_again_and_refusals(spark, rows, stored, tmp_path):
+    again = bucketed.read_bucketed(spark, stored.name, str(tmp_path / "t"), "k")
+    assert counted(again.rows()) == counted(rows)
+    with pytest.raises(ValueError, match="laid out"):
+        stored.excluding(bucketed.Bucketed("other", "k", stored.even, stored.hot))
+    with pytest.raises(ValueError, match="positive"):
+        bucketed.write_bucketed(rows, "x", str(tmp_path / "x"), "k", 0)
+
+
+def test_an_empty_table(spark, rows, tmp_path):
+    name = f"empty_{tmp_path.name}".replace("-", "_")
+    empty = bucketed.write_bucketed(rows.limit(0), name, str(tmp_path / "e"), "k", 2)
+    assert empty.aggregate(F.count(F.lit(1)).alias("n")).rows().collect() == []
+    spark.sql(f"DROP TABLE {name}")
