@@ -67,6 +67,7 @@ class Settings:
     val_frac: float = 0.2
     seed: int = 42
     parallelism: int = 2
+    trials: str | None = None
     messages: int = 10
     servers: str = ""
     topic: str = ""
@@ -154,6 +155,7 @@ def tune_model(spark: SparkSession, s: Settings) -> TuningResult:
         seed=s.seed,
         parallelism=s.parallelism,
         partitions=s.partitions,
+        trials_path=s.trials,
     )
     for line in result.explained():
         logger.info(line)

@@ -7,6 +7,7 @@ classifier fits instead of n whole pipelines.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -27,6 +28,7 @@ from riskweave.plans.pipelines import (
     get_fraud_detection_model_pipeline,
     gradient_boosted_trees,
 )
+from riskweave.plans.trials import TrialStore, data_digest, trial_key
 from riskweave.sources.runlog import RunLog
 from riskweave.sources.tables import laid_out
 from riskweave.sources.workspace import checkpoint_root
@@ -98,6 +100,7 @@ class Trial:
     max_depth: int
     min_instances: int
     auc: float
+    share: float = 1.0  # of the training rows
 
 
 @dataclass(frozen=True)
@@ -118,6 +121,11 @@ class TuningResult:
         return [trees.explainParam(name) for name in self.best_parameters()]
 
 
+def _parameters(classifier: GBTClassifier, point: ParamMap) -> dict[str, object]:
+    """Every parameter a fit would use, by name."""
+    return {p.name: v for p, v in classifier.extractParamMap(point).items()}
+
+
 def tune(
     data: DataFrame,
     classifier: GBTClassifier | None = None,
@@ -126,37 +134,80 @@ def tune(
     seed: int = 42,
     parallelism: int = 2,
     partitions: int | None = None,
+    trials_path: str | None = None,
+    shares: Sequence[float] = (1.0,),
+    keep: float = 0.5,
 ) -> TuningResult:
     """Grid search on one hash split; the best point is refitted on all rows.
 
     Each trial's AUC is measured on the rows held out from it. The first of
     equally good points wins.
+
+    With ``trials_path`` finished trials are kept there, and a search that was ended
+    goes on with those it lacks. By default every point is fitted on all training rows.
+    Several rising ``shares`` halve the field instead: all points are fitted on the first
+    share of the training rows, and the best ``keep`` of them, at least one, go on to
+    the next; what is left after the last share, which must be 1, decides. The shares
+    are hash draws, each within the next.
     """
+    if list(shares) != sorted(set(shares)) or not shares or shares[0] <= 0 or shares[-1] != 1:
+        raise ValueError("shares must rise to 1")
+    if not 0 < keep <= 1:
+        raise ValueError("keep must be above 0 and at most 1")
     classifier = classifier or gradient_boosted_trees()
     grid = list(grid if grid is not None else parameter_grid(classifier))
+    if not grid:
+        raise ValueError("no points to try")
     train, held_out = hash_split(data, train_fraction, seed)
-    features = fit_features(train)
-    checkpoint_root(data.sparkSession)
-
-    train_vectors = feature_vectors(train, features, partitions)
-    held_out_vectors = feature_vectors(held_out, features, partitions)
-    evaluator = auc_evaluator()
-
-    def trial(point: ParamMap) -> Trial:
-        model = classifier.fit(train_vectors, point)
-        auc = evaluator.evaluate(model.transform(held_out_vectors))
-        return Trial(model.getMaxDepth(), model.getMinInstancesPerNode(), auc)
+    spark = data.sparkSession
+    checkpoint_root(spark)
+    evaluator = auc_evaluator(bins=0)
+    store, known, digest = None, {}, ""
+    if trials_path is not None:
+        store = TrialStore(spark, trials_path)
+        known = store.known()
+        read = [S.TRANSACTION_ID, *needed_columns(data).columns]
+        digest = f"{data_digest(data.select(*read))}:{train_fraction}:{seed}:{partitions}"
+
+    def run(points: list[int], share: float) -> dict[int, Trial]:
+        told = {i: _parameters(classifier, grid[i]) for i in points}
+        keys = {i: trial_key(digest, share, told[i]) for i in points}
+        open_points = [i for i in points if keys[i] not in known]
+        aucs = {i: known[keys[i]] for i in points if keys[i] in known}
+        if open_points:
+            part = train if share == 1 else hash_split(train, share, seed + 1)[0]
+            features = fit_features(part)
+            fitted_on = feature_vectors(part, features, partitions)
+            scored_on = feature_vectors(held_out, features, partitions)
+
+            def trial(i: int) -> float:
+                model = classifier.fit(fitted_on, grid[i])
+                auc = evaluator.evaluate(model.transform(scored_on))
+                if store is not None:
+                    store.record(keys[i], told[i], share, auc)
+                return auc
+
+            try:
+                with ThreadPoolExecutor(parallelism) as pool:
+                    aucs |= zip(open_points, pool.map(trial, open_points), strict=True)
+            finally:
+                fitted_on.unpersist()
+                scored_on.unpersist()
+        return {
+            i: Trial(told[i]["maxDepth"], told[i]["minInstancesPerNode"], aucs[i], share)
+            for i in points
+        }
 
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            trials = list(pool.map(trial, grid))
-    finally:
-        train_vectors.unpersist()
-        held_out_vectors.unpersist()
+    points, trials = list(range(len(grid))), []
+    for share in shares:
+        found = run(points, share)
+        trials += found.values()
+        ranked = sorted(points, key=lambda i: (-found[i].auc, i))
+        points = sorted(ranked[: max(1, math.ceil(len(ranked) * keep))])
 
-    winner = max(range(len(trials)), key=lambda i: (trials[i].auc, -i))
+    winner = ranked[0]
     model = fit_model(data, classifier.copy(grid[winner]), partitions=partitions)
-    return TuningResult(model, trials, trials[winner])
+    return TuningResult(model, trials, found[winner])
 
 
 def random_split_tuner(
@@ -184,5 +235,5 @@ def log_tuning(result: TuningResult, data: DataFrame, log: RunLog) -> None:
     The all-rows figure includes training rows and is optimistic.
     """
     log.params(result.best_parameters())
-    everything = auc_evaluator().evaluate(result.model.transform(data))
+    everything = auc_evaluator(bins=0).evaluate(result.model.transform(data))
     log.metrics({"roc_auc_held_out": result.best.auc, "roc_auc": everything})

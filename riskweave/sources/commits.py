@@ -35,7 +35,7 @@ def _hadoop(spark: SparkSession, path: str):
     return at, at.getFileSystem(conf), context
 
 
-def _publish(spark: SparkSession, path: str, text: str) -> None:
+def publish(spark: SparkSession, path: str, text: str) -> None:
     """Put a small file in place, whole or not at all; an error if there is one already."""
     folder, name = path.rsplit("/", 1)
     draft, system, context = _hadoop(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
@@ -80,7 +80,7 @@ def commit(rows: DataFrame, table: str, batch: int, writer: str = "once") -> boo
         "rows": written,
         "files": _files(spark, f"{table}/{folder}"),
     }
-    _publish(spark, manifest, json.dumps(entry))
+    publish(spark, manifest, json.dumps(entry))
     return True
 
 

@@ -44,7 +44,7 @@ def test_an_attempt_without_manifest_is_not_seen_and_is_replaced(spark, tmp_path
         raise RuntimeError("killed between data and manifest")
 
     with monkeypatch.context() as patch:
-        patch.setattr(commits, "_publish", killed)
+        patch.setattr(commits, "publish", killed)
         with pytest.raises(RuntimeError, match="killed"):
             commits.commit(rows(spark, (2, "torn")), table, 1)
     assert read(spark, table) == [(1, "a")]
@@ -55,9 +55,9 @@ def test_an_attempt_without_manifest_is_not_seen_and_is_replaced(spark, tmp_path
 
 
 def test_a_manifest_is_never_replaced(spark, tmp_path):
-    commits._publish(spark, str(tmp_path / "m.json"), "first")
+    commits.publish(spark, str(tmp_path / "m.json"), "first")
     with pytest.raises(Exception, match="(?i)exist"):
-        commits._publish(spark, str(tmp_path / "m.json"), "second")
+        commits.publish(spark, str(tmp_path / "m.json"), "second")
     assert (tmp_path / "m.json").read_text() == "first"
 
 
@@ -86,7 +86,7 @@ def test_a_killed_ingest_resumes_without_loss_or_repeat(spark, tmp_path, monkeyp
         raise RuntimeError("killed")
 
     with monkeypatch.context() as patch:
-        patch.setattr(commits, "_publish", killed)
+        patch.setattr(commits, "publish", killed)
         with pytest.raises(Exception, match="killed"):
             run()
     assert run() == [1]
