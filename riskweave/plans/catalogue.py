@@ -17,6 +17,7 @@ from riskweave.operators import (
     encoding,
     evaluation,
     features,
+    fit_states,
     quantiles,
     ranking,
     selection,
@@ -389,6 +390,36 @@ def minmax_scale(spark, sf_dir):
     return encoding.min_max_scale(prepared, S.DISCRETE_FEATURES)
 
 
+def _weekly_states(spark: SparkSession, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """States of each week, committed one by one, folded; the last week comes twice."""
+    path = scratch_path(spark, "fit-states")
+    week = F.floor(F.col(S.TIME) / WEEK_CUTOFF)
+    weeks = sorted(r[0] for r in rows.select(week).distinct().collect())
+    for part in [*weeks, *weeks[-1:]]:
+        fit_states.add_part(rows.where(week == part), columns, path, part)
+    return fit_states.folded(spark, path)
+
+
+@_query
+def folded_min_max_scale(spark, sf_dir):
+    """Scaled by limits that were folded from weekly states."""
+    prepared = _prepared(spark, sf_dir).select(S.TRANSACTION_ID, S.TIME, *S.DISCRETE_FEATURES)
+    state = _weekly_states(spark, prepared, S.DISCRETE_FEATURES)
+    limits = fit_states.min_max_of(state)
+    scaled = {
+        f"{c}_scaled": encoding.min_max_scaled(F.col(c), *limits[c]) for c in S.DISCRETE_FEATURES
+    }
+    return prepared.drop(S.TIME).withColumns(scaled)
+
+
+@_query
+def folded_limits(spark, sf_dir):
+    """Counts and limits of raw columns, NULLs apart, folded from weekly states."""
+    names = list(S.CONTINUOUS_FEATURES)
+    rows = _transactions(spark, sf_dir).select(S.TIME, *names)
+    return fit_states.counts_and_limits(_weekly_states(spark, rows, names))
+
+
 @_query
 def exact_quartiles(spark, sf_dir):
     names = S.CONTINUOUS_FEATURES

@@ -499,6 +499,17 @@ FROM prec""",
         "minmax_scale": _prep(
             f'SELECT "TransactionID", {_names(DISCRETE_FEATURES)}, {_MIN_MAX} FROM prep'
         ),
+        "folded_min_max_scale": _prep(
+            f'SELECT "TransactionID", {_names(DISCRETE_FEATURES)}, {_MIN_MAX} FROM prep'
+        ),
+        "folded_limits": _tx(
+            " UNION ALL ".join(
+                f"""
+SELECT '{c}' AS feature, count("{c}") AS n, count(*) - count("{c}") AS missing,
+       min("{c}")::DOUBLE AS low, max("{c}")::DOUBLE AS high FROM tx"""
+                for c in CONTINUOUS_FEATURES
+            )
+        ),
         "exact_quartiles": _tx(quartiles),
         "cap_thresholds": _tx(
             " UNION ALL ".join(

@@ -1,0 +1,75 @@
+"""States of parts, folded, against the fits over all rows."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave import schema as S
+from riskweave.operators import encoding, fit_states, quantiles
+
+NAMES = list(S.CONTINUOUS_FEATURES)
+
+
+def test_folded_equals_refitted(spark, transactions, tmp_path):
+    path = str(tmp_path / "states")
+    part = F.col(S.TRANSACTION_ID) % 3
+    for i in (0, 1):
+        assert fit_states.add_part(transactions.where(part == i), NAMES, path, i)
+    early = fit_states.min_max_of(fit_states.folded(spark, path))
+    assert early == encoding.fit_min_max(transactions.where(part < 2), NAMES)
+
+    assert fit_states.add_part(transactions.where(part == 2), NAMES, path, 2)
+    assert not fit_states.add_part(transactions.where(part == 2), NAMES, path, 2)
+    state = fit_states.folded(spark, path)
+    assert fit_states.min_max_of(state) == encoding.fit_min_max(transactions, NAMES)
+    whole = fit_states.fit_state(transactions, NAMES)
+    assert sorted(map(tuple, state.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+
+    probabilities = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
+    exact = quantiles.exact_quantiles(transactions, NAMES, probabilities)
+    found = fit_states.quantiles_of(state, probabilities)
+    for name in NAMES:
+        assert found[name] == pytest.approx(exact[name], rel=fit_states.RELATIVE_ERROR)
+        assert (found[name][0], found[name][-1]) == (exact[name][0], exact[name][-1])
+
+
+def test_error_on_skewed_values_of_both_signs(spark):
+    values = np.random.default_rng(1).lognormal(0, 4, 4000) * np.where(np.arange(4000) % 3, 1, -1)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(5)
+    state = fit_states.fit_state(df, ["x"])
+    probabilities = [i / 50 for i in range(51)]
+    found = fit_states.quantiles_of(state, probabilities)["x"]
+    ordered = np.sort(values)
+    for p, value in zip(probabilities, found, strict=True):
+        position = p * 3999
+        near = ordered[[math.floor(position), math.ceil(position)]]
+        slack = np.abs(near).max() * fit_states.RELATIVE_ERROR * 1.0001
+        assert near.min() - slack <= value <= near.max() + slack
+
+
+def test_odd_values(spark):
+    odd = [None, 0.0, -0.0, 5e-324, -5e-324, 1.0, -1.0, math.inf, -math.inf, math.nan, 1.7e308]
+    df = spark.createDataFrame([(v,) for v in odd], "x double")
+    rows = df.select("x", fit_states.bucket_of(F.col("x")).alias("b")).where("x IS NOT NULL")
+    buckets = [r["b"] for r in rows.orderBy("x").collect()]
+    assert buckets == sorted(buckets) and len(set(buckets)) == 9  # both zeros share one
+    (row,) = fit_states.counts_and_limits(fit_states.fit_state(df, ["x"])).collect()
+    assert (row["n"], row["missing"], row["low"]) == (10, 1, -math.inf)
+    assert math.isnan(row["high"])
+
+
+def test_nothing_and_only_nulls(spark, tmp_path):
+    empty = spark.createDataFrame([], "x double, y int")
+    path = str(tmp_path / "states")
+    assert fit_states.folded(spark, path).collect() == []
+    assert fit_states.add_part(empty, ["x", "y"], path, 0)
+    assert fit_states.min_max_of(fit_states.folded(spark, path)) == {}
+    nulls = spark.createDataFrame([(None, 3)], "x double, y int")
+    assert fit_states.add_part(nulls, ["x", "y"], path, 1)
+    state = fit_states.folded(spark, path)
+    assert fit_states.min_max_of(state) == {"x": (None, None), "y": (3.0, 3.0)}
+    assert fit_states.quantiles_of(state, [0.5]) == {"x": [None], "y": [3.0]}
