@@ -36,7 +36,7 @@ from riskweave.sources.events import (
 )
 from riskweave.sources.runlog import RunLog, read_run_log
 from riskweave.sources.workspace import scratch_path
-from riskweave.streaming import ingest, replay, scoring
+from riskweave.streaming import ingest, publishing, replay, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -736,12 +736,13 @@ def result_message_contents(spark, sf_dir):
     return _decoded_results(sent)
 
 
-def _decoded_results(sent: DataFrame) -> DataFrame:
+def _decoded_results(sent: DataFrame, *others: str) -> DataFrame:
     envelope = F.from_json(F.col("value").cast("string"), M.RESULT_ENVELOPE_SCHEMA)
-    opened = sent.select(F.col("key").cast("string").alias("key"), envelope.alias("e"))
+    opened = sent.select(F.col("key").cast("string").alias("key"), envelope.alias("e"), *others)
     result = F.from_json(F.col("e.result"), M.RESULT_SCHEMA)
-    return opened.select("key", F.col("e.card_id").alias("card_id"), result.alias("r")).select(
-        "key", "card_id", "r.*"
+    card = F.col("e.card_id").alias("card_id")
+    return opened.select("key", card, result.alias("r"), *others).select(
+        "key", "card_id", "r.*", *others
     )
 
 
@@ -796,6 +797,40 @@ def stream_scores(spark, sf_dir):
     )
 
 
+@_query
+def results_once(spark, sf_dir):
+    """Results of all transactions, a third of the batches sent twice, read as a stream."""
+    place = {
+        "topic": F.lit("transactions"),
+        "partition": F.col(S.TRANSACTION_ID) % 3,
+        "offset": F.floor(F.col(S.TRANSACTION_ID) / 3),
+    }
+    envelope = M.input_envelope(S.SCORING_SCHEMA.names, F.col(S.CARD), F.lit(STAMP))
+    received = _transactions(spark, sf_dir).select(
+        envelope.alias("value"), *[column.alias(name) for name, column in place.items()]
+    )
+    number = F.col(S.TRANSACTION_ID)
+    probability = (number % 101 / 101).alias("probability_")
+    scored = scoring.usable(scoring.parse_messages(received)).select(
+        S.TRANSACTION_ID, S.CARD, probability, publishing.ORIGIN
+    )
+    path = scratch_path(spark, "results-once")
+    scoring.result_messages(scored).write.parquet(f"{path}/sent")
+    again = scored.where(number % 3 == 0)  # as a batch repeated after a failure
+    scoring.result_messages(again).write.mode("append").parquet(f"{path}/sent")
+    sent = spark.readStream.schema(publishing.MESSAGE_SCHEMA).option("maxFilesPerTrigger", 4)
+    once = publishing.first_of_each_origin(sent.parquet(f"{path}/sent"))
+    (
+        once.writeStream.foreachBatch(commits.commit_batch(f"{path}/results"))
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    stored = commits.read_committed(spark, f"{path}/results", once.schema)
+    return _decoded_results(stored, publishing.ORIGIN)
+
+
 @_query
 def stream_ingest(spark, sf_dir):
     path = scratch_path(spark, "stream-ingest")

@@ -41,6 +41,7 @@ from riskweave.sources.tables import (
     write_parquet,
 )
 from riskweave.streaming.ingest import start_csv_ingest
+from riskweave.streaming.publishing import MESSAGE_SCHEMA, first_of_each_origin
 from riskweave.streaming.replay import replay
 from riskweave.streaming.scoring import Traffic, start_scoring
 
@@ -78,6 +79,7 @@ class Settings:
     kafka_properties: str = ""
     pattern: str = "*.csv"
     interval: str | None = None
+    within: str = "1 day"
     archive: str | None = None
     delete_source: bool = False
     deny_table: str | None = None
@@ -113,6 +115,8 @@ def missing_settings(job: str, s: Settings) -> list[str]:
     needed = list(REQUIRED[job])
     if job == "score-messages":
         needed += ["topic", "results_topic"] if s.servers else ["data", "output"]
+    if job == "collect-results":
+        needed += ["results_topic"] if s.servers else ["data"]
     if job == "replay-messages":
         needed += ["topic"] if s.servers else ["output"]
     return [name for name in needed if not getattr(s, name)]
@@ -261,7 +265,31 @@ def score_messages(spark: SparkSession, s: Settings) -> None:
     try:
         query.awaitTermination()
     finally:
-        logger.info("%s", traffic)
+        logger.info("%s", traffic.final())
+
+
+def collect_results(spark: SparkSession, s: Settings) -> None:
+    """Store each result of a Kafka topic, or of a folder of messages, once.
+
+    The first result of each origin within ``within`` is kept. A folder is read
+    once unless ``interval`` says to keep waiting for files.
+    """
+    if s.servers:
+        options = _kafka_options(s)
+        messages = kafka.read_messages(spark, s.servers, s.results_topic, options, s.max_offsets)
+        messages = messages.select("key", "value", "headers")
+        trigger = {"processingTime": s.interval or "1 second"}
+    else:
+        messages = spark.readStream.schema(MESSAGE_SCHEMA).parquet(s.data)
+        trigger = {"processingTime": s.interval} if s.interval else {"availableNow": True}
+    (
+        first_of_each_origin(messages, s.within)
+        .writeStream.foreachBatch(commit_batch(s.output))
+        .option("checkpointLocation", s.checkpoint)
+        .trigger(**trigger)
+        .start()
+        .awaitTermination()
+    )
 
 
 def replay_messages(spark: SparkSession, s: Settings) -> None:
@@ -285,6 +313,7 @@ JOBS: dict[str, Callable[[SparkSession, Settings], object]] = {
         convert_csv,
         ingest_csv,
         score_messages,
+        collect_results,
         replay_messages,
     )
 }
@@ -300,6 +329,7 @@ REQUIRED: dict[str, tuple[str, ...]] = {
     "convert-csv": ("data", "output"),
     "ingest-csv": ("data", "output", "checkpoint"),
     "score-messages": ("model", "rejects", "checkpoint"),
+    "collect-results": ("output", "checkpoint"),
     "replay-messages": ("data",),
 }
 

@@ -645,6 +645,13 @@ LIMIT 10"""
 SELECT card1::VARCHAR AS key, card1 AS card_id, "TransactionID", card1,
        ("TransactionID" % 101)::DOUBLE / 101 AS probability_
 FROM tm""",
+        ),
+        "results_once": _tx(
+            """
+SELECT card1::VARCHAR AS key, card1 AS card_id, "TransactionID", card1,
+       ("TransactionID" % 101)::DOUBLE / 101 AS probability_,
+       concat('transactions/', "TransactionID" % 3, '/', "TransactionID" // 3) AS origin
+FROM tx"""
         ),
         "stream_feature_rows": _prep(
             f"""

@@ -17,7 +17,7 @@ def read_messages(
     options: Mapping[str, str] | None = None,
     max_offsets_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Stream of ``key, value, topic, partition, offset``; starts at the latest offsets.
+    """Stream of ``key, value, topic, partition, offset, headers``; starts at the latest offsets.
 
     The query's checkpoint keeps the offsets, in place of a consumer group.
     """
@@ -26,6 +26,7 @@ def read_messages(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "latest")
+        .option("includeHeaders", "true")
         .options(**dict(options or {}))
     )
     if max_offsets_per_trigger is not None:
@@ -39,9 +40,13 @@ def write_messages(
     topic: str,
     options: Mapping[str, str] | None = None,
 ) -> None:
-    """Send the rows (``key, value``) of a batch; at-least-once when Spark retries tasks."""
+    """Send the rows (``key, value``, maybe ``headers``) of a batch.
+
+    At-least-once when Spark retries tasks: readers of results take repeats out by
+    their origin (``streaming.publishing``).
+    """
     (
-        messages.select("key", "value")
+        messages.select([c for c in ("key", "value", "headers") if c in messages.columns])
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)

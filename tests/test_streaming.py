@@ -136,7 +136,7 @@ def test_stream_scores_equal_batch_scores(spark, transactions, model, tmp_path):
     )
     query.awaitTermination()
     n = transactions.count()
-    assert traffic == scoring.Traffic(received=n + 1, sent=n, rejected=1)
+    assert traffic.final() == scoring.Traffic(received=n + 1, sent=n, rejected=1)
     assert scoring.received_messages(query.recentProgress) == transactions.count() + 1
 
     sent = spark.read.parquet(str(tmp_path / "results"))
