@@ -1,16 +1,21 @@
 """Near duplicates by SimHash fingerprints, compared exactly tile by tile.
 
-A tile holds fingerprints of equal population counts in four 16-bit parts.
-Flipping one bit changes one of these counts by one, so two fingerprints within
-``radius`` bits lie in tiles whose counts differ by at most ``radius`` in sum;
+A tile holds fingerprints of equal population counts in each of some parts of their
+64 bits. Flipping one bit changes one of these counts by one, so two fingerprints
+within ``radius`` bits lie in tiles whose counts differ by at most ``radius`` in sum;
 all other pairs of tiles are skipped. What is left is compared exactly by
 exclusive-or and bit counts. Crowded tiles are cut into pieces, every pair of
 which is compared.
+
+More parts make smaller tiles with more neighbours: fewer comparisons, more copies.
+The number of parts follows from that of the fingerprints; links do not depend on it.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +25,14 @@ from pyspark.sql import functions as F
 
 from riskweave.llm.components import connected_components
 from riskweave.llm.text import add_columns, fresh, utf8
+from riskweave.operators.joins import DEFAULT_BOUND, BroadcastBound, measure, sized_join
 from riskweave.sources.workspace import settle
 
-PARTS = 4
-PART_BITS = 16
+BITS = 64
+PARTS = (4, 8, 12, 16)  # numbers of parts to choose from
 TILE = 2048
+_COMPARE, _MOVE = 3.0, 10.0  # nanoseconds for a comparison and for a shuffled byte
+_ROW = 48  # bytes of a shuffled tile beside its fingerprints
 _BLOCK = 1 << 16
 _CELLS_AT_ONCE = 1 << 20
 
@@ -95,67 +103,103 @@ def close_pairs(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[np.ndarray,
     return np.concatenate([empty, *us]), np.concatenate([empty, *vs])
 
 
-def _offsets(radius: int) -> list[tuple[int, ...]]:
+def part_sizes(parts: int) -> list[int]:
+    """Bits of each part, as equal as they can be."""
+    return [BITS * (i + 1) // parts - BITS * i // parts for i in range(parts)]
+
+
+def _offsets(parts: int, radius: int) -> list[tuple[int, ...]]:
     """Differences of counts within ``radius`` in sum; of each and its negative only one."""
-    steps = range(-radius, radius + 1)
-    near = [d for d in itertools.product(steps, repeat=PARTS) if sum(map(abs, d)) <= radius]
-    return [d for d in near if d >= (0,) * PARTS]
+
+    def within(parts, left):
+        if parts == 0:
+            return [()]
+        steps = range(-left, left + 1)
+        return [(d, *rest) for d in steps for rest in within(parts - 1, left - abs(d))]
+
+    return [d for d in within(parts, radius) if d >= (0,) * parts]
 
 
-def _code(counts) -> int:
+def parts_for(distinct: int, radius: int = 3, tile: int = TILE) -> int:
+    """The number of parts of least cost, were the bits of the fingerprints even draws."""
+
+    def cost(parts):
+        near = len(_offsets(parts, radius))
+        mates = distinct * math.prod(math.comb(2 * s, s) / 4**s for s in part_sizes(parts))
+        held, pieces = min(max(mates, 1.0), tile), max(1.0, mates / tile)
+        return near * (_COMPARE * mates + _MOVE * pieces * (8 + _ROW / held))
+
+    return min(PARTS, key=cost)
+
+
+def _code(counts, sizes: list[int]):
     total = 0
-    for count in counts:
-        total = total * (PART_BITS + 1) + count
+    for count, size in zip(counts, sizes, strict=True):
+        total = total * (size + 1) + count
     return total
 
 
-def _neighbours(radius: int):
+def _neighbours(sizes: list[int], radius: int):
     """Column of the tiles to compare with, as far as all counts stay in their range."""
-    near = F.array(
-        *[
-            F.struct(F.lit(_code(offset)).alias("code"), F.array(*map(F.lit, offset)).alias("steps"))
-            for offset in _offsets(radius)
-        ]
-    )
+    offsets = [{"code": _code(d, sizes), "steps": d} for d in _offsets(len(sizes), radius)]
+    # As one text, which the optimizer reads once; thousands of literals take it seconds.
+    near = F.from_json(F.lit(json.dumps(offsets)), "array<struct<code: bigint, steps: array<int>>>")
 
     def fits(offset):
         inside = F.lit(True)
-        for part in range(PARTS):
-            inside &= (F.col(f"p{part}") + offset["steps"][part]).between(0, PART_BITS)
+        for part, size in enumerate(sizes):
+            inside &= (F.col(f"p{part}") + offset["steps"][part]).between(0, size)
         return inside
 
     return F.transform(F.filter(near, fits), lambda offset: F.col("cell") + offset["code"])
 
 
-def links(fingerprints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFrame:
+def links(
+    fingerprints: DataFrame,
+    radius: int = 3,
+    tile: int = TILE,
+    parts: int | None = None,
+    bound: BroadcastBound = DEFAULT_BOUND,
+) -> DataFrame:
     """Edges ``u, v`` that connect all of the distinct ``fingerprint`` within ``radius`` bits.
 
     Pairs within a dense group are not all listed: each comparison of two tiles
     gives at most as many edges as it has fingerprints.
     """
-    shifted = [F.shiftrightunsigned("fingerprint", PART_BITS * i) for i in range(PARTS)]
-    counts = {f"p{i}": F.bit_count(s.bitwiseAND(F.lit(0xFFFF))) for i, s in enumerate(shifted)}
+    sizes = part_sizes(parts or parts_for(fingerprints.count(), radius, tile))
+    counts, at = {}, 0
+    for i, size in enumerate(sizes):
+        bits = F.shiftrightunsigned("fingerprint", at).bitwiseAND(F.lit((1 << size) - 1))
+        counts[f"p{i}"], at = F.bit_count(bits), at + size
     parted = fingerprints.select("fingerprint").withColumns(counts)
-    parted = parted.withColumn("cell", _code([F.col(f"p{i}") for i in range(PARTS)]))
-    # At most 17^4 rows, whatever the input, so they may be broadcast.
+    places = [F.col(name).cast("bigint") for name in counts]
+    parted = parted.withColumn("cell", _code(places, sizes))
     cells = settle(
         parted.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("pieces"))
     )
-    piece = F.pmod(F.xxhash64("fingerprint"), F.col("pieces")).cast("int").alias("piece")
+    # Tiles that nobody is in are not visited while the list of all is within the bound.
+    # Beyond it only the crowded ones are looked up, which are at most one for each
+    # ``tile`` fingerprints, and visits to empty tiles end there.
+    size, how = measure(cells), "inner"
+    if not size.within(bound):
+        cells = settle(cells.where(F.col("pieces") > 1))
+        size, how = measure(cells), "left"
     keys = ["cell", *counts]
+    known = sized_join(parted, cells, "cell", how, size, bound, ["fingerprint"])
+    piece = F.pmod(F.xxhash64("fingerprint"), F.coalesce("pieces", F.lit(1))).cast("int")
     tiles = settle(
-        parted.join(F.broadcast(cells), "cell")
-        .select("fingerprint", *keys, piece)
+        known.select("fingerprint", *keys, piece.alias("piece"))
         .groupBy(*keys, "piece")
         .agg(F.collect_list("fingerprint").alias("members"))
     )
     others = cells.select(F.col("cell").alias("other"), F.col("pieces").alias("others"))
     same_tile = F.col("cell") == F.col("other")
     target = ["other", "other_piece"]
+    near = tiles.withColumn("other", F.explode(_neighbours(sizes, radius)))
+    last = F.coalesce("others", F.lit(1)) - 1
     visits = (
-        tiles.withColumn("other", F.explode(_neighbours(radius)))
-        .join(F.broadcast(others), "other")
-        .withColumn("other_piece", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+        sized_join(near, others, "other", how, size, bound, ["cell", "piece", "other"])
+        .withColumn("other_piece", F.explode(F.sequence(F.lit(0), last)))
         .where(~same_tile | (F.col("piece") <= F.col("other_piece")))
         .select(*target, F.lit(1).alias("visits"), "members")
     )
@@ -165,7 +209,7 @@ def links(fingerprints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFra
     partitions = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def compare(batches):
-        """Each tile comes before its visitors; only it and one batch of these are in memory."""
+        """A tile comes before its visitors; only it and one batch of these are in memory."""
         home, own = np.empty(0, np.uint64), None
         for batch in batches:
             us, vs = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
@@ -180,7 +224,8 @@ def links(fingerprints: DataFrame, radius: int = 3, tile: int = TILE) -> DataFra
                 if keys[2, i] == 0:
                     home, own = run, tuple(keys[:2, i])
                     continue
-                assert own == tuple(keys[:2, i])
+                if own != tuple(keys[:2, i]):
+                    continue  # nobody is there
                 u, v = close_pairs(run, home, radius)
                 us.append(u)
                 vs.append(v)

@@ -4,11 +4,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from riskweave.llm import simhash
 from riskweave.llm.components import connected_components
+from riskweave.operators.joins import BroadcastBound
 
 
 def brute_fingerprint(text):
@@ -86,6 +88,40 @@ def test_dense_groups_in_small_tiles(spark):
     assert {frozenset(g) for g in mine.values()} == brute_groups(values)
 
 
+def close_values(seed):
+    draw = random.Random(seed)
+    values = {0, 2**64 - 1}
+    for _ in range(40):
+        value = draw.getrandbits(64)
+        for _ in range(4):
+            values.add(value)
+            for bit in draw.sample(range(64), draw.randint(1, 4)):
+                value ^= 1 << bit
+    return values
+
+
+@pytest.mark.parametrize("parts", simhash.PARTS)
+@pytest.mark.parametrize("bound", [BroadcastBound(), BroadcastBound(0, 0)])
+def test_any_number_of_parts_gives_the_same_links(spark, parts, bound):
+    """With all tiles known, and with only the crowded ones looked up."""
+    values = close_values(parts)
+    expected = {frozenset(g) for g in brute_groups(values)}
+    edges = simhash.links(prints(spark, values), tile=2, parts=parts, bound=bound)
+    group = {v: v for v in values}
+    for row in edges.collect():
+        a, b = (group[row[c] % 2**64] for c in "uv")
+        group = {k: a if g == b else g for k, g in group.items()}
+    assert {frozenset(k for k in group if group[k] == g) for g in group.values()} == expected
+
+
+def test_parts_grow_with_the_fingerprints():
+    chosen = [simhash.parts_for(10**n) for n in range(13)]
+    assert chosen == sorted(chosen) and chosen[0] == 4 and chosen[7] == 8 and chosen[-1] == 16
+    for parts in simhash.PARTS:
+        sizes = simhash.part_sizes(parts)
+        assert (len(sizes), sum(sizes)) == (parts, 64) and max(sizes) - min(sizes) <= 1
+
+
 def test_links_do_not_list_all_pairs(spark):
     """A cloud of 400 fingerprints within few bits needs no 80,000 edges."""
     cloud = {(1 << a) | (1 << b) for a in range(64) for b in range(a)}
