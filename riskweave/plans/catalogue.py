@@ -55,12 +55,6 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def _fit_partitions(data: DataFrame) -> int | None:
-    """Partitions for a fit: the scan's own, or one per core where the input has fewer."""
-    cores = data.sparkSession.sparkContext.defaultParallelism
-    return None if data.rdd.getNumPartitions() >= cores else cores
-
-
 def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_event_transactions(spark, sf_dir)
 
@@ -609,7 +603,7 @@ def decisions_on_amounts(spark, sf_dir):
 def _fit_on_first_week(data: DataFrame):
     train = split.training_rows(data, WEEK_CUTOFF)
     trees = pipelines.gradient_boosted_trees()
-    return training.fit_model(train, trees, partitions=_fit_partitions(data))
+    return training.fit_model(train, trees)
 
 
 @_query
@@ -628,7 +622,7 @@ def gbt_scores(spark, sf_dir):
 @_query
 def tuning_results(spark, sf_dir):
     data = _transactions(spark, sf_dir)
-    result = training.tune(data, parallelism=4, partitions=_fit_partitions(data))
+    result = training.tune(data, parallelism=4)
     trials = [(t.max_depth, t.min_instances, t.auc, t is result.best) for t in result.trials]
     rows = spark.createDataFrame(
         trials, "max_depth int, min_instances int, auc double, best boolean"
@@ -655,7 +649,6 @@ def champion_decision(spark, sf_dir):
         cutoff=WEEK_CUTOFF,
         output_path=scratch_path(spark, "challenger"),
         log=log,
-        partitions=_fit_partitions(data),
     )
     entries = read_run_log(spark, log.path)
     return entries.where(F.col("kind") == "decision").select("key", "value")

@@ -30,13 +30,17 @@ from riskweave.plans.pipelines import (
 )
 from riskweave.plans.trials import TrialStore, data_digest, trial_key
 from riskweave.sources.runlog import RunLog
-from riskweave.sources.tables import laid_out
+from riskweave.sources.tables import laid_out, spread
 from riskweave.sources.workspace import checkpoint_root
 
 # The searched grid.
 GRID_DEPTHS = (5, 10, 15)
 GRID_MIN_INSTANCES = (15, 100, 200)
 
+# Fixed value: rows of a task of a fit at most. A task reads some 600 bytes a row, from
+# several caches; more tasks than that would send more statistics of the nodes.
+MOST_ROWS_PER_TASK = 250_000
+
 ParamMap = dict[Param, object]
 
 
@@ -72,11 +76,16 @@ def feature_vectors(
 ) -> DataFrame:
     """Vectors and labels, kept until unpersisted: a tree fit reads them many times.
 
-    ``partitions`` spreads an input with too few files; otherwise the scan's own
-    partitions stay.
+    They are dealt out evenly, by default over partitions for the number of rows. The
+    scan's own partitions say nothing of it: a filter may leave all rows in a few of them,
+    and so may a file with few row groups.
     """
     vectors = features.transform(needed_columns(data)).select(FEATURES, S.LABEL)
-    return laid_out(vectors, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    if partitions is None:
+        dealt = spread(vectors, data.count(), MOST_ROWS_PER_TASK)
+    else:
+        dealt = laid_out(vectors, partitions)
+    return dealt.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_model(
@@ -188,8 +197,10 @@ def tune(
                 return auc
 
             try:
+                # The deepest first, so that no long fit is left to run alone at the end.
+                longest = sorted(open_points, key=lambda i: (-told[i]["maxDepth"], i))
                 with ThreadPoolExecutor(parallelism) as pool:
-                    aucs |= zip(open_points, pool.map(trial, open_points), strict=True)
+                    aucs |= zip(longest, pool.map(trial, longest), strict=True)
             finally:
                 fitted_on.unpersist()
                 scored_on.unpersist()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -109,6 +110,26 @@ def laid_out(
     return df.repartition(partitions, *keys)
 
 
+# Fixed value: fewer rows are not worth a task of their own.
+LEAST_ROWS_PER_TASK = 25_000
+
+
+def even_partitions(rows: int, cores: int, most: int) -> int:
+    """Partitions of even size: up to one per core for few rows, ``most`` rows in each at most."""
+    few = min(cores, math.ceil(rows / LEAST_ROWS_PER_TASK))
+    return max(1, few, math.ceil(rows / most))
+
+
+def spread(df: DataFrame, rows: int, most: int) -> DataFrame:
+    """``df``, of about ``rows`` rows, dealt out evenly, with ``most`` rows a task at most.
+
+    For work that makes much of small rows. The scan's own partitions go by bytes, and
+    may all but a few be empty: files have few row groups, and filters leave rows in some.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return laid_out(df, even_partitions(rows, cores, most))
+
+
 def write_parquet(
     df: DataFrame,
     path: str,

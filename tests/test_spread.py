@@ -1,0 +1,60 @@
+"""Rows dealt out evenly, whatever files they come from."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskweave.operators.split import training_rows
+from riskweave.plans import training
+from riskweave.sources import tables
+from riskweave.sources.events import transactions_from_events
+
+
+@pytest.fixture
+def by_time(spark, tmp_path):
+    """Events in order of time: eight files, of which the first has the first days."""
+    number = F.col("id")
+    kinds = F.array(*[F.lit(k) for k in ("click", "view", "signup", "error")])
+    spark.range(0, 800, numPartitions=8).select(
+        number.alias("event_id"),
+        F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(0, id, 0, 0)").alias("ts"),
+        (number % 7).alias("user_id"),
+        F.get(kinds, (number % 4).cast("int")).alias("event_type"),
+        ((number * 37) % 200).cast("double").alias("value"),
+        F.lit("{}").alias("props"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+def rows_of_parts(df):
+    return sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_number_of_partitions():
+    few, many = (lambda n, rows: tables.even_partitions(rows, n, 250_000)), 36_000_000
+    assert [few(12, n) for n in (0, 1, 25_000, 80_000, 1_400_000)] == [1, 1, 1, 4, 12]
+    assert few(12, many) == 144 and few(400, many) == 400
+
+
+def test_a_fit_deals_out_the_rows_of_a_few_files(spark, by_time, monkeypatch):
+    monkeypatch.setattr(tables, "LEAST_ROWS_PER_TASK", 10)
+    data = transactions_from_events(spark.read.parquet(f"{by_time}/events.parquet"))
+    train = training_rows(data, 100 * 3600)  # all in the first file
+    vectors = training.feature_vectors(train, training.fit_features(train))
+    try:
+        assert rows_of_parts(vectors) == [25, 25, 25, 25]
+        monkeypatch.setattr(training, "MOST_ROWS_PER_TASK", 12)
+        more = training.feature_vectors(data, training.fit_features(train))
+        sizes = rows_of_parts(more)
+        assert sum(sizes) == 800 and len(sizes) == 67 and sizes[-1] <= 20
+        more.unpersist()
+    finally:
+        vectors.unpersist()
+
+
+def test_few_rows_are_fitted_in_one_task(spark, by_time):
+    data = transactions_from_events(spark.read.parquet(f"{by_time}/events.parquet"))
+    vectors = training.feature_vectors(data, training.fit_features(data))
+    assert rows_of_parts(vectors) == [800]
+    vectors.unpersist()
