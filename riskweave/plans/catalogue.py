@@ -35,13 +35,14 @@ from riskweave.sources.events import (
     transactions_from_events,
 )
 from riskweave.sources.runlog import RunLog, read_run_log
-from riskweave.sources.workspace import scratch_path
+from riskweave.sources.workspace import scratch_path, settle
 from riskweave.streaming import ingest, publishing, replay, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 K = 50
 STAMP = "2024-02-01T00:00:00.000000"
+MOST_MESSAGES_PER_TASK = 250_000
 
 _QUERIES: dict[str, Query] = {}
 
@@ -741,8 +742,10 @@ def _decoded_results(sent: DataFrame, *others: str) -> DataFrame:
 
 def _streamed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A stream takes one file only through a pattern; a folder of files matches too.
-    schema = read_events(spark, sf_dir).schema
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    table = read_events(spark, sf_dir)
+    events = spark.readStream.schema(table.schema).parquet(f"{sf_dir}/events.parque[t]")
+    # A message is many times as large as its event, and a batch of parsed ones is kept.
+    events = tables.spread(events, table.count(), MOST_MESSAGES_PER_TASK)
     return _messages(transactions_from_events(events))
 
 
@@ -799,13 +802,17 @@ def results_once(spark, sf_dir):
         "offset": F.floor(F.col(S.TRANSACTION_ID) / 3),
     }
     envelope = M.input_envelope(S.SCORING_SCHEMA.names, F.col(S.CARD), F.lit(STAMP))
-    received = _transactions(spark, sf_dir).select(
+    events = read_events(spark, sf_dir)
+    dealt = tables.spread(events, events.count(), ROWS_PER_TASK)  # parsing is the longest step
+    received = transactions_from_events(dealt).select(
         envelope.alias("value"), *[column.alias(name) for name, column in place.items()]
     )
     number = F.col(S.TRANSACTION_ID)
     probability = (number % 101 / 101).alias("probability_")
-    scored = scoring.usable(scoring.parse_messages(received)).select(
-        S.TRANSACTION_ID, S.CARD, probability, publishing.ORIGIN
+    scored = settle(  # sent twice, parsed once
+        scoring.usable(scoring.parse_messages(received)).select(
+            S.TRANSACTION_ID, S.CARD, probability, publishing.ORIGIN
+        )
     )
     path = scratch_path(spark, "results-once")
     scoring.result_messages(scored).write.parquet(f"{path}/sent")

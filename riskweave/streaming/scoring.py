@@ -94,6 +94,11 @@ def rejected(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reject_reason").isNotNull()).select("value", "reject_reason")
 
 
+def without_usable_text(parsed: DataFrame) -> DataFrame:
+    """Parsed messages without the text of those that are usable: nobody reads it again."""
+    return parsed.withColumn("value", F.when(F.col("reject_reason").isNotNull(), F.col("value")))
+
+
 def score_rows(transactions: DataFrame, model: PipelineModel) -> DataFrame:
     """``TransactionID, card1, probability_`` of each transaction, and ``origin`` if it has one."""
     return model.transform(transactions).select(
@@ -209,7 +214,7 @@ def start_scoring(
         messages.sparkSession.streams.addListener(listener)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch = without_usable_text(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             write_results(result_messages(score_rows(usable(batch), model)), batch_id)
             unusable = rejected(batch)

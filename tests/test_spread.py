@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskweave.operators.split import training_rows
-from riskweave.plans import training
+from riskweave.plans import catalogue, training
 from riskweave.sources import tables
 from riskweave.sources.events import transactions_from_events
+from riskweave.streaming import scoring
+from tests.plans import plan_of
 
 
 @pytest.fixture
@@ -33,7 +35,7 @@ def rows_of_parts(df):
 
 def test_number_of_partitions():
     few, many = (lambda n, rows: tables.even_partitions(rows, n, 250_000)), 36_000_000
-    assert [few(12, n) for n in (0, 1, 25_000, 80_000, 1_400_000)] == [1, 1, 1, 4, 12]
+    assert [few(12, n) for n in (0, 1, 25_000, 80_000, 1_400_000)] == [1, 1, 1, 2, 12]
     assert few(12, many) == 144 and few(400, many) == 400
 
 
@@ -58,3 +60,46 @@ def test_few_rows_are_fitted_in_one_task(spark, by_time):
     vectors = training.feature_vectors(data, training.fit_features(data))
     assert rows_of_parts(vectors) == [800]
     vectors.unpersist()
+
+
+def test_a_stream_deals_out_the_rows_of_one_file(spark, by_time, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "LEAST_ROWS_PER_TASK", 10)
+    one = tmp_path / "one"
+    table = spark.read.parquet(f"{by_time}/events.parquet")
+    table.coalesce(1).write.parquet(f"{one}/events.parquet")
+    sizes = []
+    query = (
+        catalogue._streamed_messages(spark, str(one))
+        .writeStream.foreachBatch(lambda batch, _: sizes.append(rows_of_parts(batch)))
+        .option("checkpointLocation", f"{tmp_path}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    assert sizes == [[200, 200, 200, 200]]
+
+
+def test_the_text_of_usable_messages_is_not_kept(spark):
+    texts = spark.createDataFrame([("not a message",), (None,)], "value string")
+    good = r'{"ts":"t","card_id":1,"features":"{\"TransactionID\":{\"0\":9},\"card1\":{\"0\":1}}"}'
+    parsed = scoring.parse_messages(texts.unionByName(texts.select(F.lit(good).alias("value"))))
+    kept = scoring.without_usable_text(parsed)
+    assert kept.columns == parsed.columns
+    rows = scoring.usable(kept).select("TransactionID").distinct().collect()
+    assert [r[0] for r in rows] == [9]
+    assert kept.where("reject_reason IS NULL AND value IS NOT NULL").count() == 0
+    assert scoring.rejected(kept).exceptAll(scoring.rejected(parsed)).count() == 0
+    assert scoring.rejected(parsed).exceptAll(scoring.rejected(kept)).count() == 0
+
+
+def test_results_sent_twice_are_parsed_once(spark, by_time, monkeypatch):
+    plans, plain = [], scoring.result_messages
+
+    def sent(scored):
+        plans.append(plan_of(scored))
+        return plain(scored)
+
+    monkeypatch.setattr(scoring, "result_messages", sent)
+    found = catalogue.results_once(spark, by_time)
+    assert found.count() == 800 and found.select("origin").distinct().count() == 800
+    assert len(plans) == 2 and not any("Generate" in plan or "Exchange" in plan for plan in plans)
