@@ -31,7 +31,7 @@ from riskweave.plans.pipelines import (
 from riskweave.plans.trials import TrialStore, data_digest, trial_key
 from riskweave.sources.runlog import RunLog
 from riskweave.sources.tables import laid_out, spread
-from riskweave.sources.workspace import checkpoint_root
+from riskweave.sources.workspace import checkpoint_root, settle
 
 # The searched grid.
 GRID_DEPTHS = (5, 10, 15)
@@ -40,6 +40,9 @@ GRID_MIN_INSTANCES = (15, 100, 200)
 # Fixed value: rows of a task of a fit at most. A task reads some 600 bytes a row, from
 # several caches; more tasks than that would send more statistics of the nodes.
 MOST_ROWS_PER_TASK = 250_000
+# Fixed value: up to so many vectors are checkpointed. A fit has thousands of stages, and
+# each sends the plan of the vectors along; for few rows that takes longer than the rows.
+FEW_ROWS = 1_000_000
 
 ParamMap = dict[Param, object]
 
@@ -81,10 +84,13 @@ def feature_vectors(
     and so may a file with few row groups.
     """
     vectors = features.transform(needed_columns(data)).select(FEATURES, S.LABEL)
+    rows = data.count()
     if partitions is None:
-        dealt = spread(vectors, data.count(), MOST_ROWS_PER_TASK)
+        dealt = spread(vectors, rows, MOST_ROWS_PER_TASK)
     else:
         dealt = laid_out(vectors, partitions)
+    if rows <= FEW_ROWS:
+        dealt = settle(dealt)
     return dealt.persist(StorageLevel.MEMORY_AND_DISK)
 
 

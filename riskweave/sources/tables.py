@@ -110,8 +110,8 @@ def laid_out(
     return df.repartition(partitions, *keys)
 
 
-# Fixed value: fewer rows are not worth a task of their own.
-LEAST_ROWS_PER_TASK = 25_000
+# Fixed value: fewer rows are not worth a task of their own, where a job has thousands of stages.
+LEAST_ROWS_PER_TASK = 50_000
 
 
 def even_partitions(rows: int, cores: int, most: int) -> int:

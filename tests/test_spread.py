@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from riskweave.operators.split import training_rows
-from riskweave.plans import catalogue, training
+from riskweave.plans import catalogue, champion, pipelines, training
 from riskweave.sources import tables
 from riskweave.sources.events import transactions_from_events
 from riskweave.streaming import scoring
@@ -103,3 +104,32 @@ def test_results_sent_twice_are_parsed_once(spark, by_time, monkeypatch):
     found = catalogue.results_once(spark, by_time)
     assert found.count() == 800 and found.select("origin").distinct().count() == 800
     assert len(plans) == 2 and not any("Generate" in plan or "Exchange" in plan for plan in plans)
+
+
+def test_both_models_of_a_contest_are_fitted_on_even_parts(spark, by_time, monkeypatch):
+    monkeypatch.setattr(tables, "LEAST_ROWS_PER_TASK", 10)
+    data = transactions_from_events(spark.read.parquet(f"{by_time}/events.parquet"))
+    sizes, plain = [], GBTClassifier.fit
+
+    def fit(self, rows, params=None):
+        sizes.append(rows_of_parts(rows))
+        return plain(self, rows, params)
+
+    monkeypatch.setattr(GBTClassifier, "fit", fit)
+    trees = pipelines.gradient_boosted_trees(maxIter=1, maxDepth=1)
+    cutoff = 100 * 3600
+    model = training.fit_model(training_rows(data, cutoff), trees)
+    champion.run_champion_challenger(
+        data, model, cutoff=cutoff, k=2, iterations=2, challenger_trees=trees
+    )
+    assert sizes == [[25] * 4, [25] * 4]
+
+
+def test_few_vectors_are_cut_from_their_plan(spark, by_time, monkeypatch):
+    data = transactions_from_events(spark.read.parquet(f"{by_time}/events.parquet"))
+    features = training.fit_features(data)
+    for most, cut in ((800, True), (799, False)):
+        monkeypatch.setattr(training, "FEW_ROWS", most)
+        vectors = training.feature_vectors(data, features)
+        assert ("parquet" in plan_of(vectors).lower()) != cut
+        vectors.unpersist()

@@ -99,3 +99,11 @@ def test_the_first_record_of_a_trial_stays(spark, tmp_path):
     store.record("k", {"a": 1}, 1.0, 0.75)
     store.record("k", {"a": 1}, 1.0, 0.5)
     assert store.known() == {"k": 0.75}
+
+
+def test_the_deepest_points_are_fitted_first(transactions, trees, fits):
+    grid = training.parameter_grid(trees, depths=(1, 2, 3), min_instances=(5,))
+    result = training.tune(transactions, trees, grid, parallelism=1)
+    tried = [p["maxDepth"] for p in fits if p]
+    assert tried == [3, 2, 1]
+    assert [t.max_depth for t in result.trials] == [1, 2, 3]
