@@ -133,3 +133,19 @@ def test_few_vectors_are_cut_from_their_plan(spark, by_time, monkeypatch):
         vectors = training.feature_vectors(data, features)
         assert ("parquet" in plan_of(vectors).lower()) != cut
         vectors.unpersist()
+
+
+def test_no_task_of_the_champion_decision_has_more_rows_than_allowed(spark, by_time, monkeypatch):
+    monkeypatch.setattr(training, "MOST_ROWS_PER_TASK", 42)
+    sizes, plain = [], GBTClassifier.fit
+
+    def fit(self, rows, params=None):
+        sizes.append(rows_of_parts(rows))
+        return plain(self, rows, params)
+
+    monkeypatch.setattr(GBTClassifier, "fit", fit)
+    trees = pipelines.gradient_boosted_trees(maxIter=1, maxDepth=1)
+    monkeypatch.setattr(pipelines, "gradient_boosted_trees", lambda **_: trees)
+    assert catalogue.champion_decision(spark, by_time).count() == 10
+    # The first week has 168 rows: 100 of the first file and 68 of the second.
+    assert sizes == [[42] * 4, [42] * 4]
