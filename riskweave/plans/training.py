@@ -37,9 +37,9 @@ from riskweave.sources.workspace import checkpoint_root, settle
 GRID_DEPTHS = (5, 10, 15)
 GRID_MIN_INSTANCES = (15, 100, 200)
 
-# Fixed value: rows of a task of a fit at most. A task reads some 600 bytes a row, from
-# several caches; more tasks than that would send more statistics of the nodes.
-MOST_ROWS_PER_TASK = 250_000
+# Fixed value: rows of a task of a fit at most. A task reads some 440 bytes a row, from
+# several caches; each task more sends statistics of all nodes, and reads the tree so far.
+MOST_ROWS_PER_TASK = 1_000_000
 # Fixed value: up to so many vectors are checkpointed. A fit has thousands of stages, and
 # each sends the plan of the vectors along; for few rows that takes longer than the rows.
 FEW_ROWS = 1_000_000
@@ -75,18 +75,22 @@ def fit_features(data: DataFrame, pipeline: Pipeline | None = None) -> PipelineM
 
 
 def feature_vectors(
-    data: DataFrame, features: PipelineModel, partitions: int | None = None
+    data: DataFrame,
+    features: PipelineModel,
+    partitions: int | None = None,
+    at_once: int = 1,
 ) -> DataFrame:
     """Vectors and labels, kept until unpersisted: a tree fit reads them many times.
 
     They are dealt out evenly, by default over partitions for the number of rows. The
     scan's own partitions say nothing of it: a filter may leave all rows in a few of them,
-    and so may a file with few row groups.
+    and so may a file with few row groups. ``at_once`` fits share the cores, so each
+    has fewer tasks.
     """
     vectors = features.transform(needed_columns(data)).select(FEATURES, S.LABEL)
     rows = data.count()
     if partitions is None:
-        dealt = spread(vectors, rows, MOST_ROWS_PER_TASK)
+        dealt = spread(vectors, rows, MOST_ROWS_PER_TASK, at_once)
     else:
         dealt = laid_out(vectors, partitions)
     if rows <= FEW_ROWS:
@@ -192,8 +196,9 @@ def tune(
         if open_points:
             part = train if share == 1 else hash_split(train, share, seed + 1)[0]
             features = fit_features(part)
-            fitted_on = feature_vectors(part, features, partitions)
-            scored_on = feature_vectors(held_out, features, partitions)
+            at_once = min(parallelism, len(open_points))
+            fitted_on = feature_vectors(part, features, partitions, at_once)
+            scored_on = feature_vectors(held_out, features, partitions, at_once)
 
             def trial(i: int) -> float:
                 model = classifier.fit(fitted_on, grid[i])

@@ -120,13 +120,14 @@ def even_partitions(rows: int, cores: int, most: int) -> int:
     return max(1, few, math.ceil(rows / most))
 
 
-def spread(df: DataFrame, rows: int, most: int) -> DataFrame:
+def spread(df: DataFrame, rows: int, most: int, at_once: int = 1) -> DataFrame:
     """``df``, of about ``rows`` rows, dealt out evenly, with ``most`` rows a task at most.
 
     For work that makes much of small rows. The scan's own partitions go by bytes, and
     may all but a few be empty: files have few row groups, and filters leave rows in some.
+    Where ``at_once`` jobs read the rows at the same time, each gets its share of the cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    cores = math.ceil(df.sparkSession.sparkContext.defaultParallelism / at_once)
     return laid_out(df, even_partitions(rows, cores, most))
 
 

@@ -149,3 +149,32 @@ def test_no_task_of_the_champion_decision_has_more_rows_than_allowed(spark, by_t
     assert catalogue.champion_decision(spark, by_time).count() == 10
     # The first week has 168 rows: 100 of the first file and 68 of the second.
     assert sizes == [[42] * 4, [42] * 4]
+
+
+def test_fits_at_once_share_the_cores(spark, by_time, monkeypatch):
+    monkeypatch.setattr(tables, "LEAST_ROWS_PER_TASK", 10)
+    data = transactions_from_events(spark.read.parquet(f"{by_time}/events.parquet"))
+    parts, plain = [], GBTClassifier.fit
+
+    def fit(self, rows, params=None):
+        parts.append(len(rows_of_parts(rows)))
+        return plain(self, rows, params)
+
+    monkeypatch.setattr(GBTClassifier, "fit", fit)
+    trees = pipelines.gradient_boosted_trees(maxIter=1)
+    grid = training.parameter_grid(trees, depths=(1,), min_instances=(5, 10, 20))
+    training.tune(data, trees, grid, parallelism=2)
+    assert parts == [2, 2, 2, 4]  # of four cores; the last fit is alone
+
+
+def test_fits_keep_little_beside_the_rows(spark, by_time, monkeypatch):
+    """Neither the node of each row nor the trees of many rounds; the model is the same."""
+    data = transactions_from_events(spark.read.parquet(f"{by_time}/events.parquet"))
+    vectors = training.feature_vectors(data, training.fit_features(data))
+    trees = pipelines.gradient_boosted_trees(maxIter=5, maxDepth=4)
+    assert not trees.getCacheNodeIds() and trees.getCheckpointInterval() <= 2
+    kept = trees.copy({trees.cacheNodeIds: True, trees.checkpointInterval: 10})
+    models = [t.fit(vectors) for t in (trees, kept)]
+    vectors.unpersist()
+    told = [m.toDebugString.partition("\n")[2] for m in models]
+    assert told[0] == told[1] and "If (" in told[0]
